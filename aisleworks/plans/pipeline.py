@@ -1,0 +1,55 @@
+"""The daily batch: gate, read, compute, publish."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+
+from aisleworks import schemas
+from aisleworks.operators.checks import require_unique
+from aisleworks.operators.readiness import missing_files, required_files
+from aisleworks.plans.daily import kpi_daily
+from aisleworks.sinks import write_partition
+from aisleworks.sources import Location, list_files, read_by_header
+
+
+class MissingFilesError(RuntimeError):
+    """Some files of the run date have not arrived; they are listed in ``names``."""
+
+    def __init__(self, names: list[str]):
+        super().__init__(f"missing files: {', '.join(names)}")
+        self.names = names
+
+
+def check_ready(spark: SparkSession, landing: Location, run_date: dt.date) -> None:
+    """Raise unless all five files of the run date are there."""
+    required = required_files(
+        spark.createDataFrame([(run_date,)], "business_date date")
+    )
+    absent = missing_files(required, list_files(spark, landing.root)).collect()
+    if absent:
+        raise MissingFilesError(sorted(row.file_name for row in absent))
+
+
+def read_inputs(
+    spark: SparkSession, landing: Location, run_date: dt.date
+) -> dict[str, DataFrame]:
+    """The three tables the KPIs need, typed."""
+    return {
+        table: read_by_header(spark, landing, table, schemas.TABLES[table], run_date)
+        for table in ("sales", "calendar", "inventory")
+    }
+
+
+def run(spark: SparkSession, landing: Location, output_root: str, run_date: dt.date) -> int:
+    """Publish the KPIs of one run date and return the rows written.
+
+    Rerunning a date replaces its partition and leaves every other date alone.
+    """
+    check_ready(spark, landing, run_date)
+    inputs = read_inputs(spark, landing, run_date)
+    # A repeated calendar day or inventory key would multiply sales.
+    require_unique(inputs["calendar"], ["cal_dt"], "calendar")
+    require_unique(inputs["inventory"], schemas.INVENTORY_KEY, "inventory")
+    return write_partition(kpi_daily(**inputs), output_root, run_date)

@@ -1,0 +1,116 @@
+"""Headered CSV readers that always end in a declared schema."""
+
+from __future__ import annotations
+
+import datetime as dt
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from aisleworks.functions.dates import DATE_FORMAT, parse_date
+from aisleworks.sources.location import Location
+
+_BROKEN = "_broken_line"
+
+
+def _typed(text: Column, field: T.StructField) -> Column:
+    """Strict conversion: bad text fails the job."""
+    if isinstance(field.dataType, T.DateType):
+        return F.to_date(text, DATE_FORMAT).alias(field.name)
+    return text.cast(field.dataType).alias(field.name)
+
+
+def _try_typed(text: Column, field: T.StructField) -> Column:
+    """Lenient conversion: bad text gives NULL."""
+    if isinstance(field.dataType, T.DateType):
+        return parse_date(text).alias(field.name)
+    return text.try_cast(field.dataType).alias(field.name)
+
+
+def read_by_header(
+    spark: SparkSession,
+    location: Location,
+    table: str,
+    schema: T.StructType,
+    day: dt.date | None = None,
+) -> DataFrame:
+    """Match columns by header name, in any order and case, then type them.
+
+    Only the columns a query uses are parsed.  All part files of one export must
+    share a header; one that differs fails the read instead of mixing columns.
+    """
+    raw = (
+        spark.read.options(**location.read_options())
+        .option("mode", "FAILFAST")
+        .option("enforceSchema", False)
+        .csv(location.path(table, day))
+    )
+    found = {name.lower(): name for name in raw.columns}
+    absent = [f.name for f in schema.fields if f.name.lower() not in found]
+    if absent:
+        raise ValueError(f"{location.path(table, day)} lacks columns {absent}")
+    return raw.select([_typed(raw[f"`{found[f.name.lower()]}`"], f) for f in schema.fields])
+
+
+def read_positional(
+    spark: SparkSession,
+    location: Location,
+    table: str,
+    schema: T.StructType,
+    day: dt.date | None = None,
+) -> DataFrame:
+    """Skip the header line and take columns by position; bad rows fail the job.
+
+    Spark checks only the columns it reads, so let a load write every column.
+    """
+    return (
+        spark.read.schema(schema)
+        .options(**location.read_options())
+        .option("enforceSchema", True)
+        .option("mode", "FAILFAST")
+        .csv(location.path(table, day))
+    )
+
+
+def read_with_rejects(
+    spark: SparkSession,
+    location: Location,
+    table: str,
+    schema: T.StructType,
+    day: dt.date | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Split a file into typed good rows and raw rejected rows.
+
+    Rejects keep every value as text and name the columns at fault in
+    ``bad_columns``; a line with too many or too few values lists ``*``.  The test
+    is an expression over all columns, so later column pruning cannot weaken it.
+    """
+    text_schema = T.StructType(
+        [T.StructField(f.name, T.StringType()) for f in schema.fields]
+        + [T.StructField(_BROKEN, T.StringType())]
+    )
+    raw = (
+        spark.read.schema(text_schema)
+        .options(**location.read_options())
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _BROKEN)
+        .option("columnPruning", False)
+        .csv(location.path(table, day))
+    )
+
+    def fault(f: T.StructField) -> Column:
+        text = F.col(f.name)
+        wrong = text.isNotNull() & _try_typed(text, f).isNull()
+        return wrong if f.nullable else wrong | text.isNull()
+
+    faults = [(f.name, fault(f)) for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    broken = F.col(_BROKEN).isNotNull()
+    is_bad = reduce(lambda a, b: a | b, [test for _, test in faults], broken)
+    named = F.concat_ws(",", *[F.when(test, F.lit(name)) for name, test in faults])
+    bad = raw.where(is_bad).select(
+        *schema.names, F.when(broken, F.lit("*")).otherwise(named).alias("bad_columns")
+    )
+    good = raw.where(~is_bad).select([_try_typed(F.col(f.name), f) for f in schema.fields])
+    return good, bad

@@ -1,0 +1 @@
+"""Queries over the given tables and the SQL they are checked against."""

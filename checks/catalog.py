@@ -1,0 +1,356 @@
+"""The registered queries: each takes (spark, sf_dir) and returns a DataFrame.
+
+All of them read whole tables.  Those that write use a new folder each time, in
+the shared folder the session names.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from aisleworks import schemas, sinks, sources, streaming
+from aisleworks.functions import date_text, parse_date
+from aisleworks.operators import checks, joins, readiness, stock
+from aisleworks.operators.aggregates import DAY_KEY
+from aisleworks.operators.windows import with_last_sales
+from aisleworks.plans import daily, kpi_by_market_category, kpi_weekly, pipeline
+from aisleworks.scratch import scratch_path
+from checks import derived
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+# A date inside the data, so a snapshot drops some rows, and one after all of it.
+MID_DATE = dt.date(1998, 9, 2)
+LAST_DATE = dt.date(2001, 12, 31)
+
+STOCK_KEY = (*DAY_KEY, "week_end_stock_on_hand", "week_end_ordered_stock")
+LANDING = "s3://landing/raw"
+
+
+def _location(spark: SparkSession, label: str) -> sources.Location:
+    return sources.Location(scratch_path(spark, label))
+
+
+def _exported(spark: SparkSession, df: DataFrame, table: str, day: dt.date, label: str):
+    location = _location(spark, label)
+    sinks.export_snapshot({table: df}, location, day)
+    return location
+
+
+# Sources
+
+
+def scan_csv_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns arrive in another order and case and are found by header name."""
+    sales = derived.sales(spark, sf_dir)
+    shuffled = sales.select([F.col(c).alias(c.upper()) for c in reversed(sales.columns)])
+    location = _location(spark, "scan")
+    sources_options = {**location.csv_options(), "header": True}
+    shuffled.write.options(**sources_options).csv(location.path("sales", LAST_DATE))
+    return sources.read_by_header(spark, location, "sales", schemas.SALES, LAST_DATE)
+
+
+def _load(table: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Header text differs from the schema and is skipped; position decides."""
+        df = getattr(derived, table)(spark, sf_dir)
+        renamed = df.toDF(*[f"field {i}" for i in range(len(df.columns))])
+        location = _location(spark, "load")
+        renamed.write.options(**location.csv_options()).option("header", True).csv(
+            location.path(table)
+        )
+        return sources.load_table(spark, location, table, scratch_path(spark, f"table-{table}"))
+
+    return query
+
+
+def _damaged(spark: SparkSession, sf_dir: str) -> sources.Location:
+    """Sales lines as text, some with a bad date, a bad number or a value too few."""
+    sales = derived.sales(spark, sf_dir)
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sales.columns]
+    line, order = F.concat_ws(",", *text), F.col("trans_id")
+    swapped = F.concat_ws(
+        ",", *[F.lit("n/a") if c in ("trans_dt", "sales_qty") else t
+               for c, t in zip(sales.columns, text, strict=True)]
+    )
+    lines = sales.select(
+        F.when(order % 19 == 0, F.concat_ws(",", *text[:-1]))
+        .when(order % 23 == 0, swapped)
+        .otherwise(line)
+        .alias(",".join(sales.columns))
+    )
+    location = _location(spark, "rejects")
+    # No quoting: the lines are already CSV and hold no separator of this writer.
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "").csv(
+        location.path("sales")
+    )
+    return location
+
+
+def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, bad = sources.read_with_rejects(
+        spark, _damaged(spark, sf_dir), "sales", schemas.SALES
+    )
+    return bad.select("trans_id", "trans_dt", "sales_qty", "ship_cost", "bad_columns")
+
+
+def load_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = sources.read_with_rejects(
+        spark, _damaged(spark, sf_dir), "sales", schemas.SALES
+    )
+    return good
+
+
+def inventory_key_dupes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run on the raw stock feed, where keys do repeat."""
+    return checks.duplicate_keys(derived.stock_feed(spark, sf_dir), schemas.INVENTORY_KEY)
+
+
+def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export sales by month, list the files, and read the months off their paths."""
+    root = scratch_path(spark, "listing")
+    sales = derived.sales(spark, sf_dir).withColumn("month", F.date_trunc("month", "trans_dt"))
+    by_month = sales.withColumn("month", F.col("month").cast("date")).hint("rebalance", "month")
+    by_month.write.partitionBy("month").option("header", True).csv(root)
+    files = sources.list_files(spark, root)
+    return (
+        files.groupBy(F.regexp_extract("path", r"/month=([0-9-]+)/", 1).alias("month"))
+        .agg((F.sum("length") > 0).alias("has_data"))
+    )
+
+
+# Sinks
+
+
+def _export_readback(table: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = getattr(derived, table)(spark, sf_dir)
+        location = _exported(spark, df, table, MID_DATE, "export")
+        return sources.read_by_header(spark, location, table, schemas.TABLES[table], MID_DATE)
+
+    return query
+
+
+def export_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sinks.export_snapshot(
+        derived.all_tables(spark, sf_dir), _location(spark, "audit"), MID_DATE
+    )
+    return sinks.audit_frame(spark, rows)
+
+
+def sink_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two run dates published, the first one published again."""
+    root = scratch_path(spark, "publish")
+    tables = derived.kpi_tables(spark, sf_dir)
+    for day in (MID_DATE, LAST_DATE, MID_DATE):
+        known = {name: sinks.snapshot(df, name, day) for name, df in tables.items()}
+        sinks.write_partition(daily.kpi_daily(**known), root, day)
+    return spark.read.parquet(root)
+
+
+# Rows
+
+
+def kpi_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.kpi_base(**derived.kpi_tables(spark, sf_dir))
+
+
+def join_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = joins.join_calendar(derived.sales(spark, sf_dir), derived.calendar(spark, sf_dir))
+    return joined.select("trans_id", "trans_dt", "store_key", "prod_key", "yr_wk_num")
+
+
+def _stocked_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joins.join_inventory(derived.sales(spark, sf_dir), derived.inventory(spark, sf_dir))
+
+
+_SALE = ("trans_id", "trans_dt", "store_key", "prod_key", "sales_qty")
+
+
+def join_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stocked_sales(spark, sf_dir).select(
+        *_SALE, "inventory_on_hand_qty", "inventory_on_order_qty", "out_of_stock_flg"
+    )
+
+
+def stock_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = stock.stock_value().alias("stock_on_hand_amt")
+    return _stocked_sales(spark, sf_dir).select(*_SALE, value)
+
+
+def low_stock_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flag = stock.low_stock_flag().alias("low_stock_flg")
+    return _stocked_sales(spark, sf_dir).select(*_SALE, flag)
+
+
+def snapshot_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sales = sinks.snapshot(derived.sales(spark, sf_dir), "sales", MID_DATE)
+    stocks = sinks.snapshot(derived.inventory(spark, sf_dir), "inventory", MID_DATE)
+    return sales.select(
+        F.lit("sales").alias("table_name"), F.col("trans_dt").alias("day"),
+        "store_key", "prod_key", F.col("sales_qty").alias("qty"),
+    ).unionAll(
+        stocks.select(
+            F.lit("inventory").alias("table_name"), F.col("cal_dt").alias("day"),
+            "store_key", "prod_key", F.col("inventory_on_hand_qty").alias("qty"),
+        )
+    )
+
+
+def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ship dates as text, some unpadded or with a time and some no date at all."""
+    day, order = F.col("l_shipdate").cast("date"), F.col("l_orderkey")
+    text = (
+        F.when(order % 7 == 0, F.concat_ws("-", F.year(day), F.month(day), F.day(day)))
+        .when(order % 11 == 0, F.concat(date_text(day), F.lit(" 10:00")))
+        .when(order % 13 == 0, F.lit("1999-02-30"))
+        .when(order % 17 == 0, F.lit("unknown"))
+        .otherwise(date_text(day))
+    )
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", text.alias("raw_text")
+    )
+    return lines.withColumn("parsed_dt", parse_date(F.col("raw_text")))
+
+
+# KPIs
+
+
+def _agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.kpi_agg(**derived.kpi_tables(spark, sf_dir))
+
+
+def kpi_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _agg(spark, sf_dir).select(
+        *STOCK_KEY, "sum_sales_qty", "sum_sales_amt", "sum_sales_cost"
+    )
+
+
+def avg_sales_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _agg(spark, sf_dir).select(*STOCK_KEY, "avg_sales_price")
+
+
+def stock_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _agg(spark, sf_dir).select(
+        *STOCK_KEY, "total_low_stock_impact", "potential_low_stock_impact",
+        "no_stock_impact", "low_stock_instances", "no_stock_instances",
+    )
+
+
+def week_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _agg(spark, sf_dir).select(*STOCK_KEY, "week_supply_stock")
+
+
+def lag_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kpis = with_last_sales(_agg(spark, sf_dir))
+    return kpis.select(*STOCK_KEY, "sum_sales_amt", "last_week_sales")
+
+
+def wow_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpi_daily(spark, sf_dir).select(*STOCK_KEY, "week_over_week_growth")
+
+
+def stock_turnover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.with_ratios(_agg(spark, sf_dir).withColumn("last_week_sales", F.lit(None))).select(
+        *STOCK_KEY, "stock_turnover_rate"
+    )
+
+
+def kpi_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.kpi_daily(**derived.kpi_tables(spark, sf_dir))
+
+
+def week_out_of_stock_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.week_out_of_stock_running(**derived.kpi_tables(spark, sf_dir))
+
+
+def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpi_weekly(**derived.kpi_tables(spark, sf_dir))
+
+
+def market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpi_by_market_category(**derived.all_tables(spark, sf_dir))
+
+
+# Gate and pipeline
+
+
+def readiness_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    required = readiness.required_files(derived.business_days(spark, sf_dir))
+    return readiness.missing_files(required, derived.listing(required, LANDING))
+
+
+def readiness_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    required = readiness.required_files(derived.business_days(spark, sf_dir))
+    return readiness.readiness_by_date(required, derived.listing(required, LANDING))
+
+
+def ready_manifest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready = readiness_by_date(spark, sf_dir).where("ready").select("business_date")
+    return readiness.manifest_json(ready, LANDING)
+
+
+def readiness_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing arrives as notification files, several per micro-batch."""
+    required = readiness.required_files(derived.business_days(spark, sf_dir))
+    feed, output, state = (scratch_path(spark, f"arrivals-{part}") for part in "abc")
+    derived.listing(required, LANDING).repartition(6, "path").write.json(feed)
+    paths = (
+        spark.readStream.schema("path string").option("maxFilesPerTrigger", 3).json(feed)
+    )
+    streaming.track_arrivals(paths, output, state).awaitTermination()
+    return readiness.readiness_status(required, streaming.current_flags(spark, output))
+
+
+def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export all five tables, pass the gate, publish the KPIs, read them back."""
+    landing, root = _location(spark, "landing"), scratch_path(spark, "output")
+    sinks.export_snapshot(derived.all_tables(spark, sf_dir), landing, LAST_DATE)
+    pipeline.run(spark, landing, root, LAST_DATE)
+    return spark.read.parquet(root)
+
+
+QUERIES: dict[str, Query] = {
+    "scan_csv_header": scan_csv_header,
+    "load_typed_csv": _load("sales"),
+    "load_typed_inventory": _load("inventory"),
+    "load_typed_store": _load("store"),
+    "load_typed_product": _load("product"),
+    "load_rejects": load_rejects,
+    "load_accepted": load_accepted,
+    "inventory_key_dupes": inventory_key_dupes,
+    "list_files": list_files,
+    "export_snapshot": _export_readback("sales"),
+    "export_snapshot_inventory": _export_readback("inventory"),
+    "export_snapshot_store": _export_readback("store"),
+    "export_snapshot_product": _export_readback("product"),
+    "export_audit": export_audit,
+    "sink_partition_overwrite": sink_partition_overwrite,
+    "kpi_base": kpi_base,
+    "join_calendar": join_calendar,
+    "join_inventory": join_inventory,
+    "stock_value": stock_value,
+    "low_stock_flag": low_stock_flag,
+    "snapshot_filter": snapshot_filter,
+    "parse_date": parse_dates,
+    "kpi_agg": kpi_agg,
+    "avg_sales_price": avg_sales_price,
+    "stock_impact": stock_impact,
+    "week_supply": week_supply,
+    "lag_sales": lag_sales,
+    "wow_growth": wow_growth,
+    "stock_turnover": stock_turnover,
+    "kpi_daily": kpi_daily,
+    "week_out_of_stock_running": week_out_of_stock_running,
+    "kpi_weekly": weekly,
+    "kpi_by_market_category": market,
+    "readiness_missing": readiness_missing,
+    "readiness_by_date": readiness_by_date,
+    "ready_manifest_json": ready_manifest_json,
+    "readiness_stream": readiness_stream,
+    "pipeline_end_to_end": pipeline_end_to_end,
+}
