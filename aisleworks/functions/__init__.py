@@ -1,4 +1,7 @@
 from aisleworks.functions.dates import date_text, parse_date
-from aisleworks.functions.numeric import MONEY, TOTAL, as_count, as_total, ratio2
+from aisleworks.functions.numeric import (
+    MONEY, TOTAL, as_count, as_total, from_cents, ratio2, to_cents,
+)
 
-__all__ = ["MONEY", "TOTAL", "as_count", "as_total", "date_text", "parse_date", "ratio2"]
+__all__ = ["MONEY", "TOTAL", "as_count", "as_total", "date_text", "from_cents",
+           "parse_date", "ratio2", "to_cents"]

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aisleworks.functions import as_count, as_total, ratio2
+from aisleworks.functions import as_count, ratio2
 from aisleworks.operators.aggregates import (
-    DAY_KEY, WEEK_KEY, folded_measures, sales_by_quantity,
+    DAY_KEY, WEEK_KEY, folded_measures, published, sales_by_quantity,
 )
 from aisleworks.operators.joins import join_calendar
 
@@ -80,22 +80,24 @@ def kpi_weekly(sales: DataFrame, calendar: DataFrame, inventory: DataFrame) -> D
     sold, amount, last = (F.col(c) for c in ("sum_sales_qty", "sum_sales_amt", "last_week_sales"))
     on_hand = F.col("week_end_stock_on_hand")
     return (
-        weeks.join(week_numbers(calendar), "yr_wk_num")
+        weeks.select(
+            *WEEK_KEY,
+            "week_end_stock_on_hand",
+            "week_end_ordered_stock",
+            "out_of_stock_days",
+            *[published(name) for name in _SUMS],
+        )
+        .join(week_numbers(calendar), "yr_wk_num")
         .withColumn("last_week_sales", F.when(follows, F.lag("sum_sales_amt").over(earlier)))
         .select(
             *WEEK_KEY,
             "week_end_stock_on_hand",
             "week_end_ordered_stock",
             "out_of_stock_days",
-            as_total(sold).alias("sum_sales_qty"),
-            as_total(amount).alias("sum_sales_amt"),
-            as_total(F.col("sum_sales_cost")).alias("sum_sales_cost"),
-            as_total(F.round("potential_low_stock_impact", 2)).alias("potential_low_stock_impact"),
-            as_total(F.col("no_stock_impact")).alias("no_stock_impact"),
-            as_count(F.col("low_stock_instances")).alias("low_stock_instances"),
+            *_SUMS,
             ratio2(amount, sold).alias("avg_sales_price"),
             ratio2(on_hand, sold).alias("week_supply_stock"),
-            as_total(last).alias("last_week_sales"),
+            last,
             ratio2((amount - last) * 100, last).alias("week_over_week_growth"),
             ratio2(sold, on_hand).alias("stock_turnover_rate"),
         )
