@@ -1,0 +1,157 @@
+"""Expected values written by hand."""
+
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from aisleworks.plans import kpi_base, kpi_daily, kpi_weekly
+from tests.conftest import DAY, days
+
+
+def daily(sales, calendar, stock):
+    rows = kpi_daily(sales, calendar, stock).collect()
+    return sorted(rows, key=lambda r: (r.store_key, r.prod_key, r.trans_dt))
+
+
+def test_low_stock_compares_numbers_not_text(shop):
+    base = kpi_base(
+        shop.sales((DAY, 10, 50, 5)), shop.calendar(DAY), shop.stock((DAY, 9, 0, 0))
+    ).first()
+    assert "9" > "10"  # as text the sale would look covered
+    assert base.low_stock_flg == 1
+    assert base.stock_on_hand_amt == Decimal("45.0000")
+
+
+def test_zero_denominators_give_null(shop):
+    a, b = days(2)
+    first, second = daily(
+        shop.sales((a, 0, 0, 5), (b, 0, 7, 5)), shop.calendar(a, b), shop.stock((a, 3, 0, 0))
+    )
+    assert first.avg_sales_price is None and first.week_supply_stock is None
+    assert second.last_week_sales == 0 and second.week_over_week_growth is None
+
+
+def test_fractional_stock_is_not_zero_stock(shop):
+    (row,) = daily(shop.sales((DAY, 1, 4, 4)), shop.calendar(DAY), shop.stock((DAY, "0.50", 0, 0)))
+    assert row.stock_turnover_rate == Decimal("2.00")
+
+
+def test_zero_stock_has_no_turnover(shop):
+    (row,) = daily(shop.sales((DAY, 1, 4, 4)), shop.calendar(DAY), shop.stock((DAY, 0, 2, 1)))
+    assert row.stock_turnover_rate is None
+    assert row.week_supply_stock == 0
+    assert (row.no_stock_instances, row.no_stock_impact) == (1, 4)
+
+
+def test_week_end_stock_is_the_rows_own(shop):
+    span = days(3)
+    rows = daily(
+        shop.sales(*[(d, 1, 1, 1) for d in span]),
+        shop.calendar(*span),
+        shop.stock((span[0], 10, 0, 0), (span[1], None, 0, 0), (span[2], 7, 0, 0)),
+    )
+    assert [r.week_end_stock_on_hand for r in rows] == [10, None, 7]
+
+
+def test_last_sales_is_the_previous_day_within_one_week(shop):
+    span = days(3)
+    rows = daily(
+        shop.sales(*[(d, 1, i + 1, 1) for i, d in enumerate(span)]),
+        shop.calendar(*span),
+        shop.stock(),
+    )
+    assert [r.last_week_sales for r in rows] == [None, 1, 2]
+    assert [r.week_over_week_growth for r in rows] == [None, Decimal("100.00"), Decimal("50.00")]
+
+
+def test_sale_without_stock_row(shop):
+    (row,) = daily(shop.sales((DAY, 2, 8, 4)), shop.calendar(DAY), shop.stock())
+    assert row.low_stock_instances == 0
+    assert row.potential_low_stock_impact == 0
+    assert row.no_stock_impact == 0
+    assert row.total_low_stock_impact is None
+    assert row.no_stock_instances is None
+
+
+def test_impacts(shop):
+    # 4 on hand at 3.00; sales of 5, 5 and 2: two are low.
+    (row,) = daily(
+        shop.sales((DAY, 5, 15, 3), (DAY, 5, 16, 3), (DAY, 2, 6, 3)),
+        shop.calendar(DAY),
+        shop.stock((DAY, 4, 1, 0)),
+    )
+    assert row.low_stock_instances == 2 and row.total_low_stock_impact == 2
+    assert row.potential_low_stock_impact == Decimal("7.00")  # (15 - 12) + (16 - 12)
+    assert row.sum_sales_qty == 12 and row.avg_sales_price == Decimal("3.08")
+
+
+def test_impact_is_rounded_once_half_up(shop):
+    # 0.50 on hand at 0.01 and 0.02: (1 - 0.005) + (1 - 0.010) = 1.985
+    (row,) = daily(
+        shop.sales((DAY, 1, 1, "0.01"), (DAY, 2, 1, "0.02")),
+        shop.calendar(DAY),
+        shop.stock((DAY, "0.50", 0, 0)),
+    )
+    assert row.potential_low_stock_impact == Decimal("1.99")
+
+
+def test_duplicated_stock_key_multiplies_sales(shop):
+    (row,) = daily(
+        shop.sales((DAY, 5, 5, 1)), shop.calendar(DAY), shop.stock((DAY, 9, 0, 0), (DAY, 9, 0, 0))
+    )
+    assert row.sum_sales_qty == 10
+
+
+def test_sale_on_a_day_missing_from_the_calendar_is_dropped(shop):
+    a, b = days(2)
+    rows = daily(shop.sales((a, 1, 1, 1), (b, 1, 1, 1)), shop.calendar(b), shop.stock())
+    assert [r.trans_dt for r in rows] == [b]
+
+
+def test_weekly_grain(shop):
+    span = days(21)
+    mon, tue, next_mon, third_mon = span[0], span[1], span[7], span[14]
+    rows = (
+        kpi_weekly(
+            shop.sales((mon, 1, 10, 10), (mon, 2, 20, 10), (tue, 3, 30, 10), (third_mon, 1, 5, 5)),
+            shop.calendar(*span),
+            # Stock without sales counts too; two quantities on Monday must not double it.
+            shop.stock((mon, 0, 4, 1), (span[2], 6, 5, 0), (next_mon, 8, 1, 0), (third_mon, 2, 0, 0)),
+        )
+        .orderBy("yr_wk_num")
+        .collect()
+    )
+    first, second, third = rows
+    assert (first.out_of_stock_days, first.week_end_stock_on_hand) == (1, 6)
+    assert first.week_end_ordered_stock == 5
+    assert (first.sum_sales_amt, first.low_stock_instances, first.no_stock_impact) == (60, 2, 30)
+    assert (second.sum_sales_amt, second.last_week_sales) == (0, 60)
+    assert second.week_over_week_growth == Decimal("-100.00")
+    assert (third.last_week_sales, third.week_over_week_growth) == (0, None)
+
+
+def test_weekly_previous_week_must_adjoin(shop):
+    span = days(15)
+    rows = (
+        kpi_weekly(
+            shop.sales((span[0], 1, 10, 10), (span[14], 1, 20, 10)),
+            shop.calendar(*span),
+            shop.stock(),
+        )
+        .orderBy("yr_wk_num")
+        .collect()
+    )
+    assert [r.last_week_sales for r in rows] == [None, None]
+    assert [r.out_of_stock_days for r in rows] == [None, None]
+
+
+def test_text_and_number_comparison_differ_often(spark):
+    """How far a text comparison would be off on the given tables."""
+    from checks import derived
+    from aisleworks.operators.joins import join_inventory
+
+    sf = "/root/testdata/sf0.001"
+    rows = join_inventory(derived.sales(spark, sf), derived.inventory(spark, sf))
+    stock, sold = F.col("inventory_on_hand_qty"), F.col("sales_qty")
+    as_text = stock.cast("string") < sold.cast("string")
+    assert rows.where(as_text != (stock < sold)).count() == 1464
