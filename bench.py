@@ -37,53 +37,49 @@ HEADLINE = (
 )
 
 
-def _unfolded(identity_windows: bool) -> Callable[[SparkSession, str], DataFrame]:
-    """The daily KPIs from single sales, as a yardstick."""
-
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        base = daily.kpi_base(**derived.kpi_tables(spark, sf_dir))
-        if identity_windows:
-            day = Window.partitionBy("trans_dt", "store_key", "prod_key").orderBy("yr_wk_num")
-            week = Window.partitionBy("yr_wk_num", "store_key", "prod_key").orderBy("yr_wk_num")
-            upto = (Window.unboundedPreceding, Window.currentRow)
-            base = base.withColumns(
-                {
-                    "week_end_stock_on_hand":
-                        F.last("inventory_on_hand_qty").over(day.rowsBetween(*upto)),
-                    "week_end_ordered_stock":
-                        F.last("inventory_on_order_qty").over(week.rowsBetween(*upto)),
-                }
-            )
-        low, out, amount = (F.col(c) for c in ("low_stock_flg", "out_of_stock_flg", "sales_amt"))
-        sums = base.groupBy(
-            "yr_wk_num", "trans_dt", "store_key", "prod_key",
-            "week_end_stock_on_hand", "week_end_ordered_stock",
-        ).agg(
-            as_total(F.sum("sales_qty")).alias("sum_sales_qty"),
-            as_total(F.sum(amount)).alias("sum_sales_amt"),
-            as_total(F.sum("sales_cost")).alias("sum_sales_cost"),
-            as_count(F.sum(low + out)).alias("total_low_stock_impact"),
-            as_total(
-                F.round(
-                    F.sum(F.when(low == 1, amount - F.col("stock_on_hand_amt")).otherwise(0)), 2
-                )
-            ).alias("potential_low_stock_impact"),
-            as_total(F.sum(F.when(out == 1, amount).otherwise(0))).alias("no_stock_impact"),
-            as_count(F.sum(low)).alias("low_stock_instances"),
-            as_count(F.sum(out)).alias("no_stock_instances"),
-        )
-        sold = F.col("sum_sales_qty")
-        kpis = sums.withColumn("avg_sales_price", ratio2(F.col("sum_sales_amt"), sold)).withColumn(
-            "week_supply_stock", ratio2(F.col("week_end_stock_on_hand"), sold)
+def sale_by_sale(
+    sales: DataFrame, calendar: DataFrame, inventory: DataFrame, identity_windows: bool = False
+) -> DataFrame:
+    """The daily KPIs from single sales, as a yardstick for the folded plan."""
+    base = daily.kpi_base(sales, calendar, inventory)
+    if identity_windows:
+        day = Window.partitionBy("trans_dt", "store_key", "prod_key").orderBy("yr_wk_num")
+        week = Window.partitionBy("yr_wk_num", "store_key", "prod_key").orderBy("yr_wk_num")
+        upto = (Window.unboundedPreceding, Window.currentRow)
+        on_hand, on_order = F.last("inventory_on_hand_qty"), F.last("inventory_on_order_qty")
+        base = base.withColumns(
+            {
+                "week_end_stock_on_hand": on_hand.over(day.rowsBetween(*upto)),
+                "week_end_ordered_stock": on_order.over(week.rowsBetween(*upto)),
+            }
         )
-        return daily.with_ratios(with_last_sales(kpis))
-
-    return query
+    low, out, amount = (F.col(c) for c in ("low_stock_flg", "out_of_stock_flg", "sales_amt"))
+    beyond = F.when(low == 1, amount - F.col("stock_on_hand_amt")).otherwise(0)
+    sums = base.groupBy(
+        "yr_wk_num", "trans_dt", "store_key", "prod_key",
+        "week_end_stock_on_hand", "week_end_ordered_stock",
+    ).agg(
+        as_total(F.sum("sales_qty")).alias("sum_sales_qty"),
+        as_total(F.sum(amount)).alias("sum_sales_amt"),
+        as_total(F.sum("sales_cost")).alias("sum_sales_cost"),
+        as_count(F.sum(low + out)).alias("total_low_stock_impact"),
+        as_total(F.round(F.sum(beyond), 2)).alias("potential_low_stock_impact"),
+        as_total(F.sum(F.when(out == 1, amount).otherwise(0))).alias("no_stock_impact"),
+        as_count(F.sum(low)).alias("low_stock_instances"),
+        as_count(F.sum(out)).alias("no_stock_instances"),
+    )
+    sold = F.col("sum_sales_qty")
+    kpis = sums.withColumn("avg_sales_price", ratio2(F.col("sum_sales_amt"), sold)).withColumn(
+        "week_supply_stock", ratio2(F.col("week_end_stock_on_hand"), sold)
+    )
+    return daily.with_ratios(with_last_sales(kpis))
 
 
 COMPARISONS = {
-    "daily_sale_by_sale": _unfolded(identity_windows=False),
-    "daily_with_identity_windows": _unfolded(identity_windows=True),
+    "daily_sale_by_sale": lambda spark, sf_dir: sale_by_sale(**derived.kpi_tables(spark, sf_dir)),
+    "daily_with_identity_windows": lambda spark, sf_dir: sale_by_sale(
+        **derived.kpi_tables(spark, sf_dir), identity_windows=True
+    ),
 }
 
 

@@ -53,6 +53,11 @@ def dec(value) -> Decimal | None:
     return None if value is None else Decimal(str(value))
 
 
+# What short rows leave out: cost, store, product, id; and store, product.
+_SALE_REST = (0, 1, 1, 1)
+_STOCK_REST = (1, 1)
+
+
 class Shop:
     """Small hand-written tables; unnamed columns are NULL."""
 
@@ -66,12 +71,10 @@ class Shop:
         )
 
     def sales(self, *rows):
-        """(day, qty, amt, price) or with trailing (cost, store, product, trans_id)."""
+        """(day, quantity, amount, price) and optionally (cost, store, product, id)."""
         full = []
         for row in rows:
-            day, qty, amt, price, cost, store, prod, trans = (*row, 0, 1, 1, 1)[:4] + (
-                (*row[4:], *(0, 1, 1, 1)[max(0, len(row) - 4):])
-            )
+            day, qty, amt, price, cost, store, prod, trans = (*row, *_SALE_REST[len(row) - 4:])
             full.append(
                 dict(trans_dt=day, sales_qty=dec(qty), sales_amt=dec(amt), sales_price=dec(price),
                      sales_cost=dec(cost), store_key=store, prod_key=prod, trans_id=trans)
@@ -79,16 +82,16 @@ class Shop:
         return self._frame("sales", full)
 
     def stock(self, *rows):
-        """(day, on hand, on order, out flag) or with trailing (store, product)."""
-        return self._frame(
-            "inventory",
-            [
-                dict(cal_dt=r[0], inventory_on_hand_qty=dec(r[1]), inventory_on_order_qty=dec(r[2]),
-                     out_of_stock_flg=r[3], store_key=(*r, 1, 1)[4] if len(r) < 5 else r[4],
-                     prod_key=1 if len(r) < 6 else r[5])
-                for r in rows
-            ],
-        )
+        """(day, on hand, on order, out flag) and optionally (store, product)."""
+        full = []
+        for row in rows:
+            day, on_hand, on_order, out, store, prod = (*row, *_STOCK_REST[len(row) - 4:])
+            full.append(
+                dict(cal_dt=day, inventory_on_hand_qty=dec(on_hand),
+                     inventory_on_order_qty=dec(on_order), out_of_stock_flg=out,
+                     store_key=store, prod_key=prod)
+            )
+        return self._frame("inventory", full)
 
     def calendar(self, *days):
         return self._frame(

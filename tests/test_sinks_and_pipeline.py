@@ -1,0 +1,141 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from aisleworks import sinks, sources
+from aisleworks.operators.checks import DuplicateKeyError
+from aisleworks.plans import kpi_daily, pipeline
+from aisleworks.schemas import KPI_COLUMNS
+from checks import derived
+from checks.catalog import LAST_DATE, MID_DATE
+from tests.conftest import DAY, days
+
+SF = "/root/testdata/sf0.001"
+
+
+def files(root):
+    return {p: p.stat().st_mtime_ns for p in root.rglob("*.parquet")}
+
+
+def test_rerun_replaces_one_date_only(spark, tmp_path):
+    a, b = days(2)
+    kpis = spark.range(100).select(F.lit(DAY).alias("trans_dt"), "id")
+    assert sinks.write_partition(kpis, str(tmp_path), a) == 100
+    assert sinks.write_partition(kpis, str(tmp_path), b) == 100
+    kept = files(tmp_path / f"date={a}")
+    assert sinks.write_partition(kpis.where("id < 7"), str(tmp_path), b) == 7
+    assert files(tmp_path / f"date={a}") == kept
+    back = spark.read.parquet(str(tmp_path))
+    assert dict(back.dtypes)["date"] == "date"
+    assert {(r.date, r["count"]) for r in back.groupBy("date").count().collect()} == {
+        (a, 100), (b, 7),
+    }
+
+
+def test_rerun_without_rows_empties_its_partition(spark, tmp_path):
+    a, b = days(2)
+    kpis = spark.range(10).select(F.lit(DAY).alias("trans_dt"), "id")
+    for day in (a, b):
+        sinks.write_partition(kpis, str(tmp_path), day)
+    assert sinks.write_partition(kpis.where("id < 0"), str(tmp_path), b) == 0
+    back = spark.read.parquet(str(tmp_path))
+    assert [r.date for r in back.select("date").distinct().collect()] == [a]
+
+
+def test_output_is_gzip_by_default(spark, tmp_path):
+    sinks.write_partition(spark.range(1).select(F.lit(DAY).alias("trans_dt")), str(tmp_path), DAY)
+    assert all(".gz." in p.name for p in files(tmp_path))
+    sinks.write_partition(
+        spark.range(1).select(F.lit(DAY).alias("trans_dt")), str(tmp_path), DAY, compression="zstd"
+    )
+    assert all(".zstd." in p.name for p in files(tmp_path))
+
+
+def test_snapshot_keeps_dimensions_whole(spark):
+    tables = derived.all_tables(spark, SF)
+    assert sinks.snapshot(tables["calendar"], "calendar", DAY) is tables["calendar"]
+    cut = sinks.snapshot(tables["sales"], "sales", MID_DATE)
+    assert cut.agg(F.max("trans_dt")).first()[0] <= MID_DATE
+
+
+def test_empty_table_exports_and_reads_back(shop, spark, tmp_path):
+    from aisleworks.schemas import SALES
+
+    landing = sources.Location(str(tmp_path))
+    assert sinks.export_snapshot({"sales": shop.sales()}, landing, DAY) == {"sales": 0}
+    assert sources.read_by_header(spark, landing, "sales", SALES, DAY).count() == 0
+
+
+@pytest.fixture
+def landing(spark, tmp_path):
+    place = sources.Location(str(tmp_path / "landing"))
+    sinks.export_snapshot(derived.all_tables(spark, SF), place, LAST_DATE)
+    return place
+
+
+def test_pipeline_publishes_the_daily_kpis(spark, landing, tmp_path):
+    root = str(tmp_path / "out")
+    rows = pipeline.run(spark, landing, root, LAST_DATE)
+    published = spark.read.parquet(root)
+    assert rows == published.count()
+    want = kpi_daily(**derived.kpi_tables(spark, SF))
+    got = published.where(F.col("date") == F.lit(LAST_DATE)).select(*KPI_COLUMNS)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert pipeline.run(spark, landing, root, LAST_DATE) == rows
+    assert spark.read.parquet(root).count() == rows
+
+
+def test_pipeline_stops_while_files_are_missing(spark, landing, tmp_path):
+    early = LAST_DATE - dt.timedelta(days=1)
+    with pytest.raises(pipeline.MissingFilesError) as err:
+        pipeline.run(spark, landing, str(tmp_path / "out"), early)
+    assert len(err.value.names) == 5
+    assert f"sales_{early}.csv" in err.value.names
+    assert not (tmp_path / "out").exists()
+
+
+def test_pipeline_checks_keys_before_publishing(spark, shop, tmp_path):
+    place = sources.Location(str(tmp_path / "landing"))
+    tables = {
+        **derived.all_tables(spark, SF),
+        "sales": shop.sales((DAY, 5, 5, 1)),
+        "calendar": shop.calendar(DAY),
+        "inventory": shop.stock((DAY, 9, 0, 0), (DAY, 9, 0, 0)),
+    }
+    sinks.export_snapshot(tables, place, DAY)
+    with pytest.raises(DuplicateKeyError):
+        pipeline.run(spark, place, str(tmp_path / "out"), DAY)
+    assert not (tmp_path / "out").exists()
+
+
+def test_command_line(spark, landing, tmp_path, monkeypatch, capsys):
+    from aisleworks import __main__ as cli
+
+    monkeypatch.setattr(cli, "build_session", lambda app: spark)
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    monkeypatch.setattr(
+        "sys.argv",
+        ["aisleworks", str(LAST_DATE), "--landing", landing.root, "--output", str(tmp_path / "o")],
+    )
+    cli.main()
+    assert "rows published" in capsys.readouterr().out
+
+
+def test_scratch_needs_a_shared_folder_off_local_mode(spark):
+    from aisleworks.scratch import scratch_path
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert first.startswith(shared) and first != second
+
+    class Cluster:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.master": "yarn"}.get(key, default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(Cluster, "x")
