@@ -24,21 +24,46 @@ def with_last_sales(kpis: DataFrame) -> DataFrame:
     return kpis.withColumn("last_week_sales", F.lag("sum_sales_amt").over(previous))
 
 
+# A task sorts and scans this many narrow rows in well under a minute.
+GROUP_LIMIT = 5_000_000
+_SAMPLED = 0.001
+
+
+def estimated_largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """About how many rows the largest group has, from one row in a thousand.
+
+    For choosing between two exact plans only; no result depends on it.
+    """
+    counts = df.select(*group).sample(_SAMPLED, seed=1).groupBy(*group).count()
+    return int((counts.agg(F.max("count")).first()[0] or 0) / _SAMPLED)
+
+
 def running_total(
     df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, name: str
 ) -> DataFrame:
-    """Running sum of ``value`` per group, for groups of any size.
+    """Running sum of ``value`` per group; each group is sorted by one task."""
+    upto = Window.partitionBy(*group).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    return df.withColumn(name, F.sum(value).over(upto))
+
+
+def running_total_in_blocks(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, name: str
+) -> DataFrame:
+    """The same running sum for groups of any size.
 
-    A plain window would sort a whole group in one task.  Here the rows are range
-    partitioned by group and order, so a large group spans several blocks; each
+    The rows are range partitioned by group and order, so a large group spans several blocks; each
     block sums on its own and adds what the group's earlier blocks hold.  Blocks
     must stay fixed between the two passes, hence the written table.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "running-total")
     (
-        # The tie column lets even a third of identical rows be cut into blocks.
-        df.withColumn("_tie", F.monotonically_increasing_id())
+        # The tie column lets even a third of identical rows be cut into blocks.  Rows
+        # are sorted first so that a recomputed task numbers them the same way.
+        df.sortWithinPartitions(*df.columns)
+        .withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(*group, *order, "_tie")
         .withColumn("_block", F.spark_partition_id())
         .write.parquet(path)

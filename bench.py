@@ -1,8 +1,9 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR and BENCH_CPUS choose data and cores; BENCH_RUNS the timed runs after
-one warm-up (median is reported).  ``--compare`` also times the same KPIs computed
-sale by sale, with and without the two identity windows.
+one warm-up (median is reported).  ``--compare`` instead times the daily KPIs over
+stored tables of three shapes, BENCH_COPIES times the sales, against the same KPIs
+computed sale by sale with and without the two identity windows.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from aisleworks.functions import as_count, as_total, ratio2
 from aisleworks.operators.windows import with_last_sales
 from aisleworks.plans import daily
+from aisleworks.schemas import INVENTORY_KEY
+from aisleworks.scratch import scratch_path
 from aisleworks.session import build_session
 from checks import derived
 from checks.catalog import QUERIES
@@ -75,12 +78,52 @@ def sale_by_sale(
     return daily.with_ratios(with_last_sales(kpis))
 
 
-COMPARISONS = {
-    "daily_sale_by_sale": lambda spark, sf_dir: sale_by_sale(**derived.kpi_tables(spark, sf_dir)),
-    "daily_with_identity_windows": lambda spark, sf_dir: sale_by_sale(
-        **derived.kpi_tables(spark, sf_dir), identity_windows=True
-    ),
-}
+def _stored(spark: SparkSession, sf_dir: str, copies: int) -> dict[str, dict[str, DataFrame]]:
+    """Typed Parquet tables: copies spread over new stores, on the same keys, and
+    with a third of all sales on one day, store and product."""
+    root = scratch_path(spark, "bench")
+    tables = derived.kpi_tables(spark, sf_dir)
+    for name in ("calendar", "inventory"):
+        tables[name].write.parquet(f"{root}/{name}")
+    stored = {name: spark.read.parquet(f"{root}/{name}") for name in ("calendar", "inventory")}
+
+    copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+    dense = tables["sales"].withColumn("copy", copy)
+    hot = F.pmod(F.xxhash64("trans_id", "copy"), F.lit(3)) == 0
+    target = stored["inventory"].orderBy(*INVENTORY_KEY).first()
+    shapes = {
+        "sparse": dense.withColumn("store_key", F.col("store_key") + F.col("copy") * 5),
+        "dense": dense,
+        "hot": dense.withColumns(
+            {
+                "trans_dt": F.when(hot, F.lit(target.cal_dt)).otherwise(F.col("trans_dt")),
+                "store_key": F.when(hot, F.lit(target.store_key)).otherwise(F.col("store_key")),
+                "prod_key": F.when(hot, F.lit(target.prod_key)).otherwise(F.col("prod_key")),
+            }
+        ),
+    }
+    result = {}
+    for shape, sales in shapes.items():
+        sales.drop("copy").repartition(32).write.parquet(f"{root}/{shape}")
+        result[shape] = {**stored, "sales": spark.read.parquet(f"{root}/{shape}")}
+    return result
+
+
+def compare(spark: SparkSession, sf_dir: str, runs: int) -> dict[str, float]:
+    """Inventory is shuffled, as it would be at full size; only the calendar is not."""
+    shapes = _stored(spark, sf_dir, int(os.environ.get("BENCH_COPIES", "16")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100KB")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "100KB")
+    times = {}
+    for shape, tables in shapes.items():
+        plans = {
+            "folded": daily.kpi_daily(**tables),
+            "sale_by_sale": sale_by_sale(**tables),
+            "identity_windows": sale_by_sale(**tables, identity_windows=True),
+        }
+        for name, df in plans.items():
+            times[f"{shape}_{name}"] = _time(lambda *_, df=df: df, spark, sf_dir, runs)
+    return times
 
 
 def _time(query: Callable, spark: SparkSession, sf_dir: str, runs: int) -> float:
@@ -102,12 +145,11 @@ def main() -> None:
         **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    named = {name: QUERIES[name] for name in HEADLINE}
     if "--compare" in sys.argv:
-        named.update(COMPARISONS)
-    if only := [arg for arg in sys.argv[1:] if not arg.startswith("--")]:
-        named = {name: query for name, query in named.items() if name in only}
-    times = {name: _time(query, spark, sf_dir, runs) for name, query in named.items()}
+        times = compare(spark, sf_dir, runs)
+    else:
+        wanted = sys.argv[1:] or HEADLINE
+        times = {name: _time(QUERIES[name], spark, sf_dir, runs) for name in wanted}
     print(
         json.dumps(
             {

@@ -141,3 +141,13 @@ def test_hot_row_level_join_is_split_at_run_time(spark, facts, conf):
     rows = joined.select("trans_id", "inventory_on_hand_qty")
     rows.collect()
     assert "SortMergeJoin(skew=true)" in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tie_numbers_follow_a_local_sort(spark):
+    """The optimizer must not drop the sort that makes the numbering repeatable."""
+    numbered = (
+        spark.range(10).repartition(3).sortWithinPartitions("id")
+        .withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange("id", "_tie")
+    )
+    assert "Sort [id" in plan(numbered)

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from aisleworks.operators.aggregates import sales_by_quantity
 from aisleworks.operators.joins import join_calendar
-from aisleworks.operators.windows import running_total
-from aisleworks.plans import kpi_agg
+from aisleworks.operators.windows import estimated_largest_group, running_total_in_blocks
+from aisleworks.plans import kpi_agg, week_out_of_stock_running
 from checks import derived
 from tests.conftest import DAY
 
@@ -75,7 +75,7 @@ def test_running_total_over_many_blocks(spark, conf, partitions):
     rows += [(g, i, g % 3) for g in range(2, 60) for i in range(10)]
     df = spark.createDataFrame(rows, "g int, o int, v int").repartition(7)
     got = Counter(
-        (r.g, r.o, r.total) for r in running_total(df, ["g"], ["o"], "v", "total").collect()
+        (r.g, r.o, r.total) for r in running_total_in_blocks(df, ["g"], ["o"], "v", "total").collect()
     )
     assert got == brute_force_running(rows)
 
@@ -85,10 +85,27 @@ def test_running_total_cuts_a_group_of_identical_rows(spark, conf):
     df = spark.range(2000).select(
         F.lit(1).alias("g"), F.lit(DAY).alias("o"), F.lit(1).alias("v")
     )
-    totals = running_total(df, ["g"], ["o"], "v", "total")
+    totals = running_total_in_blocks(df, ["g"], ["o"], "v", "total")
     assert sorted(r.total for r in totals.collect()) == list(range(1, 2001))
 
 
+def test_hot_week_counts_alike_in_blocks_and_in_one_window(skewed, conf):
+    conf(adaptive__coalescePartitions__enabled="false")
+    whole = week_out_of_stock_running(**skewed)
+    blocks = week_out_of_stock_running(**skewed, group_limit=-1)
+    assert "_block" in blocks._jdf.queryExecution().toString()
+    assert "_block" not in whole._jdf.queryExecution().toString()
+    assert whole.exceptAll(blocks).count() == 0 and blocks.exceptAll(whole).count() == 0
+
+
+def test_largest_group_estimate(spark):
+    rows = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("g")
+    )
+    assert 50_000 < estimated_largest_group(rows, ["g"]) < 200_000
+    assert estimated_largest_group(rows.limit(0), ["g"]) == 0
+
+
 def test_running_total_blocks_are_even(spark, conf, tmp_path, monkeypatch):
     """No block holds a hot group whole."""
     conf(shuffle__partitions=8, adaptive__coalescePartitions__enabled="false")
@@ -99,7 +116,7 @@ def test_running_total_blocks_are_even(spark, conf, tmp_path, monkeypatch):
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("g"),
         F.lit(0).alias("o"), F.lit(1).alias("v"),
     )
-    running_total(rows, ["g"], ["o"], "v", "total").count()
+    running_total_in_blocks(rows, ["g"], ["o"], "v", "total").count()
     blocks = spark.read.parquet(str(tmp_path / "running-total")).groupBy("_block").count()
     sizes = [r["count"] for r in blocks.collect()]
     assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
