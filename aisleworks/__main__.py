@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from aisleworks.plans.pipeline import run
+from aisleworks.plans.batch import run
 from aisleworks.session import build_session
 from aisleworks.sources import Location
 

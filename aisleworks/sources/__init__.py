@@ -1,4 +1,4 @@
-from aisleworks.sources.csv import read_by_header, read_positional, read_with_rejects
+from aisleworks.sources.csv_files import read_by_header, read_positional, read_with_rejects
 from aisleworks.sources.listing import list_files
 from aisleworks.sources.location import Location
 from aisleworks.sources.tables import load_table, register_views, replace_table

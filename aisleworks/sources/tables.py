@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from aisleworks.schemas import TABLES
-from aisleworks.sources.csv import read_positional
+from aisleworks.sources.csv_files import read_positional
 from aisleworks.sources.location import Location
 
 

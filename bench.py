@@ -36,7 +36,7 @@ HEADLINE = (
     "sink_partition_overwrite",
     "export_audit",
     "readiness_by_date",
-    "pipeline_end_to_end",
+    "batch_end_to_end",
 )
 
 

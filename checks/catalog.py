@@ -17,7 +17,7 @@ from aisleworks.functions import date_text, parse_date
 from aisleworks.operators import checks, joins, readiness, stock
 from aisleworks.operators.aggregates import DAY_KEY
 from aisleworks.operators.windows import with_last_sales
-from aisleworks.plans import daily, kpi_by_market_category, kpi_weekly, pipeline
+from aisleworks.plans import batch, daily, kpi_by_market_category, kpi_weekly
 from aisleworks.scratch import scratch_path
 from checks import derived
 
@@ -49,8 +49,8 @@ def scan_csv_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = derived.sales(spark, sf_dir)
     shuffled = sales.select([F.col(c).alias(c.upper()) for c in reversed(sales.columns)])
     location = _location(spark, "scan")
-    sources_options = {**location.csv_options(), "header": True}
-    shuffled.write.options(**sources_options).csv(location.path("sales", LAST_DATE))
+    options = {**location.csv_options(), "header": True}
+    shuffled.write.options(**options).csv(location.path("sales", LAST_DATE))
     return sources.read_by_header(spark, location, "sales", schemas.SALES, LAST_DATE)
 
 
@@ -276,7 +276,7 @@ def market(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi_by_market_category(**derived.all_tables(spark, sf_dir))
 
 
-# Gate and pipeline
+# Gate and batch
 
 
 def readiness_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,11 +306,11 @@ def readiness_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readiness.readiness_status(required, streaming.current_flags(spark, output))
 
 
-def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+def batch_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export all five tables, pass the gate, publish the KPIs, read them back."""
     landing, root = _location(spark, "landing"), scratch_path(spark, "output")
     sinks.export_snapshot(derived.all_tables(spark, sf_dir), landing, LAST_DATE)
-    pipeline.run(spark, landing, root, LAST_DATE)
+    batch.run(spark, landing, root, LAST_DATE)
     return spark.read.parquet(root)
 
 
@@ -352,5 +352,5 @@ QUERIES: dict[str, Query] = {
     "readiness_by_date": readiness_by_date,
     "ready_manifest_json": ready_manifest_json,
     "readiness_stream": readiness_stream,
-    "pipeline_end_to_end": pipeline_end_to_end,
+    "batch_end_to_end": batch_end_to_end,
 }

@@ -312,5 +312,5 @@ ORACLE: dict[str, str] = {
             FROM (SELECT business_date, strftime(business_date, '%Y-%m-%d') AS d
                   FROM status WHERE ready)""",
     ),
-    "pipeline_end_to_end": _published(LAST_DATE),
+    "batch_end_to_end": _published(LAST_DATE),
 }
