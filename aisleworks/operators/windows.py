@@ -53,9 +53,9 @@ def running_total_in_blocks(
 ) -> DataFrame:
     """The same running sum for groups of any size.
 
-    The rows are range partitioned by group and order, so a large group spans several blocks; each
-    block sums on its own and adds what the group's earlier blocks hold.  Blocks
-    must stay fixed between the two passes, hence the written table.
+    The rows are range partitioned by group and order, so a large group spans several
+    blocks; each block sums on its own and adds what the group's earlier blocks hold.
+    Blocks must stay fixed between the two passes, hence the written table.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "running-total")

@@ -23,18 +23,18 @@ class MissingFilesError(RuntimeError):
 
 
 def check_ready(spark: SparkSession, landing: Location, run_date: dt.date) -> None:
-    """Raise unless all five files of the run date are there."""
-    required = required_files(
-        spark.createDataFrame([(run_date,)], "business_date date")
-    )
-    absent = missing_files(required, list_files(spark, landing.root)).collect()
+    """Raise unless all five files of the run date are there.
+
+    Only names of that date are listed, however many dates the folder holds.
+    """
+    required = required_files(spark.createDataFrame([(run_date,)], "business_date date"))
+    listing = list_files(spark, landing.root, landing.file_name("*", run_date))
+    absent = missing_files(required, listing).collect()
     if absent:
         raise MissingFilesError(sorted(row.file_name for row in absent))
 
 
-def read_inputs(
-    spark: SparkSession, landing: Location, run_date: dt.date
-) -> dict[str, DataFrame]:
+def read_inputs(spark: SparkSession, landing: Location, run_date: dt.date) -> dict[str, DataFrame]:
     """The three tables the KPIs need, typed."""
     return {
         table: read_by_header(spark, landing, table, schemas.TABLES[table], run_date)

@@ -15,13 +15,15 @@ LISTING = T.StructType(
 )
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
+def list_files(spark: SparkSession, root: str, pattern: str = "") -> DataFrame:
     """Every file below ``root``; file contents are never read.
 
-    A folder that does not exist yet lists as empty.
+    ``pattern`` is a glob for the names directly below ``root``, files or folders, and
+    spares listing the others.  What does not exist yet lists as empty.
     """
+    where = f"{root.rstrip('/')}/{pattern}"
     try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(where)
     except AnalysisException as err:
         if "PATH_NOT_FOUND" not in (err.getCondition() or ""):
             raise

@@ -264,7 +264,8 @@ ORACLE: dict[str, str] = {
                     THEN TRY_CAST(raw_text AS DATE) END AS parsed_dt
         FROM (SELECT l_orderkey, l_linenumber,
                      CASE WHEN l_orderkey % 7 = 0
-                          THEN year(l_shipdate) || '-' || month(l_shipdate) || '-' || day(l_shipdate)
+                          THEN concat_ws('-', year(l_shipdate), month(l_shipdate),
+                                         day(l_shipdate))
                           WHEN l_orderkey % 11 = 0 THEN {_TEXT_DATE} || ' 10:00'
                           WHEN l_orderkey % 13 = 0 THEN '1999-02-30'
                           WHEN l_orderkey % 17 = 0 THEN 'unknown'

@@ -116,7 +116,9 @@ def test_weekly_grain(shop):
             shop.sales((mon, 1, 10, 10), (mon, 2, 20, 10), (tue, 3, 30, 10), (third_mon, 1, 5, 5)),
             shop.calendar(*span),
             # Stock without sales counts too; two quantities on Monday must not double it.
-            shop.stock((mon, 0, 4, 1), (span[2], 6, 5, 0), (next_mon, 8, 1, 0), (third_mon, 2, 0, 0)),
+            shop.stock(
+                (mon, 0, 4, 1), (span[2], 6, 5, 0), (next_mon, 8, 1, 0), (third_mon, 2, 0, 0)
+            ),
         )
         .orderBy("yr_wk_num")
         .collect()

@@ -159,6 +159,5 @@ def test_ratio_rounds_exact_halves_up_and_near_halves_down(spark):
         [(dec(n), dec(d), dec(w)) for n, d, w in cases],
         "num decimal(18,2), den decimal(18,2), want decimal(18,2)",
     )
-    assert [
-        (r.got, r.want) for r in rows.withColumn("got", ratio2(F.col("num"), F.col("den"))).collect()
-    ] == [(dec(w), dec(w)) for _, _, w in cases]
+    done = rows.withColumn("got", ratio2(F.col("num"), F.col("den"))).collect()
+    assert [(r.got, r.want) for r in done] == [(dec(w), dec(w)) for _, _, w in cases]

@@ -74,9 +74,8 @@ def test_running_total_over_many_blocks(spark, conf, partitions):
     rows += [(None, i, 1) for i in range(40)]
     rows += [(g, i, g % 3) for g in range(2, 60) for i in range(10)]
     df = spark.createDataFrame(rows, "g int, o int, v int").repartition(7)
-    got = Counter(
-        (r.g, r.o, r.total) for r in running_total_in_blocks(df, ["g"], ["o"], "v", "total").collect()
-    )
+    totals = running_total_in_blocks(df, ["g"], ["o"], "v", "total")
+    got = Counter((r.g, r.o, r.total) for r in totals.collect())
     assert got == brute_force_running(rows)
 
 

@@ -121,6 +121,9 @@ def test_listing(spark, tmp_path):
     rows = {r.path.rsplit("/", 1)[1]: r.length for r in
             sources.list_files(spark, str(tmp_path)).collect()}
     assert rows == {"a.csv": 6, "b.csv": 2}
+    for pattern, names in (("d*", ["b.csv"]), ("*.csv", ["a.csv"]), ("x*", [])):
+        found = sources.list_files(spark, str(tmp_path), pattern).collect()
+        assert [r.path.rsplit("/", 1)[1] for r in found] == names
 
 
 def test_paths_are_zero_padded():
