@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -46,8 +47,17 @@ def track_arrivals(paths: DataFrame, output: str, checkpoint: str) -> StreamingQ
 
 
 def current_flags(spark: SparkSession, output: str) -> DataFrame:
-    """The flags as of the last batch; they only ever turn from false to true."""
-    batches = spark.read.parquet(output)
+    """The flags as of the last batch; they only ever turn from false to true.
+
+    Empty before the first batch.
+    """
+    flags = [f"has_{t} boolean" for t in REQUIRED]
+    try:
+        batches = spark.read.parquet(output)
+    except AnalysisException as err:
+        if "PATH_NOT_FOUND" not in (err.getCondition() or ""):
+            raise
+        batches = spark.createDataFrame([], ", ".join(["business_date date", *flags]))
     return batches.groupBy("business_date").agg(
         *[F.bool_or(f"has_{t}").alias(f"has_{t}") for t in REQUIRED]
     )

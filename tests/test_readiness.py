@@ -89,6 +89,7 @@ def test_stream_over_a_folder_equals_the_batch_and_survives_a_restart(spark, gat
         assert sorted(live.collect()) == sorted(batch.collect())
         return {r.business_date: r.ready for r in live.collect()}
 
+    assert arrive() == {a: False, b: False}
     assert arrive(*names(a)[:3], names(b)[0]) == {a: False, b: False}
     assert arrive(*names(a)[3:]) == {a: True, b: False}
     assert arrive(*names(b)[1:], "unrelated.txt") == {a: True, b: True}

@@ -164,3 +164,21 @@ def test_awkward_text_survives_export_and_load(spark, tmp_path):
     for read in (sources.read_by_header, sources.read_positional):
         back = read(spark, landing, "product", schemas.PRODUCT, DAY)
         assert sorted(map(tuple, back.collect())) == sorted(rows)
+
+
+def test_line_breaks_in_text_need_a_multi_line_location(spark, tmp_path):
+    from aisleworks import sinks
+
+    names = schemas.PRODUCT.names
+    rows = [
+        tuple({"prod_key": 1, "prod_name": "two\nlines"}.get(n) for n in names),
+        tuple({"prod_key": 2, "prod_name": "one line"}.get(n) for n in names),
+    ]
+    df = spark.createDataFrame(rows, schemas.PRODUCT)
+    sinks.export_snapshot({"product": df}, sources.Location(str(tmp_path)), DAY)
+    whole = sources.Location(str(tmp_path), multi_line=True)
+    back = sources.read_by_header(spark, whole, "product", schemas.PRODUCT, DAY)
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    split = sources.Location(str(tmp_path))
+    with pytest.raises(FAILURES, match="MALFORMED"):
+        sources.read_positional(spark, split, "product", schemas.PRODUCT, DAY).collect()
