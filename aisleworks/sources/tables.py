@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,12 +12,25 @@ from aisleworks.sources.csv_files import read_positional
 from aisleworks.sources.location import Location
 
 
-def replace_table(df: DataFrame, path: str, name: str | None = None) -> DataFrame:
-    """Create or replace a Parquet table at ``path``, in the catalog if named."""
+def replace_table(
+    df: DataFrame, path: str, name: str | None = None, buckets: int = 0, by: Sequence[str] = ()
+) -> DataFrame:
+    """Create or replace a Parquet table at ``path``, in the catalog if named.
+
+    A named table may be bucketed: inventory in buckets ``by`` its key is not
+    shuffled again by the KPI joins.  Bucket only on keys that are unique,
+    or nearly so; a repeated key sits whole in one bucket.
+    """
     writer = df.write.mode("overwrite").format("parquet")
     if name:
+        if buckets:
+            # Shuffled first: one file per bucket instead of one per task and bucket.
+            writer = df.repartition(buckets, *by).write.mode("overwrite").format("parquet")
+            writer = writer.bucketBy(buckets, *by)
         writer.option("path", path).saveAsTable(name)
         return df.sparkSession.table(name)
+    if buckets:
+        raise ValueError("buckets are kept in the catalog: give the table a name")
     writer.save(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -29,12 +42,15 @@ def load_table(
     target: str,
     day: dt.date | None = None,
     name: str | None = None,
+    buckets: int = 0,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Bulk-load one CSV file into its typed table; any malformed row aborts it.
 
     Writing every column makes Spark check every column.
     """
-    return replace_table(read_positional(spark, source, table, TABLES[table], day), target, name)
+    rows = read_positional(spark, source, table, TABLES[table], day)
+    return replace_table(rows, target, name, buckets, by)
 
 
 def register_views(tables: Mapping[str, DataFrame], shared: bool = False) -> None:

@@ -9,7 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from aisleworks import schemas, sinks
+from aisleworks import schemas, sinks, sources
 from aisleworks.operators.joins import join_inventory
 from aisleworks.plans import kpi_base, kpi_by_market_category, kpi_daily, kpi_weekly
 from checks import derived
@@ -59,6 +59,18 @@ def test_daily_shuffles(facts, large):
     assert count(text, "SortMergeJoin") == 1 and "LeftOuter" in text
 
 
+def test_bucketed_inventory_is_not_shuffled(spark, facts, large, tmp_path):
+    stock = sources.replace_table(
+        facts["inventory"], str(tmp_path / "t"), "stock_in_buckets", 8, schemas.INVENTORY_KEY
+    )
+    try:
+        bucketed = kpi_daily(facts["sales"], facts["calendar"], stock)
+        assert count(plan(bucketed), "Exchange") == 3
+        assert bucketed.exceptAll(kpi_daily(**facts)).count() == 0
+    finally:
+        spark.sql("DROP TABLE stock_in_buckets")
+
+
 def test_sales_are_combined_before_their_first_shuffle(facts, large):
     text = plan(kpi_daily(**facts))
     shuffled = text[: text.index("FileScan")].rsplit("Exchange hashpartitioning", 1)[1]
