@@ -24,8 +24,8 @@ from aisleworks.plans import daily
 from aisleworks.schemas import INVENTORY_KEY
 from aisleworks.scratch import scratch_path
 from aisleworks.session import build_session
-from checks import derived
-from checks.catalog import QUERIES
+from retail_checks import derived
+from retail_checks.catalog import QUERIES
 
 HEADLINE = (
     "kpi_daily",

@@ -19,7 +19,7 @@ from aisleworks.operators.aggregates import DAY_KEY
 from aisleworks.operators.windows import with_last_sales
 from aisleworks.plans import batch, daily, kpi_by_market_category, kpi_weekly
 from aisleworks.scratch import scratch_path
-from checks import derived
+from retail_checks import derived
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,10 +54,10 @@ def scan_csv_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_by_header(spark, location, "sales", schemas.SALES, LAST_DATE)
 
 
-def _load(table: str) -> Query:
+def _load(table: str, rows: str = "") -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Header text differs from the schema and is skipped; position decides."""
-        df = getattr(derived, table)(spark, sf_dir)
+        df = getattr(derived, rows or table)(spark, sf_dir)
         renamed = df.toDF(*[f"field {i}" for i in range(len(df.columns))])
         location = _location(spark, "load")
         renamed.write.options(**location.csv_options()).option("header", True).csv(
@@ -126,9 +126,9 @@ def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sinks
 
 
-def _export_readback(table: str) -> Query:
+def _export_readback(table: str, rows: str = "") -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = getattr(derived, table)(spark, sf_dir)
+        df = getattr(derived, rows or table)(spark, sf_dir)
         location = _exported(spark, df, table, MID_DATE, "export")
         return sources.read_by_header(spark, location, table, schemas.TABLES[table], MID_DATE)
 
@@ -264,6 +264,13 @@ def kpi_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.kpi_daily(**derived.kpi_tables(spark, sf_dir))
 
 
+def kpi_daily_from_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables pass through application-wide views."""
+    tables = derived.kpi_tables(spark, sf_dir)
+    sources.register_views(tables, shared=True)
+    return daily.kpi_daily(**{name: spark.table(f"global_temp.{name}") for name in tables})
+
+
 def week_out_of_stock_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.week_out_of_stock_running(**derived.kpi_tables(spark, sf_dir))
 
@@ -318,6 +325,7 @@ QUERIES: dict[str, Query] = {
     "scan_csv_header": scan_csv_header,
     "load_typed_csv": _load("sales"),
     "load_typed_inventory": _load("inventory"),
+    "load_typed_calendar": _load("calendar", "sales_calendar"),
     "load_typed_store": _load("store"),
     "load_typed_product": _load("product"),
     "load_rejects": load_rejects,
@@ -326,6 +334,7 @@ QUERIES: dict[str, Query] = {
     "list_files": list_files,
     "export_snapshot": _export_readback("sales"),
     "export_snapshot_inventory": _export_readback("inventory"),
+    "export_snapshot_calendar": _export_readback("calendar", "sales_calendar"),
     "export_snapshot_store": _export_readback("store"),
     "export_snapshot_product": _export_readback("product"),
     "export_audit": export_audit,
@@ -345,6 +354,7 @@ QUERIES: dict[str, Query] = {
     "wow_growth": wow_growth,
     "stock_turnover": stock_turnover,
     "kpi_daily": kpi_daily,
+    "kpi_daily_from_views": kpi_daily_from_views,
     "week_out_of_stock_running": week_out_of_stock_running,
     "kpi_weekly": weekly,
     "kpi_by_market_category": market,

@@ -53,8 +53,8 @@ def differences(df: DataFrame, sql: str, sf_dir: str) -> list[str]:
 
 def main(sf_dir: str, keys: list[str]) -> int:
     from aisleworks.session import build_session
-    from checks.catalog import QUERIES
-    from checks.oracle import ORACLE
+    from retail_checks.catalog import QUERIES
+    from retail_checks.oracle import ORACLE
 
     spark: SparkSession = build_session(
         "compare", "local[8]", **{"spark.sql.shuffle.partitions": 8, "spark.driver.memory": "12g"}

@@ -137,6 +137,12 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sales_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar days that have sales."""
+    traded = business_days(spark, sf_dir).withColumnRenamed("business_date", "cal_dt")
+    return calendar(spark, sf_dir).join(traded, "cal_dt", "left_semi")
+
+
 def store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Includes quotes, commas, outer blanks, empty text and NULL on purpose."""
     key, name = F.col("r_regionkey"), F.col("r_name")
@@ -273,6 +279,8 @@ SQL_TABLES: dict[str, str] = {
         FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '{EPOCH}', TIMESTAMP '{CALENDAR_END}',
                                                  INTERVAL 1 DAY)) AS DATE) AS cal_dt)
         WHERE {_INV_DN} % 101 <> 0""",
+    "sales_calendar": """
+        SELECT * FROM calendar WHERE cal_dt IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem)""",
     "store": """
         SELECT CAST(r_regionkey AS BIGINT) AS store_key,
                'S' || lpad(CAST(r_regionkey AS VARCHAR), 3, '0') AS store_num,

@@ -6,8 +6,8 @@ Spark plans use, so the two sides do not share a method.
 
 from __future__ import annotations
 
-from checks.catalog import LANDING, LAST_DATE, MID_DATE
-from checks.derived import SQL_TABLES
+from retail_checks.catalog import LANDING, LAST_DATE, MID_DATE
+from retail_checks.derived import SQL_TABLES
 
 MONEY = "DECIMAL(18,2)"
 TOTAL = "DECIMAL(28,2)"
@@ -185,6 +185,9 @@ ORACLE: dict[str, str] = {
     "load_typed_inventory": _with(
         _tables("stock_feed", "inventory"), "SELECT * FROM inventory"
     ),
+    "load_typed_calendar": _with(
+        _tables("calendar", "sales_calendar"), "SELECT * FROM sales_calendar"
+    ),
     "load_typed_store": _with(_tables("store"), "SELECT * FROM store"),
     "load_typed_product": _with(_tables("product"), "SELECT * FROM product"),
     "load_rejects": _with(
@@ -211,6 +214,9 @@ ORACLE: dict[str, str] = {
         FROM lineitem GROUP BY 1""",
     "export_snapshot": _snapshot("sales", "trans_dt"),
     "export_snapshot_inventory": _snapshot("inventory", "cal_dt"),
+    "export_snapshot_calendar": _with(
+        _tables("calendar", "sales_calendar"), "SELECT * FROM sales_calendar"
+    ),
     "export_snapshot_store": _snapshot("store"),
     "export_snapshot_product": _snapshot("product"),
     "export_audit": _with(
@@ -283,6 +289,7 @@ ORACLE: dict[str, str] = {
     "wow_growth": _from("daily", f"{_STOCK_KEY}, week_over_week_growth"),
     "stock_turnover": _from("daily", f"{_STOCK_KEY}, stock_turnover_rate"),
     "kpi_daily": _from("daily", "*"),
+    "kpi_daily_from_views": _from("daily", "*"),
     "week_out_of_stock_running": _from(
         "base",
         """yr_wk_num, store_key, prod_key, trans_dt, trans_id, sales_qty, sales_amt, sales_price,

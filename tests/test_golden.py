@@ -149,7 +149,7 @@ def test_weekly_previous_week_must_adjoin(shop):
 
 def test_text_and_number_comparison_differ_often(spark):
     """How far a text comparison would be off on the given tables."""
-    from checks import derived
+    from retail_checks import derived
     from aisleworks.operators.joins import join_inventory
 
     sf = "/root/testdata/sf0.001"

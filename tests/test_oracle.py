@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as driver
-from checks.compare import differences
+from retail_checks.compare import differences
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,7 +26,7 @@ def test_entry_has_the_published_columns(spark):
 
 
 def test_fact_fixtures_hold_the_documented_rows(spark):
-    from checks import derived
+    from retail_checks import derived
 
     assert derived.sales(spark, SF).count() == 6000
     assert derived.inventory(spark, SF).count() == 5327

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from aisleworks import schemas, sinks, sources
 from aisleworks.operators.joins import join_inventory
 from aisleworks.plans import kpi_base, kpi_by_market_category, kpi_daily, kpi_weekly
-from checks import derived
+from retail_checks import derived
 
 SF = "/root/testdata/sf0.01"
 
@@ -104,14 +104,14 @@ def test_daily_reads_only_the_columns_it_needs(facts):
 
 
 def test_snapshot_date_reaches_the_scan(facts):
-    from checks.catalog import MID_DATE
+    from retail_checks.catalog import MID_DATE
 
     text = plan(sinks.snapshot(facts["sales"], "sales", MID_DATE))
     assert "LessThanOrEqual(trans_dt,1998-09-02)" in text
 
 
 def test_whole_run_date_partitions_are_pruned(spark, facts, tmp_path):
-    from checks.catalog import LAST_DATE, MID_DATE
+    from retail_checks.catalog import LAST_DATE, MID_DATE
 
     for day in (MID_DATE, LAST_DATE):
         sinks.write_partition(facts["calendar"], str(tmp_path), day, cluster_by="yr_wk_num")

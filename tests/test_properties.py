@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from aisleworks.functions import ratio2
 from aisleworks.operators.joins import join_calendar, join_inventory
 from aisleworks.plans import kpi_agg, kpi_daily, kpi_weekly
-from checks import derived
+from retail_checks import derived
 from tests.conftest import dec, days
 
 SF = "/root/testdata/sf0.001"

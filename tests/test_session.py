@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as driver
-from checks.compare import differences
+from retail_checks.compare import differences
 
 SF = "/root/testdata/sf0.001"
 DATED = ("scan_csv_header", "load_typed_inventory", "parse_date", "list_files", "kpi_daily",

@@ -9,8 +9,8 @@ from aisleworks import sinks, sources
 from aisleworks.operators.checks import DuplicateKeyError
 from aisleworks.plans import batch, kpi_daily
 from aisleworks.schemas import KPI_COLUMNS
-from checks import derived
-from checks.catalog import LAST_DATE, MID_DATE
+from retail_checks import derived
+from retail_checks.catalog import LAST_DATE, MID_DATE
 from tests.conftest import DAY, days
 
 SF = "/root/testdata/sf0.001"

@@ -11,7 +11,7 @@ from aisleworks.operators.aggregates import sales_by_quantity
 from aisleworks.operators.joins import join_calendar
 from aisleworks.operators.windows import estimated_largest_group, running_total_in_blocks
 from aisleworks.plans import kpi_agg, week_out_of_stock_running
-from checks import derived
+from retail_checks import derived
 from tests.conftest import DAY
 
 SF = "/root/testdata/sf0.01"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from aisleworks import schemas, sources
 from aisleworks.operators.checks import DuplicateKeyError, duplicate_keys, require_unique
 from aisleworks.plans import kpi_daily
-from checks import derived
+from retail_checks import derived
 from tests.conftest import DAY
 
 SF = "/root/testdata/sf0.001"
