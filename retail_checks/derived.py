@@ -29,7 +29,8 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items, spread over the cores while their files give fewer tasks.
 
     The small test files hold one row group each, which only one task can read.
-    Files that already fill the cluster are left as they are.
+    Files that already fill the cluster are left as they are.  At worst, with one
+    order holding everything, a task stays as large as the file made it.
     """
     lines = _table(spark, sf_dir, "lineitem")
     cores = spark.sparkContext.defaultParallelism

@@ -102,6 +102,11 @@ def test_duplicated_stock_key_multiplies_sales(shop):
     assert row.sum_sales_qty == 10
 
 
+def test_repeated_calendar_day_multiplies_sales(shop):
+    (row,) = daily(shop.sales((DAY, 5, 5, 1)), shop.calendar(DAY, DAY), shop.stock())
+    assert row.sum_sales_qty == 10
+
+
 def test_sale_on_a_day_missing_from_the_calendar_is_dropped(shop):
     a, b = days(2)
     rows = daily(shop.sales((a, 1, 1, 1), (b, 1, 1, 1)), shop.calendar(b), shop.stock())

@@ -161,3 +161,36 @@ def test_ratio_rounds_exact_halves_up_and_near_halves_down(spark):
     )
     done = rows.withColumn("got", ratio2(F.col("num"), F.col("den"))).collect()
     assert [(r.got, r.want) for r in done] == [(dec(w), dec(w)) for _, _, w in cases]
+
+
+def test_ratio_equals_exact_decimal_arithmetic(spark):
+    """Random operands, many of them built to fall on or next to a half."""
+    rng = random.Random(11)
+    cases = []
+    for _ in range(20_000):
+        den = rng.choice([rng.randint(1, 500), rng.randint(1, 10**9), rng.randint(1, 10**15)])
+        half = den * (2 * rng.randint(0, 10**4) + 1) // 200
+        num = rng.choice([half, half + 1, half - 1, rng.randint(-(10**12), 10**12)])
+        sign = rng.choice([1, -1])
+        want = (Decimal(abs(num)) / Decimal(den)) if num else Decimal(0)
+        exact = (2 * 100 * abs(num) + den) // (2 * den)  # half up, in whole hundredths
+        assert abs(want * 100 - exact) <= Decimal("0.51")
+        negative = (num < 0) != (sign < 0)
+        cases.append(
+            (Decimal(num * sign).scaleb(-2), Decimal(den).scaleb(-2),
+             Decimal(-exact if negative else exact).scaleb(-2))
+        )
+    rows = spark.createDataFrame(
+        cases, "num decimal(18,2), den decimal(18,2), want decimal(18,2)"
+    )
+    wrong = rows.where(~ratio2(F.col("num"), F.col("den")).eqNullSafe(F.col("want")))
+    assert wrong.collect() == []
+
+
+def test_cents_round_trip(spark):
+    from aisleworks.functions import from_cents, to_cents
+
+    values = ["0.00", "-0.01", "9999999999999999.99", "-9999999999999999.99", "12.30"]
+    rows = spark.createDataFrame([(dec(v),) for v in values], "v decimal(18,2)")
+    back = rows.select("v", from_cents(to_cents(F.col("v")).cast("decimal(20,0)")).alias("b"))
+    assert all(r.v == r.b for r in back.collect())

@@ -123,6 +123,7 @@ def test_batch_checks_keys_before_publishing(spark, shop, tmp_path):
     with pytest.raises(DuplicateKeyError):
         batch.run(spark, place, str(tmp_path / "out"), DAY)
     assert not (tmp_path / "out").exists()
+    assert batch.run(spark, place, str(tmp_path / "out"), DAY, check_keys=False) == 1
 
 
 def test_command_line(spark, landing, tmp_path, monkeypatch, capsys):
