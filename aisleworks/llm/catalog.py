@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aisleworks.llm import html_extract, minhash
+from aisleworks.llm import html_extract, line_dedup, minhash, mixing, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,11 +19,32 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_main_text(_table(spark, sf_dir, "pages"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return quality.score(documents, quality.fit(documents, _table(spark, sf_dir, "labels")))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.mixed(_table(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.remove_spread_lines(_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_html_extraction, op10_minhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_html_extraction, op4_quality, op6_mixing, op7_packing, op9_line_dedup, op10_minhash,
+)}
 
 #: DuckDB SQL where SQL can express the operator.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op9_line_dedup": line_dedup.ORACLE_SQL}

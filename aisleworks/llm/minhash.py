@@ -15,13 +15,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aisleworks.llm.components import components
 from aisleworks.llm.shared import lookup, only, stored
@@ -31,6 +32,14 @@ BANDS, ROWS = 32, 5
 CLUSTER_DOCS, CLUSTER_SHINGLES = 8192, 4_000_000
 BLOCK_DOCS = 1024
 
+_SIGNED = T.StructType(
+    [
+        T.StructField("n_shingles", T.LongType()),
+        T.StructField("set_key", T.BinaryType()),
+        T.StructField("bands", T.ArrayType(T.LongType())),
+    ]
+)
+
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _SHIFT30, _SHIFT27, _SHIFT31, _SHIFT32 = (np.uint64(n) for n in (30, 27, 31, 32))
 
@@ -84,20 +93,18 @@ def band_keys(members: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _signed(words: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sizes, keys, bands = [], [], []
-            for text in batch["text"]:
-                members = shingles(text, words)
-                sizes.append(len(members))
-                keys.append(xxhash.xxh3_128_digest(members.tobytes()) if len(members) else None)
-                bands.append(band_keys(members) if len(members) else None)
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "n_shingles": sizes, "set_key": keys, "bands": bands}
-            )
+def _signed(words: int) -> Callable[[Column], Column]:
+    @F.pandas_udf(_SIGNED)
+    def signed(texts: pd.Series) -> pd.DataFrame:
+        sizes, keys, bands = [], [], []
+        for text in texts:
+            members = shingles(text, words)
+            sizes.append(len(members))
+            keys.append(xxhash.xxh3_128_digest(members.tobytes()) if len(members) else None)
+            bands.append(band_keys(members) if len(members) else None)
+        return pd.DataFrame({"n_shingles": sizes, "set_key": keys, "bands": bands})
 
-    return run
+    return signed
 
 
 def spanning_links(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -165,7 +172,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     """
     rows = only(docs, doc_id="long", text="string")
     signed = stored(
-        rows.mapInPandas(_signed(words), "doc_id long, n_shingles long, set_key binary, bands array<long>"),
+        rows.select("doc_id", _signed(words)(F.coalesce("text", F.lit(""))).alias("signed")).select("doc_id", "signed.*"),
         "signed",
     )
     # The bands follow from the set, so any of a class's rows can give them.
