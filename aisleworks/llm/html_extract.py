@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aisleworks.llm.shared import lookup, only
+from aisleworks.llm.shared import lookup, only, stored
 
 #: Share of a page's prose (in thousandths) from which a container stands for the page.
 CANDIDATE_SHARE = 700
@@ -258,11 +258,12 @@ def host_paths(pages: DataFrame) -> DataFrame:
     of all pages costs one row per path and task.  Of the paths with at least half of
     the best path's votes the deepest wins; ties go to more votes, then the smaller path.
     """
-    votes = (
+    votes = stored(
         pages.select(host_of(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html"))
         .mapInPandas(_votes, "host string, path string, depth int, votes long")
         .groupBy("host", "path")
-        .agg(F.max("depth").alias("depth"), F.sum("votes").alias("votes"))
+        .agg(F.max("depth").alias("depth"), F.sum("votes").alias("votes")),
+        "votes",
     )
     best = votes.groupBy("host").agg(F.max("votes").alias("most"))
     return (
