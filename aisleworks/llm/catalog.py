@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aisleworks.llm import html_extract, line_dedup, minhash, mixing, packing, quality
+from aisleworks.llm import html_extract, imatch, line_dedup, minhash, mixing, packing, quality, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents, quality.fit(documents, _table(spark, sf_dir, "labels")))
 
 
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.mixed(_table(spark, sf_dir, "documents"))
     return taken.select("doc_id", "size", "source_size", "target", "taken")
@@ -33,6 +37,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = _table(spark, sf_dir, "embeddings")
+    return topk.exact_top_k(embeddings, embeddings.filter("vec_id % 50 = 0"), k=5)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.remove_spread_lines(_table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "text", "n_lines", "n_removed")
@@ -43,7 +52,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_html_extraction, op4_quality, op6_mixing, op7_packing, op9_line_dedup, op10_minhash,
+    op1_html_extraction, op4_quality, op5_imatch, op6_mixing, op7_packing, op8_exact_topk, op9_line_dedup, op10_minhash,
 )}
 
 #: DuckDB SQL where SQL can express the operator.
