@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aisleworks.llm import html_extract, imatch, line_dedup, minhash, mixing, packing, quality, topk
+from aisleworks.llm import html_extract, imatch, line_dedup, minhash, mixing, packing, quality, topk, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,14 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_main_text(_table(spark, sf_dir, "pages"))
 
 
+def op2_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return quality.score(documents, quality.fit(documents, _table(spark, sf_dir, "labels")))
@@ -52,7 +60,8 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_html_extraction, op4_quality, op5_imatch, op6_mixing, op7_packing, op8_exact_topk, op9_line_dedup, op10_minhash,
+    op1_html_extraction, op2_warc_normaliser, op3_toxicity, op4_quality, op5_imatch, op6_mixing, op7_packing,
+    op8_exact_topk, op9_line_dedup, op10_minhash,
 )}
 
 #: DuckDB SQL where SQL can express the operator.

@@ -44,7 +44,7 @@ _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111E
 _SHIFT30, _SHIFT27, _SHIFT31, _SHIFT32 = (np.uint64(n) for n in (30, 27, 31, 32))
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers whose result looks random (the splitmix64 finaliser)."""
     x = (x ^ (x >> _SHIFT30)) * _MIX1
     x = (x ^ (x >> _SHIFT27)) * _MIX2
@@ -69,14 +69,14 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     count = len(found) - width + 1
     state = np.full(count, width, np.uint64)
     for k in range(width):
-        state = _mixed(state * _STEP + hashed[k : k + count])
+        state = mixed(state * _STEP + hashed[k : k + count])
     return np.unique(state)
 
 
 def _universal() -> tuple[np.ndarray, np.ndarray]:
     """Multipliers (odd) and addends of the multiply-shift hashes, the same in every run."""
     start = np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * _STEP
-    return _mixed(start) | np.uint64(1), _mixed(start + np.uint64(1))
+    return mixed(start) | np.uint64(1), mixed(start + np.uint64(1))
 
 
 def band_keys(members: np.ndarray) -> np.ndarray:
@@ -89,7 +89,7 @@ def band_keys(members: np.ndarray) -> np.ndarray:
     least = least.reshape(BANDS, ROWS)
     keys = np.arange(BANDS, dtype=np.uint64)
     for k in range(ROWS):
-        keys = _mixed(keys * _STEP + least[:, k])
+        keys = mixed(keys * _STEP + least[:, k])
     return keys.view(np.int64)
 
 

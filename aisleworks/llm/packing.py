@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aisleworks.llm.shared import only, stored
+from aisleworks.llm.shared import once, only, stored
 
 LENGTH = 1024
 END_ID = 2
@@ -69,7 +69,7 @@ def pieces(
 
     @F.pandas_udf(T.ArrayType(T.StructType(fields)))
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = encoder(path)
+        encode = once(f"encoder {path}", lambda: encoder(path))
         for texts in batches:
             out: list[list[tuple]] = []
             for text in texts:

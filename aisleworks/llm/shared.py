@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,3 +64,14 @@ def lookup(
 def only(frame: DataFrame, **columns: str) -> DataFrame:
     """The named columns alone, cast to the given types, so extra columns cannot clash."""
     return frame.select(*(frame[name].cast(kind).alias(name) for name, kind in columns.items()))
+
+
+def once(name: str, make: Callable[[], Any]) -> Any:
+    """``make()``, made once in this Python process: a worker keeps it from task to task.
+
+    Functions travel by value, so their modules' globals are new in every task; this is not.
+    """
+    kept = sys.modules.setdefault("corpus_worker_memory", types.ModuleType("corpus_worker_memory"))
+    if name not in vars(kept):
+        vars(kept)[name] = make()
+    return vars(kept)[name]
