@@ -23,13 +23,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aisleworks.llm import minhash
-from aisleworks.llm.shared import only
+from aisleworks.llm.shared import only, stored
 
 #: Labelled documents of each class that the fit learns from, those with the smallest hashed doc_id.
 PER_CLASS = 10_000
 #: Words and beginnings that the model keeps, at most; and the least G-test statistic of those.
 FEATURES, LEAST_G = 20_000, 40.0
 PREFIXES = (4, 5, 6, 7)
+#: A beginning counts if it is in this many times as many toxic documents as the commonest word with it.
+MANY_WORDS = 1.5
 #: Longest span that counts as a disguised word.
 SPAN = 40
 
@@ -314,13 +316,13 @@ def fit_words(docs: DataFrame, labels: DataFrame, costs: np.ndarray) -> tuple[di
     texts = _without_copies(
         rows.join(sample, "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
     )
-    counts = texts.mapInPandas(count, "feature string, toxic long, clean long").groupBy("feature").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
+    counts = stored(
+        texts.mapInPandas(count, "feature string, toxic long, clean long")
+        .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")),
+        "words",
     )
-    counts = counts.persist()
     total = counts.filter("feature = ''").first()
     if total is None or not total["toxic"] or not total["clean"]:
-        counts.unpersist()
         return {}, 0.0 if not shares.get(1) else 1.0 if not shares.get(0) else shares[1] / sum(shares.values())
     toxic, clean = total["toxic"], total["clean"]
     odds = shares[1] / shares[0]
@@ -330,8 +332,18 @@ def fit_words(docs: DataFrame, labels: DataFrame, costs: np.ndarray) -> tuple[di
     gain = lambda seen, size: F.when(
         seen > 0, seen * F.log(seen / (held * (size / (toxic + clean))))
     ).otherwise(0.0)
+    # A beginning that mostly one word has says nothing beyond that word.
+    start = F.regexp_extract("feature", "^(.*)~[12]$", 1)
+    single = (
+        counts.filter(~F.col("feature").contains("~")).filter("toxic > 0")
+        .select("toxic", F.explode(F.array(*(F.left("feature", F.lit(n)) for n in PREFIXES))).alias("start"))
+        .groupBy("start").agg(F.max("toxic").alias("single"))
+    )
     telling = (
         counts.filter("feature <> ''")
+        .withColumn("start", start)
+        .join(single, "start", "left")
+        .filter((F.col("start") == "") | (F.col("toxic") >= MANY_WORDS * F.col("single")))
         .withColumn("g", 2 * (gain(F.col("toxic"), toxic) + gain(F.col("clean"), clean)))
         .withColumn("odds", odds * ((F.col("toxic") + 0.1) / toxic) / ((F.col("clean") + 0.1) / clean))
         .filter((F.col("g") >= LEAST_G) & (F.col("odds") >= 0.25))
@@ -339,7 +351,6 @@ def fit_words(docs: DataFrame, labels: DataFrame, costs: np.ndarray) -> tuple[di
         .select("feature", (F.col("odds") / (1 + F.col("odds"))).alias("precision"))
     )
     table = {row["feature"]: row["precision"] for row in telling.collect()}
-    counts.unpersist()
     return table, 0.02
 
 
