@@ -75,7 +75,7 @@ def fingerprint(text: Column, bits: list[int]) -> Column:
     A text without a term in the band uses all its terms; without words every hash is 0, which
     stands for a lexicon that holds none of the text's terms.
     """
-    band_bits = F.lit(bits)
+    band_bits = F.lit(bits).cast("array<bigint>")
 
     def in_band(term: Column) -> Column:
         word = F.element_at(band_bits, (F.shiftright(_slot(term), 6) + 1).cast("int"))

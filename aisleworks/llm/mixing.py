@@ -1,7 +1,7 @@
 """Mixing sources to target weights, by fitting each source's budget as a subset sum.
 
 Documents are counted by source and exact length.  A source's budget is first met length by length in
-proportion; what remains, less than a few thousand words, is fitted by a bounded-knapsack dynamic programme
+proportion; what remains, some ten thousand words, is fitted by a bounded-knapsack dynamic programme
 over the documents left.  That decides how many documents of each length the mix takes once more; which ones is
 decided by a seeded hash, within groups of bounded size.
 """
@@ -22,7 +22,7 @@ WEIGHTS = (3, 1, 2)
 #: Words of the mix for each word of the corpus, and how often a source may be used.
 SHARE, MOST = 1.5, 2
 #: Words of a budget that the dynamic programme fits, and the lengths (the most plentiful ones) it may use.
-RESERVE, KNAPSACK_LENGTHS = 2048, 256
+RESERVE, KNAPSACK_LENGTHS = 65536, 256
 SEED = 20240
 
 _PLAN = "src string, size long, extra long, times int"
@@ -99,6 +99,7 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
 
 def _plan(group: pd.DataFrame) -> pd.DataFrame:
     """For one source's lengths: documents to take once more than the rest, and how often the rest is taken."""
+    group = group.sort_values("size")  # rows arrive in any order, and reruns must agree
     sizes, counts = group["size"].to_numpy(np.int64), group["docs"].to_numpy(np.int64)
     budget, own = int(math.floor(group["target"].iloc[0] + 0.5)), int((sizes * counts).sum())
     times = min(budget // own, MOST) if own else 0

@@ -120,7 +120,7 @@ def fit_repeats(rows: np.ndarray, histogram: np.ndarray, rounds: int = ROUNDS) -
     x = np.where((target[rows] > 0).all(axis=1, where=rows > 0), 1.0, 0.0) * target.sum() / max(1, len(rows))
     for _ in range(rounds):
         push = backward(forward(x))
-        x *= np.divide(pull, push, out=np.zeros_like(x), where=push > 0)
+        x *= np.divide(pull, push, out=np.zeros_like(x), where=push > 1e-12)
     return x
 
 

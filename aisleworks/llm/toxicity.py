@@ -197,7 +197,7 @@ def features(words: set[str]) -> set[str]:
     """The words and their beginnings; beginnings tell one word (~1) from several different ones (~2).
 
     >>> sorted(features({"scum", "scummy"}))
-    ['scum', 'scum~2', 'scumm~1', 'scummy', 'scummy~1']
+    ['scum', 'scummy', 'scummy~1', 'scumm~1', 'scum~2']
     """
     held = Counter(word[:size] for word in words for size in PREFIXES if len(word) >= size)
     return words | {f"{start}~{1 if times == 1 else 2}" for start, times in held.items()}
@@ -251,15 +251,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit_language(docs: DataFrame) -> np.ndarray:
-    """Costs of the character model from every row of ``docs`` (text); at most SIZE ** 3 counts reach the driver."""
+def count_triples(docs: DataFrame) -> np.ndarray:
+    """Letter triples of every row of ``docs`` (text); at most SIZE ** 3 counts reach the driver."""
     counts = np.zeros(SIZE**3, np.int64)
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    for row in (
-        texts.mapInPandas(_triples, "triple int, times long").groupBy("triple").agg(F.sum("times").alias("times")).collect()
-    ):
+    held = texts.mapInPandas(_triples, "triple int, times long").groupBy("triple").agg(F.sum("times").alias("times"))
+    for row in held.collect():
         counts[row["triple"]] = row["times"]
-    return language_costs(counts)
+    return counts
+
+
+def fit_language(docs: DataFrame) -> np.ndarray:
+    """Costs of the character model of ``docs``."""
+    return language_costs(count_triples(docs))
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))

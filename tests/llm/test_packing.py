@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import doctest
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from aisleworks.llm import packing
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    made.encode_special_tokens = True
+    return made
+
+
+@pytest.fixture(scope="module")
+def encode():
+    return packing.encoder(packing.default_vocabulary())
+
+
+def check(rows, length):
+    """Sequences hold their pieces without gaps and no more than fits."""
+    held = {}
+    for row in rows:
+        held.setdefault(row.sequence_id, []).append((row.offset, row.length))
+    for parts in held.values():
+        at = 0
+        for offset, size in sorted(parts):
+            assert offset == at
+            at += size
+        assert at <= length
+    return len(held)
+
+
+def test_doctests():
+    assert doctest.testmod(packing).failed == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=60))
+def test_ids_are_those_of_the_tokenizer(tokenizer, encode, text):
+    assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_of_odd_texts(tokenizer, encode):
+    for text in ("<|endoftext|> a", "don't WE'LL  x\n\n\t y  ", "a" * 5000, "ñandú ßtraße 12345", "\u0000�\U0001f600"):
+        assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_every_piece_once_and_few_sequences(spark, tables, tokenizer, sf):
+    docs = tables("documents", sf)
+    rows = packing.pack_documents(docs).collect()
+    expected = set()
+    for row in docs.collect():
+        ids = [*tokenizer.encode(row.text, add_special_tokens=False).ids, 2]
+        first = len(ids) % 1024 or 1024
+        starts = [0, *range(first, len(ids), 1024)]
+        for piece, (start, end) in enumerate(zip(starts, [*starts[1:], len(ids)])):
+            expected.add((row.doc_id, piece, start, end - start, zlib.crc32(np.array(ids[start:end], "<u4").tobytes())))
+    assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows} == expected and len(rows) == len(expected)
+    least = -(-sum(r.length for r in rows) // 1024)
+    assert check(rows, 1024) <= least * 1.02 + 2
+
+
+def test_plans_hold_the_histogram():
+    rand = random.Random(3)
+    for _ in range(30):
+        length = rand.choice([4, 9, 32, 100])
+        histogram = np.array([0] + [rand.choice([0, 0, 1, 5, 300]) for _ in range(length)])
+        held = np.zeros(length + 1, int)
+        for runs, times in packing.plan_sequences(histogram, length):
+            assert sum(part * copies for part, copies in runs) <= length and times > 0
+            for part, copies in runs:
+                held[part] += copies * times
+        assert (held == histogram).all()
+
+
+def test_the_fit_is_a_least_squares_fit():
+    """No single pattern's repeats can be changed to the better by much."""
+    rows = packing.patterns(12)
+    histogram = np.array([0, 5, 9, 3, 7, 4, 6, 2, 8, 1, 4, 2, 0])
+    fit = packing.fit_repeats(rows, histogram, rounds=5000)
+    matrix = np.stack([np.bincount(row[row > 0], minlength=13) for row in rows], axis=1).astype(float)
+    slope = matrix.T @ (matrix @ fit - histogram)
+    assert (fit >= 0).all() and np.abs(slope * (fit > 1e-3)).max() < 0.1 and slope.min() > -0.1
+
+
+def test_odd_rows(spark, documents):
+    rows = [(1, None), (2, ""), (None, "no id"), (3, "w " * 30_000), (4, "same"), (4, "same"), (2**60 + 1, "big id")]
+    docs = documents(*rows).withColumnRenamed("lang", "length").withColumnRenamed("source", "offset")
+    found = packing.pack_documents(docs, 64).collect()
+    check(found, 64)
+    by_id = {}
+    for row in found:
+        by_id.setdefault(row.doc_id, []).append(row)
+    assert [r.length for r in by_id[1]] == [r.length for r in by_id[2]] == [1] and 2**60 + 1 in by_id
+    assert len(by_id[4]) == 2 and sorted(r.length for r in by_id[3])[1:] == [64] * (len(by_id[3]) - 1)
+
+
+def test_empty_table_and_the_sequences_themselves(spark, documents, tokenizer):
+    assert packing.pack_documents(documents()).collect() == []
+    rows = [(k, "some words " * k) for k in range(40)]
+    found = packing.sequences(documents(*rows), 128).collect()
+    ids = [*(t for r in found for t in r.ids)]
+    plain = [t for _, text in rows for t in [*tokenizer.encode(text, add_special_tokens=False).ids, 2]]
+    assert sorted(ids) == sorted(plain) and max(len(r.ids) for r in found) <= 128

@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import ast
+from pathlib import Path
+
+import corpus_pipeline
+import __spark_entry__
+from aisleworks.llm import catalog, mixing, minhash, quality
+from aisleworks.llm.shared import lookup, stored
+from pyspark.sql import functions as F
+
+from test_minhash import plain
+
+
+def test_stages_keep_columns_and_do_their_work(spark, tables, tmp_path):
+    docs, held = tables("documents"), []
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, "/root/testdata/sf0.001"), "stage")
+        held.append((name, docs))
+    assert [name for name, _ in held] == [
+        "quality classifier", "line dedup", "minhash near-dedup", "source mixing", "best-fit packing"]
+    assert all(frame.columns == columns for _, frame in held[:-1])
+    good, lines, near, mixed, packed = (frame for _, frame in held)
+
+    every = tables("documents")
+    kept = {r.doc_id for r in quality.score(every, quality.fit(every, tables("labels"))).collect() if r.predicted}
+    assert {r.doc_id for r in good.collect()} == kept
+    before = {r.doc_id: r.text for r in good.collect()}
+    after = {r.doc_id: r for r in lines.collect()}
+    assert before.keys() == after.keys()
+    assert all(len(r.text) == r.n_chars and set(r.text.split("\n")) <= set(before[i].split("\n")) for i, r in after.items())
+    expected = {i for i, _, top in plain([(i, r.text) for i, r in after.items()], 5, 80) if i == top}
+    assert {r.doc_id for r in near.collect()} == expected
+    taken = {r.doc_id: r.taken // r.size for r in mixing.mixed(near).collect() if r.taken}
+    assert {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()} == taken
+    pieces = packed.groupBy("doc_id").agg(F.sum((F.col("piece") == 0).cast("int")).alias("n")).collect()
+    assert {r.doc_id: r.n for r in pieces} == taken
+
+
+def test_run_equals_the_stages(spark):
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    again = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    show = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert sorted(rows.select(show).collect()) == sorted(again.select(show).collect()) and rows.count() > 0
+
+
+def test_every_operator_is_registered():
+    names = __spark_entry__.queries().keys()
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert catalog.QUERIES.keys() <= names and set(catalog.ORACLE) <= set(__spark_entry__.oracle_sql())
+
+
+def test_nothing_else_imports_the_corpus_operators():
+    root = Path(__spark_entry__.__file__).parent
+    for path in [*root.glob("*.py"), *root.glob("aisleworks/**/*.py"), *root.glob("retail_checks/*.py"), *root.glob("tests/*.py")]:
+        if "llm" in path.parts or path.name in ("corpus_pipeline.py", "__spark_entry__.py"):
+            continue
+        for node in ast.walk(ast.parse(path.read_text())):
+            names = [a.name for a in node.names] if isinstance(node, ast.Import) else [node.module or ""] if isinstance(node, ast.ImportFrom) else []
+            assert not any("llm" in n or "corpus_pipeline" in n for n in names), path
+
+
+def test_hot_keys_are_dealt_over_tasks(spark):
+    rows = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("key"))
+    table = spark.createDataFrame([(1, "x"), (4, "y")], "key long, value string")
+    found = lookup(rows, table, ["key"], F.col("id"))
+    assert found.count() == 9000 and found.filter("value = 'x'").count() == 3001 and "_salt" not in found.columns

@@ -1,0 +1,99 @@
+from __future__ import annotations
+
+import doctest
+import zlib
+
+import pytest
+
+from aisleworks.llm import toxicity
+
+LABELS = "doc_id long, quality int, toxic int"
+FAIR = "the idiot and the stupid moron saw a worthless clown at the pathetic show and the loser left the trash behind "
+
+
+@pytest.fixture(scope="module")
+def restore():
+    return toxicity.Restorer(toxicity.language_costs(toxicity.letter_triples(FAIR * 50)))
+
+
+@pytest.mark.parametrize(
+    ("written", "meant"),
+    [("1d10t", "idiot"), ("i d i o t", "idiot"), ("iiidiooot", "idiot"), ("id*ot", "idiot"), ("p.a.t.h.e.t.i.c", "pathetic"),
+     ("l0$er!!!", "loser"), ("tr@sh", "trash"), ("clooooown", "clown"), ("plain words", "plain words"), ("2024-01-05", "2024-01-05"),
+     ("the***", "the***"), ("", "")],
+)
+def test_disguises(restore, written, meant):
+    assert restore(written) == meant
+
+
+def test_doctests():
+    assert doctest.testmod(toxicity).failed == 0
+
+
+def test_decoding_is_the_cheapest_reading(restore):
+    """Against every reading of a small lattice."""
+    from itertools import product
+
+    def cost(text):
+        total, a, b = 0.0, 0, 0
+        for char in text + " ":
+            code = toxicity._CODE.get(char, 0)
+            if code == 0 and b == 0:
+                continue
+            total += restore.costs[a, b, code]
+            a, b = (0, 0) if code == 0 else (b, code)
+        return total
+
+    for span in ("1d10t", "st00", "cl0wn", "aab", "t-h3"):
+        readings = product(*toxicity._lattice(span, False))
+        best = min((cost("".join(t for t, _ in r)) + sum(c for _, c in r), "".join(t for t, _ in r)) for r in readings)
+        assert toxicity.decode(span, restore.costs) == " ".join(best[1].split())
+
+
+def test_language_model_counts_every_document(spark, tables):
+    docs = tables("documents")
+    letters = set(toxicity.LETTERS)
+    lower = [row.text.lower() for row in docs.collect()]
+    expected = sum(a in letters and b in letters and c in letters for t in lower for a, b, c in zip(t, t[1:], t[2:]))
+    counts = toxicity.count_triples(docs).reshape((toxicity.SIZE,) * 3)
+    assert counts[1:, 1:, 1:].sum() == expected
+    the = tuple(toxicity._CODE[c] for c in "the")
+    assert counts[the] == sum(t[k : k + 3] == "the" for t in lower for k in range(len(t)))
+
+
+def test_held_out_accuracy(spark, tables):
+    docs, labels = tables("documents", "sf0.1"), tables("labels", "sf0.1")
+    truth = {row.doc_id: row.toxic for row in labels.collect()}
+    rows = [row for row in toxicity.score(docs, labels).collect() if row.held_out and row.doc_id in truth]
+    assert all((zlib.crc32(str(row.doc_id).encode()) % 5 == 0) == row.held_out for row in rows)
+    assert sum(row.predicted == truth[row.doc_id] for row in rows) / len(rows) > 0.97
+
+
+def test_odd_rows(spark, documents):
+    def name(k):
+        return "".join("bdfghklmnp"[int(digit)] + "aeiou"[k % 5] for digit in str(k))
+
+    rows = [(k, " ".join(name(7 * k + j) for j in range(7)) + (" scum" if k % 3 == 0 else "")) for k in range(1, 200)]
+    rows += [(None, None), (500, ""), (501, None), (502, "scum " * 50_000), (1, rows[0][1]), (503, "s c u m")]
+    labels = spark.createDataFrame(
+        [(k, 1, int(k % 3 == 0)) for k in range(1, 200)] + [(None, None, None), (3, 0, None), (4, 1, 7)], LABELS
+    )
+    docs = documents(*rows).withColumnRenamed("lang", "score").withColumnRenamed("n_chars", "toxic")
+    found = toxicity.score(docs, labels).collect()
+    assert len(found) == len(rows)
+    by_id = {row.doc_id: row for row in found}
+    assert all(0 <= row.score <= 1 and row.predicted == int(row.score >= 0.5) for row in found)
+    assert by_id[500].predicted == by_id[501].predicted == by_id[None].predicted == 0
+    assert by_id[502].predicted == by_id[503].predicted == 1 and not by_id[None].held_out
+
+
+def test_empty_tables(spark, documents):
+    none = spark.createDataFrame([], LABELS)
+    assert toxicity.score(documents(), none).collect() == []
+    (row,) = toxicity.score(documents((1, "text")), none).collect()
+    assert row.score == 0 and row.predicted == 0
+
+
+def test_restored_column(spark, documents):
+    rows = toxicity.restored(documents((1, FAIR * 20 + "you 1d10t"), (2, None))).collect()
+    assert rows[0].restored.endswith("you idiot") and rows[1].restored is None
