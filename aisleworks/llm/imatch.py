@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aisleworks.llm.shared import only
+from aisleworks.llm.shared import only, stored
 
 SLOT_BITS = 20
 RARE, COMMON = 0.001, 0.02
@@ -51,9 +51,10 @@ def band(docs: DataFrame) -> list[int]:
     """
     slots = docs.select(F.array_distinct(F.transform(_terms(F.col("text")), _slot)).alias("slots")).filter(F.size("slots") > 0)
     # Slot -1 counts the documents.
-    held = (
+    held = stored(
         slots.select(F.explode(F.array_append("slots", F.lit(-1).cast("long"))).alias("slot"))
-        .groupBy("slot").agg(F.count(F.lit(1)).alias("held"))
+        .groupBy("slot").agg(F.count(F.lit(1)).alias("held")),
+        "slots",
     )
     total = held.filter("slot = -1").select("held").first()
     words = [0] * ((1 << SLOT_BITS) // 64)
@@ -69,13 +70,18 @@ def band(docs: DataFrame) -> list[int]:
     return words
 
 
+def _numbers(values: list[int]) -> Column:
+    """Numbers as a constant array: one literal to Spark, where F.lit would make an expression of each."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 def fingerprint(text: Column, bits: list[int]) -> Column:
     """Struct (level, dense, sparse): the texts's level and the hashes of its level's and the next one's lexicons.
 
     A text without a term in the band uses all its terms; without words every hash is 0, which
     stands for a lexicon that holds none of the text's terms.
     """
-    band_bits = F.lit(bits).cast("array<bigint>")
+    band_bits = _numbers(bits)
 
     def in_band(term: Column) -> Column:
         word = F.element_at(band_bits, (F.shiftright(_slot(term), 6) + 1).cast("int"))
@@ -159,7 +165,7 @@ def with_next(rows: DataFrame, derive: Callable[[DataFrame], DataFrame]) -> Data
     cuts = rows.agg(F.percentile_approx(key, [i / ranges for i in range(1, ranges)], 10 * RANGES).alias("cuts")).first()
     bounds = sorted(set(cuts["cuts"] or [0]))
     ranged = rows.withColumn("key", key).withColumn(
-        "range", F.size(F.filter(F.lit(bounds), lambda bound: bound < F.col("key")))
+        "range", F.size(F.filter(_numbers(bounds), lambda bound: bound < F.col("key")))
     )
     heads = ranged.groupBy("range").agg(F.max("key").alias("key"))
     firsts = derive(
