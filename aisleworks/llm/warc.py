@@ -221,8 +221,13 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                     out.write(index.encode())
                 yield pd.DataFrame(entries, columns=["archive", "offset", "length", "record_id", "record_type", "target_uri"])
 
-    spread = archives.select("archive").repartition("archive")
-    return spread.mapInPandas(run, _ENTRY)
+    # A number is named, since rows this small would else be merged into one task.
+    return archives.select("archive").repartition(_tasks(archives)).mapInPandas(run, _ENTRY)
+
+
+def _tasks(archives: DataFrame) -> int:
+    """A task for each archive, up to a number that a cluster can keep track of."""
+    return max(1, min(archives.count(), 20_000))
 
 
 def read_records(index: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
@@ -256,7 +261,8 @@ def read_records(index: DataFrame, folder: str, with_payload: bool = True) -> Da
                 out, columns=["page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload"]
             )
 
-    read = index.select("archive", "offset", "length").mapInPandas(
+    spread = index.select("archive", "offset", "length").repartition(_tasks(index.select("archive").distinct()), "archive")
+    read = spread.mapInPandas(
         run, _RECORD.replace("page_id long", "page_id string").replace("refers_to long", "refers_to string")
     )
     return read.withColumns({name: F.col(name).cast("long") for name in ("page_id", "refers_to")})
