@@ -1,25 +1,64 @@
-"""spark-submit entry: publish the KPIs of one run date."""
+"""spark-submit entry: load tables, export snapshots, or publish the KPIs of a run date."""
 
 from __future__ import annotations
 
 import argparse
 import datetime as dt
 
-from aisleworks.plans.batch import run
+from pyspark.sql import SparkSession
+
+from aisleworks.plans.batch import run, run_tables
+from aisleworks.schemas import TABLES
 from aisleworks.session import build_session
-from aisleworks.sources import Location
+from aisleworks.sinks import export_snapshot
+from aisleworks.sources import Location, load_table
+
+
+def _stored(spark: SparkSession, root: str) -> dict:
+    return {name: spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in TABLES.items()}
+
+
+def _load(spark: SparkSession, given: argparse.Namespace) -> str:
+    source = Location(given.landing, null_value=given.null_value)
+    for name in TABLES:
+        load_table(spark, source, name, f"{given.tables}/{name}")
+    return f"{len(TABLES)} tables loaded"
+
+
+def _export(spark: SparkSession, given: argparse.Namespace) -> str:
+    landing = Location(given.landing, null_value=given.null_value)
+    rows = export_snapshot(_stored(spark, given.tables), landing, given.run_date)
+    return ", ".join(f"{name} {count}" for name, count in sorted(rows.items())) + " rows exported"
+
+
+def _publish(spark: SparkSession, given: argparse.Namespace) -> str:
+    if given.tables:
+        rows = run_tables(spark, _stored(spark, given.tables), given.output, given.run_date, check_keys=False)
+    else:
+        rows = run(spark, Location(given.landing, null_value=given.null_value), given.output, given.run_date)
+    return f"{rows} rows published"
 
 
 def main() -> None:
     args = argparse.ArgumentParser(prog="aisleworks", description=__doc__)
-    args.add_argument("run_date", type=dt.date.fromisoformat, help="yyyy-MM-dd")
-    args.add_argument("--landing", required=True, help="folder holding <table>_<date>.csv")
-    args.add_argument("--output", required=True, help="root of the date= partitions")
-    args.add_argument("--null-value", default="\\N", help="text that stands for NULL")
+    commands = args.add_subparsers(required=True, dest="command")
+    shared = argparse.ArgumentParser(add_help=False)
+    shared.add_argument("--null-value", default="\\N", help="text that stands for NULL")
+    load = commands.add_parser("load", parents=[shared], help="load <table>.csv of all five tables")
+    export = commands.add_parser("export", parents=[shared], help="export a snapshot of all five tables")
+    publish = commands.add_parser("run", parents=[shared], help="publish the KPIs of a run date")
+    for command in (export, publish):
+        command.add_argument("run_date", type=dt.date.fromisoformat, help="yyyy-MM-dd")
+    for command in (load, export):
+        command.add_argument("--landing", required=True, help="folder of the CSV files")
+        command.add_argument("--tables", required=True, help="folder of the typed tables")
+    source = publish.add_mutually_exclusive_group(required=True)
+    source.add_argument("--landing", help="folder holding <table>_<date>.csv and manifests")
+    source.add_argument("--tables", help="folder of typed tables that load has made")
+    publish.add_argument("--output", required=True, help="root of the date= partitions")
     given = args.parse_args()
     spark = build_session("aisleworks")
-    landing = Location(given.landing, null_value=given.null_value)
-    print(run(spark, landing, given.output, given.run_date), "rows published")
+    print({"load": _load, "export": _export, "run": _publish}[given.command](spark, given))
     spark.stop()
 
 

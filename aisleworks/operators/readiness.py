@@ -1,4 +1,8 @@
-"""Have all files of a business date arrived?"""
+"""Have all files of a business date arrived?
+
+A table has arrived once its manifest is there, which is written after all of its
+files; files without one are an export under way.
+"""
 
 from __future__ import annotations
 
@@ -12,8 +16,8 @@ from aisleworks.schemas import TABLES
 
 REQUIRED = tuple(sorted(TABLES))
 
-# File names, alone or as a folder of part files: <table>_<date>.csv
-_NAME = r"(?:^|/)(" + "|".join(REQUIRED) + r")_(\d{4}-\d{2}-\d{2})\.csv(?:/|$)"
+# Manifests, alone or as a folder of part files: <table>_<date>.manifest
+_NAME = r"(?:^|/)(" + "|".join(REQUIRED) + r")_(\d{4}-\d{2}-\d{2})\.manifest(?:/|$)"
 
 
 def file_name(table: Column, day: Column) -> Column:
@@ -31,7 +35,7 @@ def required_files(days: DataFrame) -> DataFrame:
 
 
 def arrived_files(listing: DataFrame) -> DataFrame:
-    """Table and business date of each listed path; other files are ignored."""
+    """Table and business date of each listed manifest; other files are ignored."""
     return (
         listing.select(
             F.regexp_extract("path", _NAME, 1).alias("table_name"),
@@ -43,7 +47,7 @@ def arrived_files(listing: DataFrame) -> DataFrame:
 
 
 def missing_files(required: DataFrame, listing: DataFrame) -> DataFrame:
-    """Required files not listed; empty means ready."""
+    """Required files whose manifest is not listed; empty means ready."""
     return required.join(arrived_files(listing).select("file_name"), "file_name", "left_anti")
 
 

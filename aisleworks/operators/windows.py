@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aisleworks.scratch import scratch_path
+from aisleworks.operators.aggregates import DAY_KEY, WEEK_KEY
+from aisleworks.operators.joins import join_inventory
 
 
 def with_last_sales(kpis: DataFrame) -> DataFrame:
@@ -24,79 +25,88 @@ def with_last_sales(kpis: DataFrame) -> DataFrame:
     return kpis.withColumn("last_week_sales", F.lag("sum_sales_amt").over(previous))
 
 
-# A task sorts and scans this many narrow rows in well under a minute.
-GROUP_LIMIT = 5_000_000
-_SAMPLED = 0.001
+def stock_days(dated_sales: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Each stock row of each traded day, with what the week's earlier days counted.
 
+    ``carry`` is the sum of the out-of-stock flag over the sales of earlier days of the week,
+    NULL if none had a flag.  ``numbered`` tells days on which sales must be counted one by
+    one: those out of stock, and those whose repeated stock rows disagree.  Sales are
+    counted per day before they meet stock, so a window holds a week's days only.
+    """
+    traded = dated_sales.groupBy(*DAY_KEY).agg(
+        F.count(F.lit(1)).alias("sold"), F.min("trans_id").alias("low"), F.max("trans_id").alias("high")
+    )
+    flag = F.col("out_of_stock_flg")
+    day = Window.partitionBy(*DAY_KEY)
+    upto = Window.partitionBy(*WEEK_KEY).orderBy("trans_dt")  # with the day itself
+    stocked = join_inventory(traded, inventory).withColumns(
+        {
+            "own": F.sum(flag * F.col("sold")).over(day),
+            "own_flags": F.count(flag).over(day),
+            "copies": F.count(F.lit(1)).over(day),
+            "least": F.min(flag).over(day),
+            "most": F.max(flag).over(day),
+            "all": F.sum(flag * F.col("sold")).over(upto),
+            "all_flags": F.count(flag).over(upto),
+        }
+    )
+    mixed = ((F.col("own_flags") > 0) & (F.col("own_flags") < F.col("copies"))) | (F.col("least") < F.col("most"))
+    return stocked.select(
+        *DAY_KEY,
+        flag,
+        "low",
+        "high",
+        F.sqrt(F.col("sold") * F.col("copies")).alias("parts"),
+        F.when(
+            F.col("all_flags") > F.col("own_flags"), F.col("all") - F.coalesce("own", F.lit(0))
+        ).alias("carry"),
+        F.coalesce(mixed | (F.col("most") != 0), F.lit(False)).alias("numbered"),
+    )
 
-def estimated_largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """About how many rows the largest group has, from one row in a thousand.
 
-    For choosing between two exact plans only; no result depends on it.
-    """
-    counts = df.select(*group).sample(_SAMPLED, seed=1).groupBy(*group).count()
-    return int((counts.agg(F.max("count")).first()[0] or 0) / _SAMPLED)
+def _joined(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``left`` with the other columns of ``right`` where ``columns`` are equal, NULL to NULL."""
+    other = right.withColumnsRenamed({c: f"_{c}" for c in columns})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
+    return left.join(other, same).drop(*[f"_{c}" for c in columns])
 
 
-def running_total(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, name: str
-) -> DataFrame:
-    """Running sum of ``value`` per group; each group is sorted by one task."""
-    upto = Window.partitionBy(*group).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return df.withColumn(name, F.sum(value).over(upto))
+def _plus(*terms: Column) -> Column:
+    """Sum of the terms that are not NULL; NULL if all are."""
+    total = reduce(lambda a, b: a + b, [F.coalesce(t, F.lit(0)) for t in terms])
+    return F.when(F.coalesce(*terms).isNotNull(), total)
 
 
-def running_total_in_blocks(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, name: str
+def running_out_of_stock(
+    dated_sales: DataFrame, inventory: DataFrame, order: Sequence[str], name: str
 ) -> DataFrame:
-    """The same running sum for groups of any size.
+    """Running sum of the out-of-stock flag over the sales of a week, store and product.
 
-    The rows are range partitioned by group and order, so a large group spans several
-    blocks; each block sums on its own and adds what the group's earlier blocks hold.
-    Blocks must stay fixed between the two passes, hence the written table.
+    ``order`` begins with the day and the transaction.  Where a whole day has flag 0 or none,
+    its sales need only the carry.  Other days are cut into about sqrt(n) ranges of
+    transactions; a range is summed by one task and adds what the day's earlier ranges
+    hold, so no task sorts more than a range, however many sales a day has.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, "running-total")
-    (
-        # The tie column lets even a third of identical rows be cut into blocks.  Rows
-        # are sorted first so that a recomputed task numbers them the same way.
-        df.sortWithinPartitions(*df.columns)
-        .withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*group, *order, "_tie")
-        .withColumn("_block", F.spark_partition_id())
-        .write.parquet(path)
-    )
-    rows = spark.read.parquet(path)
-
-    earlier = Window.partitionBy(*group).orderBy("_block")
-    carried = (
-        rows.groupBy("_block", *group)
-        .agg(F.sum(value).alias("_sum"))
-        .select(
-            "_block",
-            *group,
-            F.row_number().over(earlier).alias("_nth"),
-            F.sum("_sum").over(earlier.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
-        )
-        .where("_nth > 1")
-        .select(*[F.col(c).alias(f"_c{c}") for c in ("_block", *group)], "_carry")
-    )
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(c).eqNullSafe(F.col(f"_c{c}")) for c in ("_block", *group)],
+    sales = dated_sales.select(*WEEK_KEY, *order)
+    found = _joined(sales, stock_days(dated_sales, inventory), DAY_KEY)
+    flag = F.col("out_of_stock_flg")
+    kept = [*WEEK_KEY, *order]
+
+    plain = found.where(~F.col("numbered")).select(*kept, _plus(F.col("carry"), flag).alias(name))
+
+    width = (F.col("high").cast("double") - F.col("low").cast("double")) / F.col("parts") + 1
+    place = F.floor((F.col("trans_id").cast("double") - F.col("low").cast("double")) / width)
+    ranged = found.where("numbered").withColumn("part", F.coalesce(place, F.lit(-1)))
+    part = [*DAY_KEY, "part"]
+    earlier = Window.partitionBy(*DAY_KEY).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = ranged.groupBy(*part).agg(F.sum(flag).alias("held")).select(
+        *part, F.sum("held").over(earlier).alias("before")
     )
-    within = (
-        Window.partitionBy("_block", *group)
-        .orderBy(*order, "_tie")
+    own = F.sum(flag).over(
+        Window.partitionBy(*part).orderBy(*order, "out_of_stock_flg")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # Two neighbouring blocks share at most one group, so ``carried`` has fewer
-    # rows than there are shuffle partitions and can always be broadcast.
-    return (
-        rows.withColumn("_own", F.sum(value).over(within))
-        .join(F.broadcast(carried), same, "left")
-        .withColumn(name, F.coalesce(F.col("_own") + F.col("_carry"), "_own", "_carry"))
-        .select(*df.columns, name)
+    counted = _joined(ranged.withColumn("own", own), before, part).select(
+        *kept, _plus(F.col("carry"), F.col("before"), F.col("own")).alias(name)
     )
+    return plain.unionByName(counted)

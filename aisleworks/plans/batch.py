@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,8 +11,13 @@ from aisleworks import schemas
 from aisleworks.operators.checks import require_unique
 from aisleworks.operators.readiness import missing_files, required_files
 from aisleworks.plans.daily import kpi_daily
+from aisleworks.scratch import scratch_path
+from aisleworks.session import require_ansi
 from aisleworks.sinks import write_partition
 from aisleworks.sources import Location, list_files, read_by_header
+from aisleworks.sources.manifests import IncompleteExportError, check_parts, counted
+
+INPUTS = ("sales", "calendar", "inventory")
 
 
 class MissingFilesError(RuntimeError):
@@ -23,42 +29,68 @@ class MissingFilesError(RuntimeError):
 
 
 def check_ready(spark: SparkSession, landing: Location, run_date: dt.date) -> None:
-    """Raise unless all five files of the run date are there.
+    """Raise unless the manifests of all five files of the run date are there.
 
     Only names of that date are listed, however many dates the folder holds.
     """
     required = required_files(spark.createDataFrame([(run_date,)], "business_date date"))
-    listing = list_files(spark, landing.root, landing.file_name("*", run_date))
+    listing = list_files(spark, landing.root, f"*_{run_date.isoformat()}.manifest")
     absent = missing_files(required, listing).collect()
     if absent:
         raise MissingFilesError(sorted(row.file_name for row in absent))
 
 
 def read_inputs(spark: SparkSession, landing: Location, run_date: dt.date) -> dict[str, DataFrame]:
-    """The three tables the KPIs need, typed."""
-    return {
-        table: read_by_header(spark, landing, table, schemas.TABLES[table], run_date)
-        for table in ("sales", "calendar", "inventory")
-    }
+    """The three tables the KPIs need, typed, and proven whole.
 
+    Each file is read once, into a scratch table; its parts are those of its manifest
+    and so is the number of rows that the read has seen.
+    """
+    root = scratch_path(spark, "inputs")
+    tables = {}
+    for table in INPUTS:
+        rows = check_parts(spark, landing, table, run_date)
+        read = read_by_header(spark, landing, table, schemas.TABLES[table], run_date)
+        observed, seen = counted(read)
+        observed.write.parquet(f"{root}/{table}")
+        if seen.get["rows"] != rows:
+            raise IncompleteExportError(
+                f"{table} for {run_date}: {seen.get['rows']} rows read, its manifest has {rows}"
+            )
+        tables[table] = spark.read.schema(read.schema).parquet(f"{root}/{table}")
+    return tables
 
-def run(
+
+def run_tables(
     spark: SparkSession,
-    landing: Location,
+    tables: Mapping[str, DataFrame],
     output_root: str,
     run_date: dt.date,
     check_keys: bool = True,
 ) -> int:
-    """Publish the KPIs of one run date and return the rows written.
+    """Publish the KPIs of one run date from typed tables and return the rows written.
 
     Rerunning a date replaces its partition and leaves every other date alone.
     ``check_keys`` refuses repeated calendar days and inventory keys, which would
-    multiply sales, at the price of one shuffle of the inventory's keys; turn it off
-    only where the loader has checked them already.
+    multiply sales; tables that ``load_table`` made have been checked already.
     """
-    check_ready(spark, landing, run_date)
-    inputs = read_inputs(spark, landing, run_date)
+    require_ansi(spark)
+    inputs = {table: tables[table] for table in INPUTS}
     if check_keys:
-        require_unique(inputs["calendar"], ["cal_dt"], "calendar")
-        require_unique(inputs["inventory"], schemas.INVENTORY_KEY, "inventory")
+        for table in ("calendar", "inventory"):
+            require_unique(inputs[table], schemas.UNIQUE_KEYS[table], table)
     return write_partition(kpi_daily(**inputs), output_root, run_date)
+
+
+def run(
+    spark: SparkSession,
+    landing: Location,
+    output_root: str,
+    run_date: dt.date,
+    check_keys: bool = True,
+) -> int:
+    """Gate, read and publish one run date from the files in ``landing``; see ``run_tables``."""
+    require_ansi(spark)
+    check_ready(spark, landing, run_date)
+    inputs = read_inputs(spark, landing, run_date)
+    return run_tables(spark, inputs, output_root, run_date, check_keys)

@@ -6,12 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aisleworks.functions import as_count, ratio2
-from aisleworks.operators.aggregates import day_totals, sales_by_quantity
+from aisleworks.operators.aggregates import WEEK_KEY, day_totals, sales_by_quantity
 from aisleworks.operators.joins import join_calendar, join_inventory
 from aisleworks.operators.stock import low_stock_flag, stock_value
-from aisleworks.operators.windows import (
-    GROUP_LIMIT, estimated_largest_group, running_total, running_total_in_blocks, with_last_sales,
-)
+from aisleworks.operators.windows import running_out_of_stock, with_last_sales
 from aisleworks.schemas import KPI_COLUMNS
 
 
@@ -67,22 +65,10 @@ def kpi_daily(sales: DataFrame, calendar: DataFrame, inventory: DataFrame) -> Da
 
 
 def week_out_of_stock_running(
-    sales: DataFrame,
-    calendar: DataFrame,
-    inventory: DataFrame,
-    group_limit: int = GROUP_LIMIT,
+    sales: DataFrame, calendar: DataFrame, inventory: DataFrame
 ) -> DataFrame:
-    """Out-of-stock sales so far in the week of a store and product, sale by sale.
-
-    Weeks of a store and product larger than ``group_limit`` sales make the sum
-    run in blocks; with smaller ones a plain window is two to three times faster.
-    """
-    group = ["yr_wk_num", "store_key", "prod_key"]
+    """Out-of-stock sales so far in the week of a store and product, sale by sale."""
     sale = ["trans_dt", "trans_id", "sales_qty", "sales_amt", "sales_price"]
-    flag, total = "out_of_stock_flg", "week_out_of_stock"
-    dated = join_calendar(sales, calendar)
-    rows = join_inventory(dated, inventory).select(*group, *sale, flag)
-    large = estimated_largest_group(dated, group) > group_limit
-    running = running_total_in_blocks if large else running_total
-    counted = running(rows, group, [*sale, flag], flag, total)
-    return counted.select(*group, *sale, as_count(F.col(total)).alias(total))
+    total = "week_out_of_stock"
+    counted = running_out_of_stock(join_calendar(sales, calendar), inventory, sale, total)
+    return counted.select(*WEEK_KEY, *sale, as_count(F.col(total)).alias(total))

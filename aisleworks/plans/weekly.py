@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aisleworks.functions import as_count, ratio2
 from aisleworks.operators.aggregates import (
-    DAY_KEY, WEEK_KEY, folded_measures, published, sales_by_quantity,
+    WEEK_KEY, folded_measures, published, sales_by_quantity,
 )
-from aisleworks.operators.joins import join_calendar
+from aisleworks.operators.joins import join_calendar, join_inventory
 
 _SUMS = (
     "sum_sales_qty",
@@ -30,25 +32,15 @@ def week_numbers(calendar: DataFrame) -> DataFrame:
     return weeks.withColumn("week_idx", F.row_number().over(Window.orderBy("yr_wk_num")))
 
 
-def _one_stock_row(folded: DataFrame) -> DataFrame:
-    """Mark one folded row per day, store and product.
-
-    The full join repeats a stock row for every quantity sold that day; only its
-    copy on the marked row counts.  The window shares the join's partitioning and
-    sees no more rows than there are different quantities.
-    """
-    by_quantity = Window.partitionBy(*DAY_KEY).orderBy("sales_qty")
-    return folded.withColumn("nth", F.row_number().over(by_quantity))
+def week_sales(sales: DataFrame, calendar: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Sales and low-stock sums of each week, store and product that had sales."""
+    folded = join_inventory(sales_by_quantity(join_calendar(sales, calendar)), inventory)
+    measures = folded_measures()
+    return folded.groupBy(*WEEK_KEY).agg(*[measures[name].alias(name) for name in _SUMS])
 
 
-def kpi_weekly(sales: DataFrame, calendar: DataFrame, inventory: DataFrame) -> DataFrame:
-    """One row per week, store and product that had sales or stock.
-
-    Sales and stock meet once, by day, in a full join; the low-stock sums and the
-    week-end stock both come out of that pass, so inventory is scanned and
-    shuffled a single time.
-    """
-    folded = _one_stock_row(sales_by_quantity(join_calendar(sales, calendar)))
+def week_stock(calendar: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Last stock and out-of-stock days of each week, store and product that had stock."""
     stock = join_calendar(
         inventory.select(
             F.col("cal_dt").alias("trans_dt"),
@@ -57,22 +49,31 @@ def kpi_weekly(sales: DataFrame, calendar: DataFrame, inventory: DataFrame) -> D
             "inventory_on_hand_qty",
             "inventory_on_order_qty",
             "out_of_stock_flg",
-            F.lit(True).alias("stocked"),
         ),
         calendar,
     )
-    measures = folded_measures()
-    stock_day = F.when(F.col("stocked"), F.col("trans_dt"))
-    counted = F.col("nth").isNull() | (F.col("nth") == 1)
-    weeks = (
-        folded.join(stock, list(DAY_KEY), "full_outer")
-        .groupBy(*WEEK_KEY)
-        .agg(
-            *[F.coalesce(measures[name], F.lit(0)).alias(name) for name in _SUMS],
-            F.max_by("inventory_on_hand_qty", stock_day).alias("week_end_stock_on_hand"),
-            F.max_by("inventory_on_order_qty", stock_day).alias("week_end_ordered_stock"),
-            as_count(F.sum(F.when(counted, F.col("out_of_stock_flg")))).alias("out_of_stock_days"),
-        )
+    return stock.groupBy(*WEEK_KEY).agg(
+        F.max_by("inventory_on_hand_qty", "trans_dt").alias("week_end_stock_on_hand"),
+        F.max_by("inventory_on_order_qty", "trans_dt").alias("week_end_ordered_stock"),
+        as_count(F.sum("out_of_stock_flg")).alias("out_of_stock_days"),
+    )
+
+
+def kpi_weekly(sales: DataFrame, calendar: DataFrame, inventory: DataFrame) -> DataFrame:
+    """One row per week, store and product that had sales or stock.
+
+    Sales meet the stock of their day in a left join, which adaptive execution can split
+    at a hot key; sales and stock are then summed to weeks separately, and the full
+    join sees one row of either side per week, store and product.
+    """
+    stocked = week_stock(calendar, inventory).withColumnsRenamed({c: f"stock_{c}" for c in WEEK_KEY})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"stock_{c}")) for c in WEEK_KEY])
+    weeks = week_sales(sales, calendar, inventory).join(stocked, same, "full_outer").select(
+        *[F.coalesce(c, f"stock_{c}").alias(c) for c in WEEK_KEY],
+        "week_end_stock_on_hand",
+        "week_end_ordered_stock",
+        "out_of_stock_days",
+        *[F.coalesce(name, F.lit(0)).alias(name) for name in _SUMS],
     )
 
     earlier = Window.partitionBy("store_key", "prod_key").orderBy("week_idx")

@@ -120,6 +120,15 @@ SNAPSHOT_DATE = {"sales": "trans_dt", "inventory": "cal_dt"}
 
 INVENTORY_KEY = ("cal_dt", "store_key", "prod_key")
 
+# Keys that must not repeat; a load refuses tables in which they do.
+UNIQUE_KEYS = {
+    "calendar": ("cal_dt",),
+    "inventory": INVENTORY_KEY,
+    "product": ("prod_key",),
+    "store": ("store_key",),
+}
+
+# The published columns, in their order.
 KPI_COLUMNS = (
     "yr_wk_num",
     "trans_dt",

@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from pyspark import SparkFiles
 from pyspark.sql import SparkSession
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder under the shared folder named by ``spark.checkpoint.dir``.
+def scratch_path(spark: SparkSession, label: str, root: str | None = None) -> str:
+    """A new folder under ``root`` or the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting falls back to the machine's
-    temporary folder; on a cluster the executors could not see it.
+    A cluster session that names neither is refused.  In local mode, where driver
+    and executors are one process, the session's own folder serves; Spark removes
+    it when the session ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = root or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
+        base = SparkFiles.getRootDirectory()
     return f"{base.rstrip('/')}/aisleworks-{label}-{uuid.uuid4().hex}"

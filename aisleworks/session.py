@@ -17,6 +17,9 @@ def build_session(app: str, master: str | None = None, **conf: object) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Split a hot key's join even where the next step must then shuffle again.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        .config("spark.sql.ansi.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -25,3 +28,9 @@ def build_session(app: str, master: str | None = None, **conf: object) -> SparkS
     for key, value in conf.items():
         builder = builder.config(key, str(value))
     return builder.getOrCreate()
+
+
+def require_ansi(spark: SparkSession) -> None:
+    """Refuse a session in which bad text and overflow become NULL instead of failing."""
+    if spark.conf.get("spark.sql.ansi.enabled").lower() != "true":
+        raise RuntimeError("set spark.sql.ansi.enabled to true: strict reads and sums rely on it")

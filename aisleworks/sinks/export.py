@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from aisleworks.schemas import SNAPSHOT_DATE
 from aisleworks.sources.location import Location
+from aisleworks.sources.manifests import clear_manifest, write_manifest
 
 # About 100 MB of CSV per part file for rows of a hundred bytes.
 ROWS_PER_FILE = 1_000_000
@@ -25,6 +26,8 @@ def snapshot(df: DataFrame, table: str, run_date: dt.date) -> DataFrame:
 def _export_one(df: DataFrame, table: str, location: Location, run_date: dt.date) -> int:
     # Counted in the writing stage itself: no second pass, and Spark counts each
     # finished partition of that stage once however often its tasks are retried.
+    spark = df.sparkSession
+    clear_manifest(spark, location, table, run_date)
     seen = Observation(f"export_{table}")
     (
         snapshot(df, table, run_date)
@@ -36,13 +39,18 @@ def _export_one(df: DataFrame, table: str, location: Location, run_date: dt.date
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .csv(location.path(table, run_date))
     )
-    return seen.get["rows"]
+    rows = seen.get["rows"]
+    write_manifest(spark, location, table, run_date, rows)
+    return rows
 
 
 def export_snapshot(
     tables: Mapping[str, DataFrame], location: Location, run_date: dt.date
 ) -> dict[str, int]:
-    """Write ``<table>_<date>.csv`` for each table and return the rows written.
+    """Write ``<table>_<date>.csv`` for each table, then its manifest; return the rows written.
+
+    A table counts as arrived by its manifest alone.  That of an earlier export goes
+    before the data is touched and the new one comes after its commit.
 
     Each export is a folder of part files, so no table passes through one task.
     The tables are independent jobs and are submitted together.

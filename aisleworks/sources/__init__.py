@@ -1,15 +1,17 @@
-from aisleworks.sources.csv_files import read_by_header, read_positional, read_with_rejects
+from aisleworks.sources.csv_files import read_by_header, read_positional, read_with_rejects, split_rejects
 from aisleworks.sources.listing import list_files
 from aisleworks.sources.location import Location
-from aisleworks.sources.tables import load_table, register_views, replace_table
+from aisleworks.sources.tables import load_table, load_with_rejects, register_views, replace_table
 
 __all__ = [
     "Location",
     "list_files",
     "load_table",
+    "load_with_rejects",
     "read_by_header",
     "read_positional",
     "read_with_rejects",
     "register_views",
     "replace_table",
+    "split_rejects",
 ]

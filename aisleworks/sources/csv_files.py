@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aisleworks.functions.dates import DATE_FORMAT, parse_date
+from aisleworks.session import require_ansi
 from aisleworks.sources.location import Location
 
 _BROKEN = "_broken_line"
@@ -41,6 +42,7 @@ def read_by_header(
     Only the columns a query uses are parsed.  All part files of one export must
     share a header; one that differs fails the read instead of mixing columns.
     """
+    require_ansi(spark)
     raw = (
         spark.read.options(**location.read_options())
         .option("mode", "FAILFAST")
@@ -54,6 +56,28 @@ def read_by_header(
     return raw.select([_typed(raw[f"`{found[f.name.lower()]}`"], f) for f in schema.fields])
 
 
+def _text_by_position(
+    spark: SparkSession, location: Location, table: str, schema: T.StructType, day: dt.date | None, mode: str
+) -> DataFrame:
+    """Every value as text, the header line skipped; ``_BROKEN`` has a malformed line if ``mode`` lets it pass.
+
+    All columns are parsed whatever a query uses, so a line with a value too many or too few never goes
+    unnoticed.
+    """
+    fields = [T.StructField(f.name, T.StringType()) for f in schema.fields]
+    if mode == "PERMISSIVE":
+        fields.append(T.StructField(_BROKEN, T.StringType()))
+    return (
+        spark.read.schema(T.StructType(fields))
+        .options(**location.read_options())
+        .option("enforceSchema", True)
+        .option("mode", mode)
+        .option("columnNameOfCorruptRecord", _BROKEN)
+        .option("columnPruning", False)
+        .csv(location.path(table, day))
+    )
+
+
 def read_positional(
     spark: SparkSession,
     location: Location,
@@ -63,15 +87,12 @@ def read_positional(
 ) -> DataFrame:
     """Skip the header line and take columns by position; bad rows fail the job.
 
-    Spark checks only the columns it reads, so let a load write every column.
+    Values are converted as in the other readers.  Spark converts only the columns
+    it uses, so let a load write every column.
     """
-    return (
-        spark.read.schema(schema)
-        .options(**location.read_options())
-        .option("enforceSchema", True)
-        .option("mode", "FAILFAST")
-        .csv(location.path(table, day))
-    )
+    require_ansi(spark)
+    raw = _text_by_position(spark, location, table, schema, day, "FAILFAST")
+    return raw.select([_typed(F.col(f.name), f) for f in schema.fields])
 
 
 def read_with_rejects(
@@ -81,36 +102,64 @@ def read_with_rejects(
     schema: T.StructType,
     day: dt.date | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Split a file into typed good rows and raw rejected rows.
+    """Split a file into typed good rows and rejected rows as text.
 
-    Rejects keep every value as text and name the columns at fault in
-    ``bad_columns``; a line with too many or too few values lists ``*``.  The test
-    is an expression over all columns, so later column pruning cannot weaken it.
+    Rejects keep every value, name the columns at fault in ``bad_columns``, and have
+    the whole line in ``raw_line`` where values alone would lose some of it: a line
+    with too many or too few lists ``*``.  The test is an expression over all
+    columns, so later column pruning cannot weaken it.  Using both frames reads the
+    file twice; ``split_rejects`` keeps one pass.
     """
-    text_schema = T.StructType(
-        [T.StructField(f.name, T.StringType()) for f in schema.fields]
-        + [T.StructField(_BROKEN, T.StringType())]
-    )
-    raw = (
-        spark.read.schema(text_schema)
-        .options(**location.read_options())
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _BROKEN)
-        .option("columnPruning", False)
-        .csv(location.path(table, day))
-    )
+    marked = _marked(spark, location, table, schema, day)
+    return _good(marked.where(~F.col("rejected")), schema), _bad(marked.where("rejected"), schema)
+
+
+def split_rejects(
+    spark: SparkSession,
+    location: Location,
+    table: str,
+    schema: T.StructType,
+    target: str,
+    day: dt.date | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The same two frames from one pass: the file is read once and written, split, to ``target``."""
+    marked = _marked(spark, location, table, schema, day)
+    marked.write.mode("overwrite").partitionBy("rejected").parquet(target)
+    stored = spark.read.schema(marked.schema).parquet(target)
+    return _good(stored.where(~F.col("rejected")), schema), _bad(stored.where("rejected"), schema)
+
+
+def _marked(
+    spark: SparkSession, location: Location, table: str, schema: T.StructType, day: dt.date | None
+) -> DataFrame:
+    """Typed values of good lines in ``good``, all values of bad ones in ``bad``, and which it is."""
+    raw = _text_by_position(spark, location, table, schema, day, "PERMISSIVE")
 
     def fault(f: T.StructField) -> Column:
         text = F.col(f.name)
         wrong = text.isNotNull() & _try_typed(text, f).isNull()
         return wrong if f.nullable else wrong | text.isNull()
 
-    faults = [(f.name, fault(f)) for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    faults = [
+        (f.name, fault(f)) for f in schema.fields if not (isinstance(f.dataType, T.StringType) and f.nullable)
+    ]
     broken = F.col(_BROKEN).isNotNull()
-    is_bad = reduce(lambda a, b: a | b, [test for _, test in faults], broken)
+    rejected = reduce(lambda a, b: a | b, [test for _, test in faults], broken)
     named = F.concat_ws(",", *[F.when(test, F.lit(name)) for name, test in faults])
-    bad = raw.where(is_bad).select(
-        *schema.names, F.when(broken, F.lit("*")).otherwise(named).alias("bad_columns")
+    return raw.select(
+        F.when(~rejected, F.struct([_try_typed(F.col(f.name), f) for f in schema.fields])).alias("good"),
+        F.when(rejected, F.struct(*schema.names)).alias("bad"),
+        F.when(broken, F.lit("*")).otherwise(named).alias("bad_columns"),
+        F.col(_BROKEN).alias("raw_line"),
+        rejected.alias("rejected"),
+    )
+
+
+def _good(marked: DataFrame, schema: T.StructType) -> DataFrame:
+    return marked.select([F.col("good")[name].alias(name) for name in schema.names])
+
+
+def _bad(marked: DataFrame, schema: T.StructType) -> DataFrame:
+    return marked.select(
+        *[F.col("bad")[name].alias(name) for name in schema.names], "bad_columns", "raw_line"
     )
-    good = raw.where(~is_bad).select([_try_typed(F.col(f.name), f) for f in schema.fields])
-    return good, bad

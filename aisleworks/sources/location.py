@@ -29,6 +29,10 @@ class Location:
     def path(self, table: str, day: dt.date | None = None) -> str:
         return f"{self.root.rstrip('/')}/{self.file_name(table, day)}"
 
+    def manifest_path(self, table: str, day: dt.date) -> str:
+        """Where the manifest of a finished export lies: beside it, never within it."""
+        return f"{self.root.rstrip('/')}/{table}_{day.isoformat()}.manifest"
+
     def csv_options(self) -> dict[str, object]:
         """Quotes are doubled inside quoted text and blanks are kept as they are."""
         return {

@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aisleworks.schemas import TABLES
-from aisleworks.sources.csv_files import read_positional
+from aisleworks.operators.checks import require_unique
+from aisleworks.schemas import TABLES, UNIQUE_KEYS
+from aisleworks.sources.csv_files import read_positional, split_rejects
 from aisleworks.sources.location import Location
 
 
@@ -47,12 +48,29 @@ def load_table(
 ) -> DataFrame:
     """Bulk-load one CSV file into its typed table; any malformed row aborts it.
 
-    Writing every column makes Spark check every column.
+    Writing every column makes Spark check every column.  A table whose declared key
+    repeats is refused before anything is replaced; that check parses the key
+    columns once more.
     """
     rows = read_positional(spark, source, table, TABLES[table], day)
+    if table in UNIQUE_KEYS:
+        require_unique(rows, UNIQUE_KEYS[table], table)
     return replace_table(rows, target, name, buckets, by)
 
 
+def load_with_rejects(
+    spark: SparkSession, source: Location, table: str, target: str, day: dt.date | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Bulk-load the good rows and keep the bad ones: (accepted, rejected), both stored below ``target``.
+
+    The file is read once.  Accepted rows with a repeated key fail the load.
+    """
+    good, bad = split_rejects(spark, source, table, TABLES[table], target, day)
+    if table in UNIQUE_KEYS:
+        require_unique(good, UNIQUE_KEYS[table], table)
+    return good, bad
+
+
 def register_views(tables: Mapping[str, DataFrame], shared: bool = False) -> None:
     """Expose tables to SQL by name; ``shared`` puts them in ``global_temp``."""
     for name, df in tables.items():

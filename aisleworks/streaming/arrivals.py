@@ -23,16 +23,28 @@ def file_arrivals(spark: SparkSession, root: str) -> DataFrame:
 
 
 def track_arrivals(paths: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
-    """Keep five flags per business date and write the dates each batch changed.
+    """Keep five flags per business date, and a snapshot of them as of the last batch.
 
     ``paths`` is any stream with a ``path`` column: a watched folder, or the
-    notification feed of an object store.  A path seen twice changes nothing, and
-    a replayed batch overwrites its own folder, so restarts are exact.  Processes
-    all that is available, then stops.
+    notification feed of an object store.  A path seen twice changes nothing.
+    Snapshots alternate between two folders, so they never grow in number: batch n reads
+    the latest of an earlier batch and writes the other folder.  A replayed batch finds
+    the same earlier snapshot and writes the same folder again, so restarts are exact.
+    Processes all that is available, then stops.
     """
 
     def publish(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{output}/batch={batch}")
+        spark = changed.sparkSession
+        slots = {slot: _slot(spark, output, slot) for slot in _SLOTS}
+        batches = {
+            slot: found.where(F.col("as_of") < batch).agg(F.max("as_of")).first()[0]
+            for slot, found in slots.items()
+        }
+        last = max(_SLOTS, key=lambda slot: -1 if batches[slot] is None else batches[slot])
+        known = slots[last].where(F.col("as_of") == F.lit(batches[last])).drop("as_of")
+        merged = _merged(known.unionByName(changed))
+        (other,) = set(_SLOTS) - {last}
+        merged.withColumn("as_of", F.lit(batch)).write.mode("overwrite").parquet(f"{output}/slot={other}")
 
     return (
         arrived_files(paths)
@@ -46,18 +58,32 @@ def track_arrivals(paths: DataFrame, output: str, checkpoint: str) -> StreamingQ
     )
 
 
-def current_flags(spark: SparkSession, output: str) -> DataFrame:
-    """The flags as of the last batch; they only ever turn from false to true.
+_SLOTS = (0, 1)
+_FLAGS = ", ".join(["business_date date", *[f"has_{t} boolean" for t in REQUIRED]])
 
-    Empty before the first batch.
-    """
-    flags = [f"has_{t} boolean" for t in REQUIRED]
+
+def _slot(spark: SparkSession, output: str, slot: int) -> DataFrame:
+    """A snapshot with the batch it is as of; empty if it was never written."""
+    schema = f"{_FLAGS}, as_of bigint"
     try:
-        batches = spark.read.parquet(output)
+        return spark.read.schema(schema).parquet(f"{output}/slot={slot}")
     except AnalysisException as err:
         if "PATH_NOT_FOUND" not in (err.getCondition() or ""):
             raise
-        batches = spark.createDataFrame([], ", ".join(["business_date date", *flags]))
-    return batches.groupBy("business_date").agg(
+        return spark.createDataFrame([], schema)
+
+
+def _merged(flags: DataFrame) -> DataFrame:
+    """One row per date; a flag only ever turns from false to true."""
+    return flags.groupBy("business_date").agg(
         *[F.bool_or(f"has_{t}").alias(f"has_{t}") for t in REQUIRED]
     )
+
+
+def current_flags(spark: SparkSession, output: str) -> DataFrame:
+    """The flags as of the last batch; empty before the first.
+
+    Read between runs of the stream, not while one replaces a snapshot.
+    """
+    both = _slot(spark, output, 0).unionByName(_slot(spark, output, 1))
+    return _merged(both.drop("as_of"))

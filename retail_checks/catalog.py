@@ -69,7 +69,7 @@ def _load(table: str, rows: str = "") -> Query:
 
 
 def _damaged(spark: SparkSession, sf_dir: str) -> sources.Location:
-    """Sales lines as text, some with a bad date, a bad number or a value too few."""
+    """Sales lines as text, some with a bad date and number, a value too few or two too many."""
     sales = derived.sales(spark, sf_dir)
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sales.columns]
     line, order = F.concat_ws(",", *text), F.col("trans_id")
@@ -79,6 +79,7 @@ def _damaged(spark: SparkSession, sf_dir: str) -> sources.Location:
     )
     lines = sales.select(
         F.when(order % 19 == 0, F.concat_ws(",", *text[:-1]))
+        .when(order % 29 == 0, F.concat_ws(",", line, F.lit("EXTRA 1"), F.lit("EXTRA 2")))
         .when(order % 23 == 0, swapped)
         .otherwise(line)
         .alias(",".join(sales.columns))
@@ -91,18 +92,17 @@ def _damaged(spark: SparkSession, sf_dir: str) -> sources.Location:
     return location
 
 
+def _loaded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    target = scratch_path(spark, "table-sales")
+    return sources.load_with_rejects(spark, _damaged(spark, sf_dir), "sales", target)
+
+
 def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, bad = sources.read_with_rejects(
-        spark, _damaged(spark, sf_dir), "sales", schemas.SALES
-    )
-    return bad.select("trans_id", "trans_dt", "sales_qty", "ship_cost", "bad_columns")
+    return _loaded(spark, sf_dir)[1]
 
 
 def load_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = sources.read_with_rejects(
-        spark, _damaged(spark, sf_dir), "sales", schemas.SALES
-    )
-    return good
+    return _loaded(spark, sf_dir)[0]
 
 
 def inventory_key_dupes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,15 +111,22 @@ def inventory_key_dupes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export sales by month, list the files, and read the months off their paths."""
+    """Write sales by month, list the files, and compare their sizes with what was read from them."""
     root = scratch_path(spark, "listing")
     sales = derived.sales(spark, sf_dir).withColumn("month", F.date_trunc("month", "trans_dt"))
     by_month = sales.withColumn("month", F.col("month").cast("date")).hint("rebalance", "month")
     by_month.write.partitionBy("month").option("header", True).csv(root)
-    files = sources.list_files(spark, root)
+    month = F.regexp_extract("path", r"/month=([0-9-]+)/", 1)
+    listed = sources.list_files(spark, root).select(month.alias("month"), "path", "length")
+    # Lines of the listed files, without their headers; a line ends with one byte.
+    lines = spark.read.text(root).select(
+        F.col("_metadata.file_path").alias("path"), F.octet_length("value").alias("bytes")
+    ).groupBy("path").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.col("bytes") + 1).alias("bytes"))
+    same = F.regexp_replace(listed["path"], "^file:/+", "/") == F.regexp_replace(lines["path"], "^file:/+", "/")
     return (
-        files.groupBy(F.regexp_extract("path", r"/month=([0-9-]+)/", 1).alias("month"))
-        .agg((F.sum("length") > 0).alias("has_data"))
+        listed.join(lines, same, "left")
+        .groupBy("month")
+        .agg(F.sum(F.col("lines") - 1).alias("rows"), F.bool_and(F.col("length") == F.col("bytes")).alias("whole"))
     )
 
 
@@ -267,8 +274,12 @@ def kpi_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kpi_daily_from_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tables pass through application-wide views."""
     tables = derived.kpi_tables(spark, sf_dir)
-    sources.register_views(tables, shared=True)
-    return daily.kpi_daily(**{name: spark.table(f"global_temp.{name}") for name in tables})
+    names = {name: f"aisleworks_check_{name}" for name in tables}
+    sources.register_views({names[name]: df for name, df in tables.items()}, shared=True)
+    kpis = daily.kpi_daily(**{name: spark.table(f"global_temp.{view}") for name, view in names.items()})
+    for view in names.values():  # the plan keeps what the views stood for
+        spark.catalog.dropGlobalTempView(view)
+    return kpis
 
 
 def week_out_of_stock_running(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,6 +294,14 @@ def market(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi_by_market_category(**derived.all_tables(spark, sf_dir))
 
 
+def market_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store and a third of the products are unknown; their sales stay in the totals."""
+    tables = derived.all_tables(spark, sf_dir)
+    tables["store"] = tables["store"].where("store_key <> 1")
+    tables["product"] = tables["product"].where("prod_key % 3 <> 2")
+    return kpi_by_market_category(**tables)
+
+
 # Gate and batch
 
 
@@ -358,6 +377,7 @@ QUERIES: dict[str, Query] = {
     "week_out_of_stock_running": week_out_of_stock_running,
     "kpi_weekly": weekly,
     "kpi_by_market_category": market,
+    "kpi_by_market_unknown": market_unknown,
     "readiness_missing": readiness_missing,
     "readiness_by_date": readiness_by_date,
     "ready_manifest_json": ready_manifest_json,

@@ -26,17 +26,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items, spread over the cores while their files give fewer tasks.
-
-    The small test files hold one row group each, which only one task can read.
-    Files that already fill the cluster are left as they are.  At worst, with one
-    order holding everything, a task stays as large as the file made it.
-    """
-    lines = _table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    if lines.rdd.getNumPartitions() >= cores:
-        return lines
-    return lines.repartition(cores, "l_orderkey", "l_linenumber")
+    return _table(spark, sf_dir, "lineitem")
 
 
 def _days(day: Column) -> Column:
@@ -215,10 +205,19 @@ def business_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing(required: DataFrame, root: str) -> DataFrame:
-    """A file listing in which every thirteenth required file is absent."""
+    """A file listing: every thirteenth required file is absent and every seventeenth is half written.
+
+    Files that are there have two parts; finished ones have a manifest besides.
+    """
     index = F.array_position(F.array(*[F.lit(t) for t in REQUIRED]), F.col("table_name")) - 1
-    gone = (_days(F.col("business_date")) * 7 + index * 3) % 13 == 0
-    return required.where(~gone).select(F.concat(F.lit(f"{root}/"), "file_name").alias("path"))
+    days = _days(F.col("business_date"))
+    gone, half = (days * 7 + index * 3) % 13 == 0, (days * 5 + index) % 17 == 0
+    data = F.concat(F.lit(f"{root}/"), "file_name")
+    manifest = F.concat(F.regexp_replace(data, r"csv$", "manifest"), F.lit("/part-00000.json"))
+    parts = [F.concat(data, F.lit(f"/part-{k}.csv")) for k in range(2)]
+    return required.where(~gone).select(
+        F.explode(F.when(half, F.array(*parts)).otherwise(F.array(*parts, manifest))).alias("path")
+    )
 
 
 # The same tables as DuckDB common table expressions.
@@ -323,5 +322,6 @@ SQL_TABLES: dict[str, str] = {
         SELECT file_name, business_date, table_name FROM required
         JOIN (VALUES ('calendar', 0), ('inventory', 1), ('product', 2), ('sales', 3),
                      ('store', 4)) AS i(name, idx) ON name = table_name
-        WHERE ({_DN.format(day="business_date")} * 7 + idx * 3) % 13 <> 0""",
+        WHERE ({_DN.format(day="business_date")} * 7 + idx * 3) % 13 <> 0
+          AND ({_DN.format(day="business_date")} * 5 + idx) % 17 <> 0""",
 }

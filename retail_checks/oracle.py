@@ -6,6 +6,7 @@ Spark plans use, so the two sides do not share a method.
 
 from __future__ import annotations
 
+from aisleworks.schemas import SALES
 from retail_checks.catalog import LANDING, LAST_DATE, MID_DATE
 from retail_checks.derived import SQL_TABLES
 
@@ -149,7 +150,7 @@ _MARKET = f"""
            CAST(SUM(low_stock_instances) AS BIGINT) AS low_stock_instances,
            CAST(SUM(no_stock_instances) AS BIGINT) AS no_stock_instances,
            {_ratio("SUM(sum_sales_amt)", "SUM(sum_sales_qty)")} AS avg_sales_price
-    FROM daily JOIN store USING (store_key) JOIN product USING (prod_key) GROUP BY ALL"""
+    FROM daily LEFT JOIN store USING (store_key) LEFT JOIN product USING (prod_key) GROUP BY ALL"""
 
 _STATUS = """
     SELECT business_date, CAST(COUNT(l.table_name) AS INTEGER) AS files_arrived,
@@ -168,10 +169,29 @@ _PAYLOAD = " || ',' || ".join(
 
 _TEXT_DATE = "strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d')"
 
+_SALES_TEXT = {
+    name: f"strftime({name}, '%Y-%m-%d')" if name == "trans_dt" else f"CAST({name} AS VARCHAR)"
+    for name in SALES.names
+}
+
 _DAMAGED = """
-    SELECT *, trans_id % 19 = 0 AS short, trans_id % 19 <> 0 AND trans_id % 23 = 0 AS swapped
+    SELECT *, trans_id % 19 = 0 AS short, trans_id % 19 <> 0 AND trans_id % 29 = 0 AS long,
+           trans_id % 19 <> 0 AND trans_id % 29 <> 0 AND trans_id % 23 = 0 AS swapped
     FROM sales"""
 
+_REJECTS = f"""
+    SELECT {", ".join(
+        f"CASE WHEN swapped THEN 'n/a' ELSE {text} END AS {name}" if name in ("trans_dt", "sales_qty")
+        else f"CASE WHEN NOT short THEN {text} END AS {name}" if name == "ship_cost"
+        else f"{text} AS {name}"
+        for name, text in _SALES_TEXT.items()
+    )},
+           CASE WHEN short OR long THEN '*' ELSE 'trans_dt,sales_qty' END AS bad_columns,
+           CASE WHEN short THEN concat_ws(',', {", ".join(list(_SALES_TEXT.values())[:-1])})
+                WHEN long THEN concat_ws(',', {", ".join(_SALES_TEXT.values())}, 'EXTRA 1', 'EXTRA 2')
+           END AS raw_line
+    FROM damaged WHERE short OR long OR swapped"""
+
 
 def _snapshot(table: str, dated: str | None = None) -> str:
     needs = {"inventory": ("stock_feed", "inventory")}.get(table, (table,))
@@ -190,19 +210,10 @@ ORACLE: dict[str, str] = {
     ),
     "load_typed_store": _with(_tables("store"), "SELECT * FROM store"),
     "load_typed_product": _with(_tables("product"), "SELECT * FROM product"),
-    "load_rejects": _with(
-        {**_tables("sales"), "damaged": _DAMAGED},
-        """SELECT CAST(trans_id AS VARCHAR) AS trans_id,
-                  CASE WHEN swapped THEN 'n/a'
-                       ELSE strftime(trans_dt, '%Y-%m-%d') END AS trans_dt,
-                  CASE WHEN swapped THEN 'n/a' ELSE CAST(sales_qty AS VARCHAR) END AS sales_qty,
-                  CASE WHEN NOT short THEN CAST(ship_cost AS VARCHAR) END AS ship_cost,
-                  CASE WHEN short THEN '*' ELSE 'trans_dt,sales_qty' END AS bad_columns
-           FROM damaged WHERE short OR swapped""",
-    ),
+    "load_rejects": _with({**_tables("sales"), "damaged": _DAMAGED}, _REJECTS),
     "load_accepted": _with(
         {**_tables("sales"), "damaged": _DAMAGED},
-        "SELECT * EXCLUDE (short, swapped) FROM damaged WHERE NOT short AND NOT swapped",
+        "SELECT * EXCLUDE (short, long, swapped) FROM damaged WHERE NOT short AND NOT long AND NOT swapped",
     ),
     "inventory_key_dupes": _with(
         _tables("stock_feed"),
@@ -210,7 +221,8 @@ ORACLE: dict[str, str] = {
            FROM stock_feed GROUP BY ALL HAVING COUNT(*) > 1""",
     ),
     "list_files": """
-        SELECT strftime(CAST(l_shipdate AS DATE), '%Y-%m-01') AS month, COUNT(*) > 0 AS has_data
+        SELECT strftime(CAST(l_shipdate AS DATE), '%Y-%m-01') AS month,
+               COUNT(*) AS rows, true AS whole
         FROM lineitem GROUP BY 1""",
     "export_snapshot": _snapshot("sales", "trans_dt"),
     "export_snapshot_inventory": _snapshot("inventory", "cal_dt"),
@@ -307,6 +319,14 @@ ORACLE: dict[str, str] = {
         _WEEKLY,
     ),
     "kpi_by_market_category": _with({**_CHAIN, **_tables("store", "product")}, _MARKET),
+    "kpi_by_market_unknown": _with(
+        {
+            **_CHAIN,
+            "store": f"SELECT * FROM ({SQL_TABLES['store']}) WHERE store_key <> 1",
+            "product": f"SELECT * FROM ({SQL_TABLES['product']}) WHERE prod_key % 3 <> 2",
+        },
+        _MARKET,
+    ),
     "readiness_missing": _with(
         _GATE,
         """SELECT r.file_name, r.business_date, r.table_name

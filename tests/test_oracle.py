@@ -3,18 +3,21 @@
 import pytest
 
 import __spark_entry__ as driver
+from retail_checks.catalog import QUERIES
 from retail_checks.compare import differences
+from retail_checks.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("key", sorted(driver.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_equals_sql(spark, key):
-    assert differences(driver.queries()[key](spark, SF), driver.oracle_sql()[key], SF) == []
+    assert differences(QUERIES[key](spark, SF), ORACLE[key], SF) == []
 
 
-def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+def test_every_query_has_sql_and_is_registered():
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.keys() <= driver.queries().keys() and ORACLE.keys() <= driver.oracle_sql().keys()
 
 
 def test_entry_has_the_published_columns(spark):

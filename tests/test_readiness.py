@@ -21,6 +21,11 @@ def gate(spark):
 
 
 def names(day):
+    """The manifests that say a date is complete."""
+    return [f"{t}_{day}.manifest" for t in readiness.REQUIRED]
+
+
+def data(day):
     return [f"{t}_{day}.csv" for t in readiness.REQUIRED]
 
 
@@ -49,15 +54,22 @@ def test_none_present(gate):
 
 def test_other_files_and_other_days_do_not_count(gate):
     a, b = days(2)
-    extra = [f"raw/presales_{a}.csv", f"raw/sales_{a}.csv.tmp", "raw/readme.txt",
-             "raw/sales_2020-1-6.csv", "raw/sales_2020-99-99.csv", *names(b), f"raw/store_{a}.csv"]
+    extra = [f"raw/presales_{a}.manifest", f"raw/sales_{a}.manifest.tmp", "raw/readme.txt",
+             "raw/sales_2020-1-6.manifest", "raw/sales_2020-99-99.manifest", *names(b), f"raw/store_{a}.manifest"]
     required, listing = gate([a], extra)
     (row,) = readiness.readiness_by_date(required, listing).collect()
     assert row.files_missing == "calendar,inventory,product,sales"
 
 
+def test_data_without_a_manifest_has_not_arrived(gate):
+    parts = [f"file:/raw/{n}/part-{i}.csv" for n in data(DAY) for i in range(3)]
+    required, listing = gate([DAY], parts + names(DAY)[:2])
+    (row,) = readiness.readiness_by_date(required, listing).collect()
+    assert (row.files_arrived, row.files_missing) == (2, "product,sales,store")
+
+
 def test_folder_of_part_files_counts_once(gate):
-    paths = [f"file:/raw/{n}/part-{i}.csv" for n in names(DAY) for i in range(3)]
+    paths = [f"file:/raw/{n}/part-{i}.json" for n in names(DAY) for i in range(3)]
     required, listing = gate([DAY], paths)
     assert readiness.missing_files(required, listing).count() == 0
     (row,) = readiness.readiness_by_date(required, listing).collect()
@@ -69,7 +81,7 @@ def test_manifest_holds_the_five_required_files(gate):
     (row,) = readiness.manifest_json(required.select("business_date").distinct(), "s3://b/raw/"
                                      ).collect()
     assert json.loads(row.payload) == {
-        "conf": {"data": {n: f"s3://b/raw/{n}" for n in names(DAY)}}
+        "conf": {"data": {n: f"s3://b/raw/{n}" for n in data(DAY)}}
     }
 
 
@@ -93,3 +105,28 @@ def test_stream_over_a_folder_equals_the_batch_and_survives_a_restart(spark, gat
     assert arrive(*names(a)[:3], names(b)[0]) == {a: False, b: False}
     assert arrive(*names(a)[3:]) == {a: True, b: False}
     assert arrive(*names(b)[1:], "unrelated.txt") == {a: True, b: True}
+
+
+def test_stream_output_stays_bounded_and_a_replay_changes_nothing(spark, gate, tmp_path):
+    """Many batches, then the last one run again, as after a crash before its commit."""
+    import shutil
+
+    first, out, state = days(12), str(tmp_path / "out"), tmp_path / "state"
+    (tmp_path / "landing").mkdir()
+
+    def run():
+        arrivals = streaming.file_arrivals(spark, str(tmp_path / "landing"))
+        streaming.track_arrivals(arrivals, out, str(state)).awaitTermination()
+        return sorted(tuple(r) for r in streaming.current_flags(spark, out).collect())
+
+    for day in first:
+        for name in names(day)[: 3 + day.day % 3]:
+            (tmp_path / "landing" / name).write_text("x\n")
+        flags = run()
+        folders = sorted(p.name for p in (tmp_path / "out").iterdir())
+        assert set(folders) <= {"slot=0", "slot=1"}
+    assert len(flags) == 12
+    last = max(int(p.name) for p in (state / "commits").iterdir() if p.name.isdigit())
+    for file in (state / "commits").glob(f"*{last}*"):
+        shutil.move(str(file), str(tmp_path / file.name))
+    assert run() == flags and sorted(p.name for p in (tmp_path / "out").iterdir()) == folders

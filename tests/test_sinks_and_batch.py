@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+import aisleworks.sources.manifests  # noqa: F401
 from aisleworks import sinks, sources
 from aisleworks.operators.checks import DuplicateKeyError
 from aisleworks.plans import batch, kpi_daily
@@ -126,17 +127,121 @@ def test_batch_checks_keys_before_publishing(spark, shop, tmp_path):
     assert batch.run(spark, place, str(tmp_path / "out"), DAY, check_keys=False) == 1
 
 
-def test_command_line(spark, landing, tmp_path, monkeypatch, capsys):
+def half_written(landing, table="sales", keep=1):
+    """Leave only some of an export's parts."""
+    from pathlib import Path
+
+    parts = sorted(Path(landing.path(table, LAST_DATE)).glob("part-*"))
+    for part in parts[keep:]:
+        part.unlink()
+    return len(parts)
+
+
+def test_batch_refuses_an_export_without_its_manifest(spark, landing, tmp_path):
+    sources.manifests.clear_manifest(spark, landing, "sales", LAST_DATE)
+    half_written(landing)
+    with pytest.raises(batch.MissingFilesError) as err:
+        batch.run(spark, landing, str(tmp_path / "out"), LAST_DATE)
+    assert err.value.names == [f"sales_{LAST_DATE}.csv"] and not (tmp_path / "out").exists()
+
+
+def test_batch_refuses_an_export_that_lacks_a_part(spark, landing, tmp_path):
+    many = derived.sales(spark, SF).repartition(4)
+    sinks.export_snapshot({"sales": many}, landing, LAST_DATE)
+    assert half_written(landing, keep=3) == 4
+    with pytest.raises(sources.manifests.IncompleteExportError, match="missing parts"):
+        batch.run(spark, landing, str(tmp_path / "out"), LAST_DATE)
+    assert not (tmp_path / "out").exists()
+
+
+def test_batch_compares_rows_with_the_manifest(spark, landing, tmp_path):
+    """A file from elsewhere that lost its last lines, with a manifest that names no parts."""
+    from pathlib import Path
+
+    for part in Path(landing.path("sales", LAST_DATE)).glob("part-*"):
+        lines = part.read_text().splitlines(keepends=True)
+        part.with_name(f".{part.name}.crc").unlink(missing_ok=True)
+        part.write_text("".join(lines[:-1]))
+    manifest = sources.manifests.read_manifest(spark, landing, "sales", LAST_DATE)
+    frame = spark.createDataFrame([(manifest.table_name, manifest.business_date, manifest.rows)],
+                                  "table_name string, business_date date, rows long")
+    frame.coalesce(1).write.mode("overwrite").json(landing.manifest_path("sales", LAST_DATE))
+    with pytest.raises(sources.manifests.IncompleteExportError, match="rows read"):
+        batch.run(spark, landing, str(tmp_path / "out"), LAST_DATE)
+    assert not (tmp_path / "out").exists()
+
+
+def test_an_export_under_way_has_no_manifest(spark, landing, monkeypatch):
+    """The old manifest goes before the data is touched."""
+    from aisleworks.sinks import export
+
+    def stop(*_):
+        raise RuntimeError("stopped before the manifest")
+
+    monkeypatch.setattr(export, "write_manifest", stop)
+    with pytest.raises(RuntimeError):
+        sinks.export_snapshot({"store": derived.store(spark, SF)}, landing, LAST_DATE)
+    with pytest.raises(batch.MissingFilesError, match="store"):
+        batch.check_ready(spark, landing, LAST_DATE)
+
+
+def test_batch_parses_each_input_once(spark, landing, tmp_path, monkeypatch):
+    reads = []
+    original = batch.read_by_header
+    monkeypatch.setattr(batch, "read_by_header", lambda *a, **k: reads.append(a[2]) or original(*a, **k))
+    plans = []
+    monkeypatch.setattr(batch, "kpi_daily", lambda **t: plans.append(kpi_daily(**t)) or plans[-1])
+    batch.run(spark, landing, str(tmp_path / "out"), LAST_DATE)
+    assert sorted(reads) == ["calendar", "inventory", "sales"]
+    plan = plans[0]._jdf.queryExecution().toString().lower()
+    assert "csv" not in plan and plan.count("parquet") > 0
+
+
+def test_commands_load_export_and_run(spark, landing, tmp_path, monkeypatch, capsys):
     from aisleworks import __main__ as cli
 
     monkeypatch.setattr(cli, "build_session", lambda app: spark)
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
-    monkeypatch.setattr(
-        "sys.argv",
-        ["aisleworks", str(LAST_DATE), "--landing", landing.root, "--output", str(tmp_path / "o")],
-    )
-    cli.main()
-    assert "rows published" in capsys.readouterr().out
+
+    def call(*args):
+        monkeypatch.setattr("sys.argv", ["aisleworks", *map(str, args)])
+        cli.main()
+        return capsys.readouterr().out
+
+    first = call("run", LAST_DATE, "--landing", landing.root, "--output", tmp_path / "a")
+    raw = sources.Location(str(tmp_path / "raw"))
+    for name, df in derived.all_tables(spark, SF).items():
+        df.write.options(**raw.csv_options()).option("header", True).csv(raw.path(name))
+    assert "5 tables loaded" in call("load", "--landing", raw.root, "--tables", tmp_path / "tables")
+    assert "rows exported" in call("export", LAST_DATE, "--landing", tmp_path / "out", "--tables", tmp_path / "tables")
+    again = call("run", LAST_DATE, "--landing", tmp_path / "out", "--output", tmp_path / "b")
+    typed = call("run", LAST_DATE, "--tables", tmp_path / "tables", "--output", tmp_path / "c")
+    assert first == again == typed and "rows published" in first
+
+
+def test_loading_a_repeated_key_fails_and_keeps_the_old_table(spark, shop, tmp_path):
+    raw, target = sources.Location(str(tmp_path / "raw")), str(tmp_path / "inventory")
+    options = {**raw.csv_options(), "header": True}
+    shop.stock((DAY, 9, 0, 0)).write.options(**options).csv(raw.path("inventory"))
+    sources.load_table(spark, raw, "inventory", target)
+    shop.stock((DAY, 9, 0, 0), (DAY, 8, 0, 0)).write.mode("overwrite").options(**options).csv(raw.path("inventory"))
+    with pytest.raises(DuplicateKeyError):
+        sources.load_table(spark, raw, "inventory", target)
+    with pytest.raises(DuplicateKeyError):
+        sources.load_with_rejects(spark, raw, "inventory", str(tmp_path / "split"))
+    assert spark.read.parquet(target).count() == 1
+
+
+def test_strict_reads_refuse_a_session_without_ansi(spark, landing, conf, tmp_path):
+    conf(ansi__enabled="false")
+    for read in (
+        lambda: sources.read_by_header(spark, landing, "sales", derived.TABLES["sales"], LAST_DATE),
+        lambda: sources.read_positional(spark, landing, "sales", derived.TABLES["sales"], LAST_DATE),
+        lambda: sources.load_table(spark, landing, "sales", str(tmp_path / "t"), LAST_DATE),
+        lambda: batch.run(spark, landing, str(tmp_path / "out"), LAST_DATE),
+    ):
+        with pytest.raises(RuntimeError, match="ansi"):
+            read()
 
 
 def test_scratch_needs_a_shared_folder_off_local_mode(spark):

@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from aisleworks.operators.aggregates import sales_by_quantity
 from aisleworks.operators.joins import join_calendar
-from aisleworks.operators.windows import estimated_largest_group, running_total_in_blocks
 from aisleworks.plans import kpi_agg, week_out_of_stock_running
 from retail_checks import derived
-from tests.conftest import DAY
+from tests.conftest import DAY, days
 
 SF = "/root/testdata/sf0.01"
 
@@ -53,72 +52,95 @@ def test_hot_key_gives_the_same_kpis_as_single_sales(skewed):
     assert plain.exceptAll(folded).count() == 0
 
 
-def brute_force_running(rows):
+def brute_force_running(sales, calendar, inventory):
+    """Sale by sale, in order, as a plain loop."""
+    weeks = {row.cal_dt: row.yr_wk_num for row in calendar.collect()}
+    flags = defaultdict(list)
+    for row in inventory.collect():
+        flags[row.cal_dt, row.store_key, row.prod_key].append(row.out_of_stock_flg)
+    low = lambda row: tuple((v is not None, v) for v in row)  # noqa: E731  NULL first
     groups = defaultdict(list)
-    for g, o, v in rows:
-        groups[g].append((o, v))
+    for r in sales.collect():
+        if r.trans_dt in weeks:
+            sale = (r.trans_dt, r.trans_id, r.sales_qty, r.sales_amt, r.sales_price)
+            own = flags.get((r.trans_dt, r.store_key, r.prod_key), [None])
+            groups[weeks[r.trans_dt], r.store_key, r.prod_key] += [(*sale, flag) for flag in own]
     out = Counter()
-    for g, members in groups.items():
+    for group, members in groups.items():
         total = None
-        for o, v in sorted(members, key=lambda m: m[0]):
-            total = total if v is None else (total or 0) + v
-            out[g, o, total] += 1
+        for *sale, flag in sorted(members, key=low):
+            total = total if flag is None else (total or 0) + flag
+            out[(*group, *sale, total)] += 1
     return out
 
 
-@pytest.mark.parametrize("partitions", [1, 4, 13])
-def test_running_total_over_many_blocks(spark, conf, partitions):
-    """A hot group, a NULL group, leading NULL values, small groups."""
-    conf(shuffle__partitions=partitions, adaptive__coalescePartitions__enabled="false")
-    rows = [(1, i, None if i < 300 else i % 5) for i in range(900)]
-    rows += [(None, i, 1) for i in range(40)]
-    rows += [(g, i, g % 3) for g in range(2, 60) for i in range(10)]
-    df = spark.createDataFrame(rows, "g int, o int, v int").repartition(7)
-    totals = running_total_in_blocks(df, ["g"], ["o"], "v", "total")
-    got = Counter((r.g, r.o, r.total) for r in totals.collect())
-    assert got == brute_force_running(rows)
+def running(tables):
+    return Counter(tuple(r) for r in week_out_of_stock_running(**tables).collect())
 
 
-def test_running_total_cuts_a_group_of_identical_rows(spark, conf):
-    conf(shuffle__partitions=8, adaptive__coalescePartitions__enabled="false")
-    df = spark.range(2000).select(
-        F.lit(1).alias("g"), F.lit(DAY).alias("o"), F.lit(1).alias("v")
-    )
-    totals = running_total_in_blocks(df, ["g"], ["o"], "v", "total")
-    assert sorted(r.total for r in totals.collect()) == list(range(1, 2001))
+def test_running_total_of_repeated_stock_null_flags_and_ties(shop):
+    """Days out of stock, in stock, without stock or flag, with stock rows that repeat and disagree."""
+    a, b, c, d = days(4)
+    sales = [(day, 1, k % 3, 1, 0, store, 1, k % 7) for day in (a, b, c, d) for store in (1, 2, 3) for k in range(9)]
+    sales += [(a, 1, 1, 1, 0, None, 1, 4), (b, 1, 1, 1, 0, None, 1, None), (b, 2, 2, 2, 0, 1, 1, None)]
+    stock = [(a, 0, 0, 1, 1, 1), (b, 0, 0, 0, 1, 1), (c, 0, 0, 1, 1, 1), (c, 5, 0, 0, 1, 1), (d, 0, 0, 1, 1, 1),
+             (b, 0, 0, None, 2, 1), (c, 0, 0, 1, 2, 1), (c, 0, 0, None, 2, 1), (d, 0, 0, 0, 2, 1), (d, 1, 0, 0, 2, 1)]
+    tables = dict(sales=shop.sales(*sales), calendar=shop.calendar(a, b, c, d), inventory=shop.stock(*stock))
+    assert running(tables) == brute_force_running(**tables)
 
 
-def test_hot_week_counts_alike_in_blocks_and_in_one_window(skewed, conf):
-    conf(adaptive__coalescePartitions__enabled="false")
-    whole = week_out_of_stock_running(**skewed)
-    blocks = week_out_of_stock_running(**skewed, group_limit=-1)
-    assert "_block" in blocks._jdf.queryExecution().toString()
-    assert "_block" not in whole._jdf.queryExecution().toString()
-    assert whole.exceptAll(blocks).count() == 0 and blocks.exceptAll(whole).count() == 0
+def test_running_total_over_a_hot_week(skewed):
+    assert running(skewed) == brute_force_running(**skewed)
 
 
-def test_largest_group_estimate(spark):
-    rows = spark.range(300_000).select(
-        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("g")
-    )
-    assert 50_000 < estimated_largest_group(rows, ["g"]) < 200_000
-    assert estimated_largest_group(rows.limit(0), ["g"]) == 0
+def test_running_total_builds_without_a_job(spark, skewed):
+    group = "aisleworks-building"
+    spark.sparkContext.setJobGroup(group, "building a plan")
+    try:
+        week_out_of_stock_running(**skewed)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_running_total_blocks_are_even(spark, conf, tmp_path, monkeypatch):
-    """No block holds a hot group whole."""
-    conf(shuffle__partitions=8, adaptive__coalescePartitions__enabled="false")
-    monkeypatch.setattr(
-        "aisleworks.operators.windows.scratch_path", lambda spark, label: str(tmp_path / label)
-    )
-    rows = spark.range(20_000).select(
-        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("g"),
-        F.lit(0).alias("o"), F.lit(1).alias("v"),
-    )
-    running_total_in_blocks(rows, ["g"], ["o"], "v", "total").count()
-    blocks = spark.read.parquet(str(tmp_path / "running-total")).groupBy("_block").count()
-    sizes = [r["count"] for r in blocks.collect()]
-    assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
+def test_hot_day_out_of_stock_is_cut_into_ranges(spark, shop):
+    """No window holds a day that a third of all sales fall on."""
+    from aisleworks.operators.windows import stock_days
+
+    sales = shop.sales((DAY, 1, 1, 1)).drop("trans_id").join(spark.range(10_000).withColumnRenamed("id", "trans_id"))
+    dated = join_calendar(sales, shop.calendar(DAY))
+    (day,) = stock_days(dated, shop.stock((DAY, 0, 0, 1))).collect()
+    assert day.numbered and day.parts == 100 and (day.low, day.high) == (0, 9999)
+    width = (day.high - day.low) / day.parts + 1
+    assert max(Counter(int(k // width) for k in range(10_000)).values()) <= 102
+
+
+def unique_quantities(tables):
+    """Quantities of two decimals that hardly repeat, as of goods sold by weight."""
+    fine = (F.col("sales_qty") + (F.col("trans_id") % 9973) / 100).cast("decimal(18,2)")
+    tables["sales"] = tables["sales"].withColumn("sales_qty", fine)
+    return tables
+
+
+@pytest.mark.parametrize("plan", ["daily", "weekly"])
+def test_hot_key_with_unique_quantities_is_split(spark, conf, skewed, plan, tmp_path):
+    """The stock join splits a third of all sales, though their quantities do not fold."""
+    from aisleworks.plans import kpi_daily, kpi_weekly
+
+    tables = unique_quantities(skewed)
+    # Every sale six times, so that the hot key is large against the others.
+    tables["sales"] = tables["sales"].withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(5)))).withColumn(
+        "sales_qty", (F.col("sales_qty") + F.col("copy") / 7).cast("decimal(18,2)")
+    ).drop("copy")
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+    stored = {name: spark.read.parquet(str(tmp_path / name)) for name in tables}
+    conf(shuffle__partitions=16, adaptive__autoBroadcastJoinThreshold=-1, autoBroadcastJoinThreshold=-1,
+         adaptive__skewJoin__skewedPartitionThresholdInBytes="64k", adaptive__advisoryPartitionSizeInBytes="64k",
+         adaptive__skewJoin__skewedPartitionFactor=2, adaptive__coalescePartitions__enabled="false")
+    kpis = (kpi_daily if plan == "daily" else kpi_weekly)(**stored)
+    kpis.collect()
+    assert "skew=true" in kpis._jdf.queryExecution().executedPlan().toString()
 
 
 def test_hot_output_date_is_cut_into_several_files(spark, conf, tmp_path):

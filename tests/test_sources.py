@@ -72,10 +72,36 @@ def test_bad_value_fails_both_strict_reads(spark, tmp_path, bad):
 def test_load_checks_columns_nobody_asked_for(spark, tmp_path):
     landing = put(tmp_path, "calendar.csv", CALENDAR_HEADER,
                   "2020-01-06,ISO,1,Monday,2020,2,202002,1,202001,1,oops")
-    with pytest.raises(FAILURES, match="MALFORMED"):
+    with pytest.raises(FAILURES, match="CAST_INVALID_INPUT"):
         sources.load_table(spark, landing, "calendar", str(tmp_path / "table"))
 
 
+def test_one_dialect_of_booleans_and_dates_in_all_readers(spark, tmp_path):
+    names = schemas.INVENTORY.names
+    rest = "1,1,1.00,1.00,0,0.00"
+    landing = put(tmp_path, "inventory.csv", ",".join(names), f"2020-01-06,{rest},1,2020-01-07", f"2020-01-07,{rest},no,2020-01-08")
+    want = [(True,), (False,)]
+    by_header = sources.read_by_header(spark, landing, "inventory", schemas.INVENTORY)
+    by_place = sources.read_positional(spark, landing, "inventory", schemas.INVENTORY)
+    good, bad = sources.read_with_rejects(spark, landing, "inventory", schemas.INVENTORY)
+    kept, _ = sources.split_rejects(spark, landing, "inventory", schemas.INVENTORY, str(tmp_path / "split"))
+    for frame in (by_header, by_place, good, kept):
+        assert sorted(frame.select("promotion_flg").collect(), reverse=True) == want and frame.schema == by_place.schema
+    assert bad.count() == 0
+
+
+def test_rejects_keep_the_whole_line_in_one_pass(spark, tmp_path):
+    tail = "ISO,1,Monday,2020,2,202002,1,202001,1,202001"
+    lines = [f"2020-01-06,{tail}", f"2020-01-07,{tail},EXTRA1,EXTRA2", "2020-01-08,ISO", f"2020-01-39,{tail}"]
+    landing = put(tmp_path, "calendar.csv", CALENDAR_HEADER, *lines)
+    good, bad = sources.split_rejects(spark, landing, "calendar", schemas.CALENDAR, str(tmp_path / "split"))
+    assert [r.cal_dt for r in good.collect()] == [DAY]
+    found = {r.cal_dt: r for r in bad.collect()}
+    assert found["2020-01-07"].raw_line == lines[1] and found["2020-01-08"].raw_line == lines[2]
+    assert found["2020-01-39"].raw_line is None and found["2020-01-39"].bad_columns == "cal_dt"
+    assert found["2020-01-39"].yr_qtr_num == "202001"
+
+
 def test_rejects_name_the_faulty_columns_whatever_is_selected(spark, tmp_path):
     tail = "2020,2,202002,1,202001,1,202001"
     landing = put(
