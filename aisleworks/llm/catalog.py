@@ -37,7 +37,7 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    taken = mixing.mixed(_table(spark, sf_dir, "documents"))
+    taken = mixing.mixed(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -51,7 +51,7 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.remove_spread_lines(_table(spark, sf_dir, "documents"))
+    cleaned = line_dedup.remove_spread_lines(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return cleaned.select("doc_id", "text", "n_lines", "n_removed")
 
 

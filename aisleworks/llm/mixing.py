@@ -111,21 +111,21 @@ def _size(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
-def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """``docs`` (doc_id, text, source, ...) with size, source_size, target and taken after its columns; all rows.
+def mixed_rows(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """(row, size, source_size, target, taken): ``docs`` (doc_id, text, source, ...) as structs; all rows.
 
     taken is 0, size or 2 * size: the words the mix takes of a document, repeats counted.  Each source's taken words
     come as near its target as its documents' lengths allow.  A document is chosen by a hash of the seed, its
     doc_id and its text, so reruns agree; rows repeated in full are taken alike, which may pass the target by
-    their words.  NULL texts and texts without words have size 0 and taken 0; a NULL source is a source.  Columns
-    of ``docs`` with the new names are replaced.  An empty table gives an empty result.
+    their words.  NULL texts and texts without words have size 0 and taken 0; a NULL source is a source.  Other
+    columns may have any name.  An empty table gives an empty result.
     """
-    rows = docs.drop("size", "source_size", "target", "taken", "src", "times", "extra").withColumns(
-        {
-            "src": F.col("source").cast("string"),
-            "size": _size(F.col("text").cast("string")),
-            "draw": F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text").cast("string")),
-        }
+    # The row travels as one column, so that no name of it can clash.
+    rows = docs.select(F.struct("*").alias("row")).select(
+        "row",
+        F.col("row.source").cast("string").alias("src"),
+        _size(F.col("row.text").cast("string")).alias("size"),
+        F.xxhash64(F.lit(seed), F.col("row.doc_id").cast("string"), F.col("row.text").cast("string")).alias("draw"),
     )
     drawn = stored(rows.select("src", "size", "draw"), "drawn")
     lengths = stored(drawn.groupBy("src", "size").agg(F.count(F.lit(1)).alias("docs")), "lengths")
@@ -144,11 +144,8 @@ def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
     keyed = rows.withColumn("group", F.xxhash64(F.col("src").isNull(), "src", "size"))
     found = lookup(keyed, planned.join(cut, "group", "left"), ["group"], F.col("draw"), "inner", salts=8)
     more = (F.col("draw") <= F.col("last")).cast("int")
-    return found.select(
-        *(c for c in rows.columns if c not in ("src", "size", "draw")),
-        "size", "source_size", "target",
-        F.when(F.col("size") > 0, F.col("size") * (F.col("times") + F.coalesce(more, F.lit(0)))).otherwise(0).cast("long").alias("taken"),
-    )
+    taken = F.when(F.col("size") > 0, F.col("size") * (F.col("times") + F.coalesce(more, F.lit(0)))).otherwise(0)
+    return found.select("row", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
 def _cuts(drawn: DataFrame, planned: DataFrame) -> DataFrame:
@@ -183,12 +180,17 @@ def _cuts(drawn: DataFrame, planned: DataFrame) -> DataFrame:
     return stored(last.unionByName(everything), "cuts")
 
 
+def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """``docs`` with size, source_size, target and taken after its columns; those it had of these names are replaced."""
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
+    return mixed_rows(docs, seed).select(*kept, "size", "source_size", "target", "taken")
+
+
 def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken, with the columns of ``docs``."""
-    taken = mixed(docs, seed)
     times = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0).cast("int")
     return (
-        taken.filter("taken > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), times)))
-        .select(*docs.columns)
+        mixed_rows(docs, seed).filter("taken > 0")
+        .select("row", F.explode(F.sequence(F.lit(1), times)).alias("copy"))
+        .select("row.*")
     )

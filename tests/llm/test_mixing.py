@@ -88,8 +88,10 @@ def test_one_length_on_a_hot_source(spark, documents):
 def test_odd_rows(spark, documents):
     rows = [(1, None, None), (2, "", "a"), (3, "  x y", "b"), (None, "one two", "b"), (4, "w " * 200_000, "é"), (5, "v w", None),
             (6, "v w", "a"), (6, "v w", "a")]
-    docs = documents(*rows).withColumnRenamed("lang", "size").withColumnRenamed("n_chars", "target")
+    docs = documents(*rows).withColumnRenamed("lang", "size").withColumnRenamed("n_chars", "draw")
+    assert mixing.mix(docs).columns == docs.columns
     found = mixing.mixed(docs).collect()
+    assert {(r.doc_id, r.draw) for r in found} == {(r.doc_id, r.draw) for r in docs.collect()}
     assert len(found) == len(rows)
     by_id = {row.doc_id: row for row in found}
     assert by_id[3].size == 2 and by_id[4].size == 200_000 and by_id[1].size == by_id[1].taken == by_id[2].taken == 0
