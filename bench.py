@@ -1,9 +1,11 @@
-"""Time the headline queries and print one JSON line.
+"""Time the headline queries over stored typed tables and print one JSON line.
 
 BENCH_SF_DIR and BENCH_CPUS choose data and cores; BENCH_RUNS the timed runs after
-one warm-up (median is reported).  ``--compare`` instead times the daily KPIs over
-stored tables of three shapes, BENCH_COPIES times the sales, against the same KPIs
-computed sale by sale with and without the two identity windows.
+one warm-up (median is reported).  The retail tables are derived and written once, before
+any timing, so that the engine is timed and not its test tables.  ``--compare``
+instead times the daily KPIs over tables of four shapes, BENCH_COPIES times the
+sales, against the same KPIs computed sale by sale with and without the two identity
+windows.
 """
 
 from __future__ import annotations
@@ -18,26 +20,66 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from aisleworks import sinks, sources
 from aisleworks.functions import as_count, as_total, ratio2
+from aisleworks.operators import readiness
 from aisleworks.operators.windows import with_last_sales
-from aisleworks.plans import daily
-from aisleworks.schemas import INVENTORY_KEY
+from aisleworks.plans import batch, daily, kpi_by_market_category, kpi_weekly
+from aisleworks.schemas import INVENTORY_KEY, TABLES
 from aisleworks.scratch import scratch_path
 from aisleworks.session import build_session
 from retail_checks import derived
-from retail_checks.catalog import QUERIES
-
-HEADLINE = (
-    "kpi_daily",
-    "kpi_weekly",
-    "kpi_by_market_category",
-    "kpi_base",
-    "week_out_of_stock_running",
-    "sink_partition_overwrite",
-    "export_audit",
-    "readiness_by_date",
-    "batch_end_to_end",
-)
+from retail_checks.catalog import LANDING, LAST_DATE, MID_DATE
+
+
+def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The five typed tables and a file listing, written once; as many files as cores."""
+    root = scratch_path(spark, "bench-tables")
+    tables = {}
+    for name, df in derived.all_tables(spark, sf_dir).items():
+        df.repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{root}/{name}")
+        tables[name] = spark.read.schema(TABLES[name]).parquet(f"{root}/{name}")
+    required = readiness.required_files(derived.business_days(spark, sf_dir))
+    for name, df in (("required", required), ("listing", derived.listing(required, LANDING))):
+        df.write.parquet(f"{root}/{name}")
+        tables[name] = spark.read.parquet(f"{root}/{name}")
+    return tables
+
+
+def headline(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, Callable[[], DataFrame]]:
+    """Each query as a function that does all of its work when its result is written."""
+    facts = {name: tables[name] for name in ("sales", "calendar", "inventory")}
+    typed = {name: tables[name] for name in TABLES}
+
+    def publish() -> DataFrame:
+        root = scratch_path(spark, "bench-publish")
+        for day in (MID_DATE, LAST_DATE, MID_DATE):
+            known = {name: sinks.snapshot(df, name, day) for name, df in facts.items()}
+            sinks.write_partition(daily.kpi_daily(**known), root, day)
+        return spark.read.parquet(root)
+
+    def audit() -> DataFrame:
+        location = sources.Location(scratch_path(spark, "bench-export"))
+        return sinks.audit_frame(spark, sinks.export_snapshot(typed, location, MID_DATE))
+
+    def whole_batch() -> DataFrame:
+        landing = sources.Location(scratch_path(spark, "bench-landing"))
+        root = scratch_path(spark, "bench-output")
+        sinks.export_snapshot(typed, landing, LAST_DATE)
+        batch.run(spark, landing, root, LAST_DATE)
+        return spark.read.parquet(root)
+
+    return {
+        "kpi_daily": lambda: daily.kpi_daily(**facts),
+        "kpi_weekly": lambda: kpi_weekly(**facts),
+        "kpi_by_market_category": lambda: kpi_by_market_category(**typed),
+        "kpi_base": lambda: daily.kpi_base(**facts),
+        "week_out_of_stock_running": lambda: daily.week_out_of_stock_running(**facts),
+        "sink_partition_overwrite": publish,
+        "export_audit": audit,
+        "readiness_by_date": lambda: readiness.readiness_by_date(tables["required"], tables["listing"]),
+        "batch_end_to_end": whole_batch,
+    }
 
 
 def sale_by_sale(
@@ -102,6 +144,9 @@ def _stored(spark: SparkSession, sf_dir: str, copies: int) -> dict[str, dict[str
             }
         ),
     }
+    # Goods sold by weight: quantities hardly ever repeat.
+    grams = F.pmod(F.xxhash64("trans_id", "copy"), F.lit(1_000_000)) / 10_000
+    shapes["hot_fractional"] = shapes["hot"].withColumn("sales_qty", grams.cast("decimal(18,2)"))
     result = {}
     for shape, sales in shapes.items():
         sales.drop("copy").repartition(32).write.parquet(f"{root}/{shape}")
@@ -122,15 +167,15 @@ def compare(spark: SparkSession, sf_dir: str, runs: int) -> dict[str, float]:
             "identity_windows": sale_by_sale(**tables, identity_windows=True),
         }
         for name, df in plans.items():
-            times[f"{shape}_{name}"] = _time(lambda *_, df=df: df, spark, sf_dir, runs)
+            times[f"{shape}_{name}"] = _time(lambda df=df: df, runs)
     return times
 
 
-def _time(query: Callable, spark: SparkSession, sf_dir: str, runs: int) -> float:
+def _time(query: Callable[[], DataFrame], runs: int) -> float:
     seconds = []
     for _ in range(runs + 1):
         began = time.perf_counter()
-        query(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        query().write.format("noop").mode("overwrite").save()
         seconds.append(time.perf_counter() - began)
     return round(statistics.median(seconds[1:]), 3)
 
@@ -148,9 +193,9 @@ def main() -> None:
     if "--compare" in sys.argv:
         times = compare(spark, sf_dir, runs)
     else:
-        wanted = sys.argv[1:] or HEADLINE
-        _time(QUERIES["kpi_daily"], spark, sf_dir, 1)  # let the JVM compile first
-        times = {name: _time(QUERIES[name], spark, sf_dir, runs) for name in wanted}
+        queries = headline(spark, stored_tables(spark, sf_dir))
+        _time(queries["kpi_daily"], 1)  # let the JVM compile first
+        times = {name: _time(queries[name], runs) for name in sys.argv[1:] or queries}
     print(
         json.dumps(
             {
