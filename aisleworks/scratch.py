@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark import SparkFiles
@@ -17,7 +18,7 @@ def scratch_path(spark: SparkSession, label: str, root: str | None = None) -> st
     """
     base = root or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = SparkFiles.getRootDirectory()
     return f"{base.rstrip('/')}/aisleworks-{label}-{uuid.uuid4().hex}"

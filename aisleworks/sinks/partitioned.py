@@ -19,7 +19,8 @@ def write_partition(
 
     Rows are gathered by ``cluster_by`` with a rebalance: adaptive execution cuts
     a hot date into several files and merges quiet ones, so no task has to hold a
-    whole date.  The old partition is swapped at commit, so a failed run keeps it.
+    whole date.  The old partition is swapped at commit, so a failed run keeps it;
+    only a rerun without rows overwrites its folder directly.
     """
     seen = Observation("published")
     (

@@ -259,3 +259,18 @@ def test_scratch_needs_a_shared_folder_off_local_mode(spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(Cluster, "x")
+    assert scratch_path(Cluster, "x", root="s3://shared/").startswith("s3://shared/aisleworks-x-")
+
+
+def test_scratch_in_local_mode_is_the_sessions_own(spark):
+    from pyspark import SparkFiles
+
+    from aisleworks.scratch import scratch_path
+
+    class Local:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.master": "local"}.get(key, default)
+
+    assert scratch_path(Local, "x").startswith(SparkFiles.getRootDirectory())
