@@ -3,37 +3,22 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
-import uuid
 from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aisleworks.scratch import scratch_path
+
 #: Words of a text, as every operator counts them: runs of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, which driver and executors share.
-
-    Where the session does not name one (tests in local mode) a folder is made and
-    named in the session; a cluster session without the setting is refused.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.conf.get("spark.master", "").startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="corpus-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/corpus-{label}-{uuid.uuid4().hex}"
+    """A path under the folder of ``spark.checkpoint.dir``, which driver and executors share; nothing else uses it."""
+    return scratch_path(spark, f"corpus-{label}")
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
