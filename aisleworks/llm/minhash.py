@@ -30,7 +30,8 @@ from aisleworks.llm.shared import lookup, only, stored
 BANDS, ROWS = 32, 5
 #: Largest cluster that one task compares whole; larger ones go bucket by bucket, in blocks.
 CLUSTER_DOCS, CLUSTER_SHINGLES = 8192, 4_000_000
-BLOCK_DOCS = 1024
+#: Documents and shingles of a bucket that one block holds; a task compares two blocks.
+BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1_000_000
 
 _SIGNED = T.StructType(
     [
@@ -183,18 +184,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
              F.max("n_shingles").alias("n_shingles"), F.count(F.lit(1)).alias("copies")),
         "classes",
     )
-    banded = classes.select("node", F.explode("bands").alias("bucket"))
+    banded = classes.select("node", "n_shingles", F.explode("bands").alias("bucket"))
     shared = stored(
         banded.groupBy("bucket")
-        .agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("mark"))
+        .agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("mark"),
+             F.sum("n_shingles").alias("total"))
         .filter("size > 1")
         # Buckets with the same members need only be looked at once.
-        .groupBy("low", "size", "mark")
+        .groupBy("low", "size", "mark", "total")
         .agg(F.min("bucket").alias("bucket")),
         "buckets",
     )
     members = stored(
-        banded.join(shared, "bucket").select("bucket", "size", "low", "node"), "members"
+        banded.join(shared, "bucket").select("bucket", "size", "total", "low", "node"), "members"
     )
     links = stored(_links(rows, classes, members, words, percent), "links")
     reached = components(links)
@@ -235,7 +237,7 @@ def _links(rows: DataFrame, classes: DataFrame, members: DataFrame, words: int,
         texts.filter("whole").select("component", "node", "text")
         .groupBy("component").applyInPandas(find, "low long, high long")
     )
-    blocks = F.ceil(F.col("size") / BLOCK_DOCS).cast("int")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK_DOCS, F.col("total") / BLOCK_SHINGLES)).cast("int")
     own = F.pmod(F.xxhash64("node", "bucket"), blocks).cast("int")
     paired = (
         members.join(clusters.filter("not whole").select("node"), "node")

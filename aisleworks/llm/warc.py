@@ -21,7 +21,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aisleworks.llm.shared import lookup, new_folder, only, stored
+from aisleworks.llm.shared import new_folder, only, stored
 
 #: Payload bytes after which a writer begins another file.
 FILE_BYTES = 64 * 1024 * 1024
@@ -135,7 +135,8 @@ def pages_as_records(pages: DataFrame) -> DataFrame:
 
     Of equal payloads the largest page_id is the response; rows with that page_id all are.  A row without
     page_id counts as smaller than any; payloads that only such rows have are responses.  The groups are found by digest, combined
-    before the shuffle, and only payloads that occur more than once are looked up, from many tasks for each.
+    before the shuffle, and only payloads that occur more than once are joined, as a stored table, so that
+    adaptive execution splits a payload that a third of all pages have.
     """
     rows = only(pages, page_id="long", url="string", html="string").withColumn(
         "html", F.coalesce("html", F.lit("")).cast("binary")
@@ -144,7 +145,7 @@ def pages_as_records(pages: DataFrame) -> DataFrame:
         rows.groupBy("sha").agg(F.max("page_id").alias("winner"), F.count(F.lit(1)).alias("rows"))
         .filter("rows > 1 and winner is not null").select("sha", "winner")
     )
-    found = lookup(rows, stored(known, "payloads"), ["sha"], F.struct("page_id", "url"))
+    found = rows.join(stored(known, "payloads"), "sha", "left")
     refers = F.when(F.coalesce(F.col("page_id") < F.col("winner"), F.col("winner").isNotNull()), F.col("winner"))
     return found.withColumn("refers_to", refers).select(
         "page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "sha",
