@@ -6,10 +6,10 @@
    on all minima of a band share a bucket.  Two sets of similarity 0.8 miss each other in every
    band with probability 3e-6 (0.8 ** 5 per band, 32 bands).
 3. Buckets are joined into clusters by star edges to each bucket's smallest member.  A link can only lie
-   within a cluster, so each candidate's text travels once, to its cluster's task.
+   within a cluster, so a candidate's text travels to its cluster's task alone.
 4. There the full sets are compared and links that span the cluster's components are returned, never
-   all pairs.  Clusters beyond ``CLUSTER_DOCS`` or ``CLUSTER_SHINGLES`` are compared bucket by bucket, in
-   pairs of blocks of bounded size, with the same exact comparison.
+   all pairs.  A cluster of more than ``BLOCK_DOCS`` is cut into blocks, and a task compares two blocks.  Clusters beyond
+   ``CLUSTER_DOCS`` or ``CLUSTER_SHINGLES`` are compared bucket by bucket, in the same way.
 5. Components of the links come from alternating large-star and small-star rounds.
 """
 
@@ -28,10 +28,10 @@ from aisleworks.llm.components import components
 from aisleworks.llm.shared import lookup, only, stored
 
 BANDS, ROWS = 32, 5
-#: Largest cluster that one task compares whole; larger ones go bucket by bucket, in blocks.
+#: Documents and shingles of a block; a task compares two blocks.
+BLOCK_DOCS, BLOCK_SHINGLES = 256, 250_000
+#: Largest cluster that is compared as such; larger ones go bucket by bucket.
 CLUSTER_DOCS, CLUSTER_SHINGLES = 8192, 4_000_000
-#: Documents and shingles of a bucket that one block holds; a task compares two blocks.
-BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1_000_000
 
 _SIGNED = T.StructType(
     [
@@ -230,28 +230,34 @@ def _links(rows: DataFrame, classes: DataFrame, members: DataFrame, words: int,
         "clusters",
     )
     texts = stored(
-        rows.join(clusters.select(F.col("node").alias("doc_id"), "component", "whole"), "doc_id"), "texts"
+        rows.join(clusters.withColumnRenamed("node", "doc_id"), "doc_id"), "texts"
     ).withColumnRenamed("doc_id", "node")
     find = _linked(words, percent)
     inside = (
-        texts.filter("whole").select("component", "node", "text")
-        .groupBy("component").applyInPandas(find, "low long, high long")
-    )
-    blocks = F.ceil(F.greatest(F.col("size") / BLOCK_DOCS, F.col("total") / BLOCK_SHINGLES)).cast("int")
-    own = F.pmod(F.xxhash64("node", "bucket"), blocks).cast("int")
-    paired = (
-        members.join(clusters.filter("not whole").select("node"), "node")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("node", "bucket", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
+        _in_blocks(texts.filter("whole"), "component", F.col("docs"))
+        .groupBy("component", "one", "two").applyInPandas(find, "low long, high long")
     )
+    paired = _in_blocks(members.join(clusters.filter("not whole").select("node"), "node"), "bucket", F.col("size"))
     across = (
-        texts.filter("not whole").select("node", "text").join(paired, "node")
+        texts.filter("not whole").select("node", "text").join(paired.select("node", "bucket", "one", "two"), "node")
         .groupBy("bucket", "one", "two").applyInPandas(find, "low long, high long")
     )
     return inside.unionByName(across).distinct()
 
 
+def _in_blocks(rows: DataFrame, group: str, count: Column) -> DataFrame:
+    """``rows`` (node, total, ...) of groups of ``count`` members, repeated for each pair (one, two) of blocks that holds them."""
+    blocks = F.ceil(F.greatest(count / BLOCK_DOCS, F.col("total") / BLOCK_SHINGLES)).cast("int")
+    return (
+        rows.withColumn("blocks", blocks)
+        .withColumn("own", F.pmod(F.xxhash64("node", group), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        # Each pair of different blocks compares within both, too.
+        .filter("blocks = 1 or own <> other")
+        .withColumns({"one": F.least("own", "other"), "two": F.greatest("own", "other")})
+    )
+
+
 def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group: the row whose doc_id is the smallest of its group.
 

@@ -73,9 +73,12 @@ def test_against_all_pairs(spark, documents, families, words):
 
 
 def test_large_clusters_go_through_blocks(spark, documents, families, monkeypatch):
-    monkeypatch.setattr(minhash, "CLUSTER_DOCS", 3)
     monkeypatch.setattr(minhash, "BLOCK_DOCS", 4)
     check(spark, documents, families)
+    monkeypatch.setattr(minhash, "CLUSTER_DOCS", 3)
+    check(spark, documents, families)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 150)
+    check(spark, documents, families, words=5)
 
 
 def test_given_table(spark, documents, tables):
