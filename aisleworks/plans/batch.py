@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,8 +48,8 @@ def read_inputs(spark: SparkSession, landing: Location, run_date: dt.date) -> di
     and so is the number of rows that the read has seen.
     """
     root = scratch_path(spark, "inputs")
-    tables = {}
-    for table in INPUTS:
+
+    def read_whole(table: str) -> DataFrame:
         rows = check_parts(spark, landing, table, run_date)
         read = read_by_header(spark, landing, table, schemas.TABLES[table], run_date)
         observed, seen = counted(read)
@@ -57,8 +58,11 @@ def read_inputs(spark: SparkSession, landing: Location, run_date: dt.date) -> di
             raise IncompleteExportError(
                 f"{table} for {run_date}: {seen.get['rows']} rows read, its manifest has {rows}"
             )
-        tables[table] = spark.read.schema(read.schema).parquet(f"{root}/{table}")
-    return tables
+        return spark.read.schema(read.schema).parquet(f"{root}/{table}")
+
+    # Independent jobs, submitted together.
+    with ThreadPoolExecutor(max_workers=len(INPUTS)) as pool:
+        return dict(zip(INPUTS, pool.map(read_whole, INPUTS), strict=True))
 
 
 def run_tables(
