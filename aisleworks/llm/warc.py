@@ -48,8 +48,8 @@ def digest(payload: bytes) -> str:
 def record(page_id: int | None, url: str | None, payload: bytes | None, known: tuple[str, int], refers_to: int | None) -> bytes:
     """One record: a response with its payload, or a revisit that has the HTTP header alone.
 
-    ``known`` is the digest and the size of the full payload.  Rows that share a page_id share a record
-    id; a row without page_id gets a random one.
+    ``known`` is the digest and the size of the full payload.  A row without page_id gets a random
+    record id.
     """
     sha, size = known
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
