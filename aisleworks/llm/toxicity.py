@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aisleworks.llm import minhash
+from aisleworks.llm.minhash import mixed, shingles
 from aisleworks.llm.shared import only, stored
 
 #: Labelled documents of each class that the fit learns from, those with the smallest hashed doc_id.
@@ -271,8 +271,8 @@ def _sketch(texts: pd.Series) -> pd.Series:
     """The least of four hashes over the three-word shingles of each text."""
     out = []
     for text in texts:
-        members = minhash.shingles(text, 3)
-        out.append([int(minhash.mixed(members + np.uint64(k)).min().view(np.int64)) for k in range(4)] if len(members) else [])
+        members = shingles(text, 3)
+        out.append([int(mixed(members + np.uint64(k)).min().view(np.int64)) for k in range(4)] if len(members) else [])
     return pd.Series(out, dtype=object)
 
 

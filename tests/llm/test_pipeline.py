@@ -66,3 +66,19 @@ def test_hot_keys_are_dealt_over_tasks(spark):
     table = spark.createDataFrame([(1, "x"), (4, "y")], "key long, value string")
     found = lookup(rows, table, ["key"], F.col("id"))
     assert found.count() == 9000 and found.filter("value = 'x'").count() == 3001 and "_salt" not in found.columns
+
+
+def test_functions_travel_without_the_package():
+    """Modules are pickled by name, functions by value: a worker without the package must meet functions only."""
+    import importlib
+    import pkgutil
+    from types import ModuleType
+
+    import aisleworks.llm as package
+
+    for found in pkgutil.iter_modules(package.__path__):
+        if found.name != "catalog":  # runs on the driver alone
+            module = importlib.import_module(f"aisleworks.llm.{found.name}")
+            assert not [
+                k for k, v in vars(module).items() if isinstance(v, ModuleType) and v.__name__.startswith("aisleworks")
+            ], found.name
