@@ -25,6 +25,8 @@ from aisleworks.llm.shared import once, only, stored
 
 LENGTH = 1024
 END_ID = 2
+#: The added token of ``byte_bpe_50k.json``; its id follows the last rank (50256).
+MARKER = "<|endoftext|>"
 #: Rounds of the least-squares fit.
 ROUNDS = 300
 
@@ -42,12 +44,16 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def encoder(path: str) -> Callable[[str], list[int]]:
-    """Text to ids by a rank file; special tokens' strings are ordinary text."""
+def encoder(path: str, marker: str | None = None) -> Callable[[str], list[int]]:
+    """Text to ids by a rank file; special tokens' strings are ordinary text, but for ``marker``, which is one id."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    coding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return coding.encode_ordinary
+    special = {} if marker is None else {marker: max(ranks.values()) + 1}
+    coding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    if marker is None:
+        return coding.encode_ordinary
+    # Only texts that hold the marker pay for the search of it.
+    return lambda text: coding.encode(text, allowed_special="all") if marker in text else coding.encode_ordinary(text)
 
 
 def cut_points(count: int, length: int) -> list[int]:
@@ -63,13 +69,16 @@ def cut_points(count: int, length: int) -> list[int]:
 def pieces(
     docs: DataFrame, length: int = LENGTH, vocabulary: str | None = None, with_ids: bool = False
 ) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32[, ids]): every row's ids, then id 2, cut to at most ``length``."""
+    """(doc_id, piece, start, length, ids_crc32[, ids]): every row's ids, then id 2, cut to at most ``length``.
+
+    ``MARKER`` within a text is its one id, as ``tokenizers`` reads it.
+    """
     path = vocabulary or default_vocabulary()
     fields = _PIECE.fields + ([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else [])
 
     @F.pandas_udf(T.ArrayType(T.StructType(fields)))
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = once(f"encoder {path}", lambda: encoder(path))
+        encode = once(f"encoder {path} {MARKER}", lambda: encoder(path, MARKER))
         for texts in batches:
             out: list[list[tuple]] = []
             for text in texts:

@@ -113,3 +113,30 @@ def test_empty_table_and_the_sequences_themselves(spark, documents, tokenizer):
     ids = [*(t for r in found for t in r.ids)]
     plain = [t for _, text in rows for t in [*tokenizer.encode(text, add_special_tokens=False).ids, 2]]
     assert sorted(ids) == sorted(plain) and max(len(r.ids) for r in found) <= 128
+
+
+MARKED = ("a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "x  <|endoftext|>\n\n y", "<|endoftext| >", "é<|endoftext|>é")
+
+
+@pytest.fixture(scope="module")
+def plain():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_the_marker_is_the_id_of_the_plain_tokenizer(spark, documents, plain):
+    expected = {k: plain.encode(text, add_special_tokens=False).ids for k, text in enumerate(MARKED)}
+    assert expected[0] == [64, 220, 50256, 275]
+    found = packing.pieces(documents(*enumerate(MARKED)), 64, with_ids=True).collect()
+    assert {row.doc_id: row.ids for row in found} == {k: [*ids, 2] for k, ids in expected.items()}
+
+
+@pytest.fixture(scope="module")
+def encode_marked():
+    return packing.encoder(packing.default_vocabulary(), packing.MARKER)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.just(packing.MARKER), st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=20)), max_size=6))
+def test_ids_around_the_marker(plain, encode_marked, parts):
+    text = "".join(parts)
+    assert encode_marked(text) == plain.encode(text, add_special_tokens=False).ids
