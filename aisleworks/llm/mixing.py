@@ -21,8 +21,8 @@ from aisleworks.llm.shared import WORD_PATTERN, lookup, stored
 WEIGHTS = (3, 1, 2)
 #: Words of the mix for each word of the corpus, and how often a source may be used.
 SHARE, MOST = 1.5, 2
-#: Words of a budget that the dynamic programme fits, and the lengths (the most plentiful ones) it may use.
-RESERVE, KNAPSACK_LENGTHS = 65536, 256
+#: Words of a budget that the dynamic programme fits, over all lengths.
+RESERVE = 65536
 SEED = 20240
 
 _PLAN = "src string, size long, extra long, times int"
@@ -76,24 +76,32 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
     left = budget - int((taken * sizes).sum())
     spare = counts - taken
     usable = [at for at in np.argsort(-spare, kind="stable") if 0 < sizes[at] and spare[at] > 0 and sizes[at] <= 2 * left]
-    # Reachable sums are bits of one integer; a length's copies are dealt in powers of two.
-    limit = left + max((int(sizes[at]) for at in usable[:KNAPSACK_LENGTHS]), default=0)
-    reach, steps = 1, []
-    for at in usable[:KNAPSACK_LENGTHS]:
+    if not usable:
+        return taken
+    # No sum is nearer than the nearest multiple of the lengths' common divisor; once that is reached, more lengths are idle.
+    unit = int(np.gcd.reduce(sizes[usable]))
+    nearest = min(left % unit, -left % unit)
+    # For each sum, the step that first reached it (-1 for none); a length's copies are dealt in powers of two.
+    limit = left + max(int(sizes[at]) for at in usable)
+    first = np.full(limit + 1, -1, np.int64)
+    first[0] = 0
+    steps: list[tuple[int, int]] = [(0, 0)]
+    for at in usable:
+        if (first[max(0, left - nearest) : left + nearest + 1 : max(1, 2 * nearest)] >= 0).any():
+            break
         copies, part = min(int(spare[at]), limit // int(sizes[at])), 1
         while copies > 0:
             part = min(part, copies)
-            steps.append((at, part, reach))
-            reach = (reach | reach << (part * int(sizes[at]))) & ((1 << limit + 1) - 1)
+            words = part * int(sizes[at])
+            first[words:][(first[:-words] >= 0) & (first[words:] < 0)] = len(steps)
+            steps.append((at, part))
             copies, part = copies - part, part * 2
-    below = (reach & ((1 << left + 1) - 1)).bit_length() - 1
-    above = reach >> left
-    over = (above & -above).bit_length() - 1 if above else math.inf
-    goal = left + over if over < left - below else below
-    for at, part, before in reversed(steps):
-        if not before >> goal & 1:
-            taken[at] += part
-            goal -= part * int(sizes[at])
+    reached = np.flatnonzero(first >= 0)
+    goal = int(reached[np.argmin(np.abs(reached - left))])  # of two as near, the smaller
+    while goal:
+        at, part = steps[first[goal]]
+        taken[at] += part
+        goal -= part * int(sizes[at])
     return taken
 
 

@@ -109,3 +109,21 @@ def test_empty_tables(spark, documents):
     assert mixing.mixed(documents()).collect() == [] and mixing.mix(documents()).collect() == []
     (row,) = mixing.mixed(documents((1, None))).collect()
     assert (row.size, row.source_size, row.target, row.taken) == (0, 0, 0.0, 0)
+
+
+def test_sources_of_many_lengths_against_every_subset():
+    """Hundreds of distinct lengths, of which no few hold enough words for what is left."""
+    rand = np.random.default_rng(11)
+    cases = [(np.arange(1, 2001), np.ones(2000, np.int64), 150_000), (2 * np.arange(1, 1001), np.ones(1000, np.int64), 150_001)]
+    for docs, median, share in ((1500, 100, 0.95), (1000, 150, 0.84)):
+        lengths, counts = np.unique(np.maximum(1, rand.lognormal(np.log(median), 1.5, docs)).astype(np.int64), return_counts=True)
+        assert len(lengths) > 256
+        cases.append((lengths, counts, int(share * (lengths * counts).sum())))
+    for sizes, counts, budget in cases:
+        reach = 1
+        for size in np.repeat(sizes, counts):
+            reach |= reach << int(size)
+        nearest = next(k for k in range(budget) if reach >> (budget - k) & 1 or reach >> (budget + k) & 1)
+        taken = mixing.fit_counts(sizes, counts, budget)
+        assert ((0 <= taken) & (taken <= counts)).all()
+        assert abs(int((taken * sizes).sum()) - budget) == nearest
