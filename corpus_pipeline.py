@@ -19,8 +19,11 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that many sources share; n_chars follows the text."""
-    cleaned = line_dedup.remove_spread_lines(docs).select(*docs.columns)
+    """Documents without the lines that many sources share; n_chars follows the text.
+
+    Only a document that has no other line, a copy, stays whole for the next stage.
+    """
+    cleaned = line_dedup.remove_spread_lines(docs, largest_share=None).select(*docs.columns)
     return cleaned.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
