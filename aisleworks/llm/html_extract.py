@@ -48,6 +48,7 @@ _BLOCK = frozenset(
     "section summary table tbody td tfoot th thead tr ul".split()
 )
 _CONTAINER = frozenset("article main section div body td center".split())
+_ARTICLE = ("article", "main")
 _NOT_TEXT = frozenset(
     "nav aside footer form button input label fieldset head menu dialog audio video map".split()
 )
@@ -209,7 +210,11 @@ def candidates(page: str) -> list[tuple[str, int, int]]:
 
 
 def main_text(page: str | None, path: str | None) -> str:
-    """The page's text blocks within ``path``, or within its own best container.
+    """The page's text blocks around ``path``, or around its own best container.
+
+    A deep container may hold the body of an article without its title, lead and captions.  So all of the article, or else
+    the main element, around it is taken; prose outside links that stands directly in a container around that; and, where
+    there is neither article nor main, prose of containers beside it, but for those directly in the page's body.
 
     >>> main_text("<body><nav>x</nav><article><p>A &amp; b<p>c</article></body>", None)
     'A & b\\nc'
@@ -224,10 +229,35 @@ def main_text(page: str | None, path: str | None) -> str:
         most = [n for n, w in prose.items() if total and 1000 * w // total >= CANDIDATE_SHARE]
         if most:
             chosen = {max(most, key=lambda n: _path(n).count(">"))}
-    kept = [text for text, _, inside in parts if not chosen or any(n in chosen for n in inside)]
+    if not chosen:
+        return "\n".join(text for text, _, _ in parts)
+    tops = {_top(n) for n in chosen}
+    around = {above for top in tops for above in _around(top)}
+    beside = {above for top in tops if top.tag not in _ARTICLE for above in _around(top) if above.tag != "body"}
+    kept = []
+    for text, linked, inside in parts:
+        near = not inside or inside[-1] in around or any(n in beside for n in inside)
+        if any(n in tops for n in inside) or near and len(text) > 2 * linked:
+            kept.append(text)
     return "\n".join(kept)
 
 
+def _around(node: _Node) -> Iterator[_Node]:
+    """The containers around a node, from the inside."""
+    while (node := node.parent) is not None:
+        if node.container:
+            yield node
+
+
+def _top(node: _Node) -> _Node:
+    """The nearest article around a container or itself, else the nearest main, else the container."""
+    for tag in _ARTICLE:
+        for above in (node, *_around(node)):
+            if above.tag == tag:
+                return above
+    return node
+
+
 def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows: dict[tuple[str, str], list[int]] = {}

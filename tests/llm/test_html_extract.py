@@ -70,3 +70,21 @@ def test_whole_table_against_a_plain_reading(tables):
         article = re.search(r"<article>(.*?)(?:</article>|$)", pages[row.page_id], re.S)[1]
         parts = (" ".join(html.unescape(re.sub(r"<[^>]*>", " ", part)).split()) for part in re.split(r"</?(?:p|h1)>", article))
         assert row.text == "\n".join(part for part in parts if part)
+
+
+def test_title_lead_and_captions_beside_a_content_element(spark):
+    body = "".join(f"<p>Paragraph {k} of the article, long enough to be most of it.</p>" for k in range(9))
+    inner = f"<h1>Title</h1><p class=lead>The lead.</p><div class=entry-content>{body}</div><figure><figcaption>A caption</figcaption></figure>"
+    whole = "\n".join(["Title", "The lead.", *(f"Paragraph {k} of the article, long enough to be most of it." for k in range(9)), "A caption"])
+    beside = "<div class=extra>Words of another place.</div><ul><li><a href=/>Elsewhere</a></ul>"
+    pages = [
+        f"<body><article>{inner}</article>{beside}</body>",
+        f"<body><main><div>{inner}</div></main>{beside}</body>",
+        f"<body><div class=post>{inner}</div>{beside}</body>",
+        f"<body>{inner}{beside}</body>",
+        f"{inner}{beside}",
+        f"<body><main>{inner.replace('<div class=entry-content>', '<article>').replace('</div>', '</article>')}</main>{beside}</body>",
+        f"<body><div class=post><div class=top><h1>Title</h1><div>The lead.</div></div><div>{body}</div><div>A caption</div></div>{beside}</body>",
+    ]
+    rows = run(spark, [(10 * k + j, f"http://h{k}/", page) for k, page in enumerate(pages) for j in range(3)])
+    assert {row.page_id: row.text for row in rows} == {10 * k + j: whole for k in range(len(pages)) for j in range(3)}
