@@ -37,7 +37,9 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:false|until))|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTES = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_MAY_HIDE = re.compile(r"hidden|display\s*:\s*none", re.I)
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 _DIGITS = re.compile(r"\d+")
 
 # Element names of HTML, by what they mean for a page's text.
@@ -55,19 +57,52 @@ _NOT_TEXT = frozenset(
 _CLOSES_ITSELF = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)),
                   "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")),
                   "option": ("option", ("select",))}
-_ASIDE_NAMES = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alert|popup|modal"
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_ASIDE_PART = re.compile(
+    r"ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alert|popup|modal"
     r"|overlay|newsletter|subscribe|subscription|signup|menu|nav|navbar|navigation|breadcrumbs?|sidebar|side|rail|widget\w*"
     r"|footer|foot|masthead|comments?|commentlist|disqus|respond|reply|replies|related|recommend\w*|share|sharing|social"
-    r"|toolbar|pager|pagination|skip|login|search|copyright|disclaimer|contentinfo|complementary|navigation|search)"
-    r"(?=$|[-_\s\d])",
-    re.I,
+    r"|toolbar|pager|pagination|skip|login|search|copyright|disclaimer|contentinfo|complementary"
 )
-_HEADER_NAMES = re.compile(r"(?:^|[-_\s])(?:header|site-?header|top-?bar|page-?header)(?=$|[-_\s\d])", re.I)
+#: What a class of furniture may be called besides; any other word in it makes it a name of its own, as in has-sidebar.
+_ASIDE_REST = frozenset(
+    "site page post posts entry article articles story stories main primary secondary left right top bottom inner outer global "
+    "box bar bars list links link items item area block container wrapper wrap section group row column col button buttons "
+    "icons icon form panel slot unit header title text js".split()
+)
+_PARTS = re.compile(r"[^\W\d_]+")
+_HEADER_NAME = re.compile(r"(?:site-?)?header|top-?bar|page-?header", re.I)
+_REPLIES = frozenset("comment comments commentlist disqus respond reply replies".split())
+
+
+def _is_aside(token: str) -> bool:
+    """Whether a whole class token, id or role names page furniture.
+
+    >>> [_is_aside(t) for t in ("sidebar", "nav-menu", "share-buttons", "has-sidebar", "related-work", "sidebar2")]
+    [True, True, True, False, False, True]
+    """
+    parts = _PARTS.findall(token)
+    aside = [_ASIDE_PART.fullmatch(part) is not None for part in parts]
+    return any(aside) and all(a or len(p) == 1 or p in _ASIDE_REST for a, p in zip(aside, parts))
+
+
+def _is_hidden(attrs: str) -> bool:
+    """Whether attributes hide their element: hidden itself, aria-hidden=true, or a style without display."""
+    if not _MAY_HIDE.search(attrs):
+        return False
+    for name, a, b, c in _ATTRIBUTES.findall(attrs):
+        name, value = name.lower(), (a or b or c).strip().lower()
+        if (
+            name == "hidden" and not value.startswith(("false", "until"))
+            or name == "aria-hidden" and value == "true"
+            or name == "style" and _NO_DISPLAY.search(value)
+        ):
+            return True
+    return False
 
 
 class _Node:
-    """An open element: what it is called, and whether its text counts."""
+    """An open element: what it is called, and whether its text counts; skip is the place of the element that says no."""
 
     __slots__ = ("tag", "label", "parent", "skip", "container", "in_article", "link")
 
@@ -76,32 +111,59 @@ class _Node:
         self.skip, self.container, self.in_article, self.link = skip, container, in_article, link
 
 
-def _label_and_skip(tag: str, attrs: str, parent: _Node | None) -> tuple[str, bool]:
+def _label_and_skip(tag: str, attrs: str, parent: _Node | None) -> tuple[str, int]:
+    """Label of an element, and why its text does not count: 0 it does, 1 by its tag, 2 by its name or hidden, 3 replies."""
     named = {}
     for key, a, b, c in _NAMES.findall(attrs) if "=" in attrs else ():
         named.setdefault(key.lower(), a or b or c)
     classes = named.get("class", "").split()
     label = f"{tag}.{_DIGITS.sub('#', classes[0]).lower()}" if classes else tag
     if parent is not None and parent.skip:
-        return label, True
+        return label, 0
     inside = parent is not None and parent.in_article
-    skip = tag in _NOT_TEXT or tag == "header" and not inside
-    if not skip and named and tag not in ("html", "body", "main", "article"):
-        names = " ".join(named.values())
-        skip = bool(_ASIDE_NAMES.search(names)) or not inside and bool(_HEADER_NAMES.search(names))
-    return label, skip or bool(attrs and _HIDDEN.search(attrs))
+    if tag in _NOT_TEXT or tag == "header" and not inside:
+        return label, 2 if tag == "form" else 1
+    if named and tag not in ("html", "body", "main", "article"):
+        if tag in _HEADINGS:
+            named.pop("id", None)  # made of the heading's words
+        for token in " ".join(named.values()).lower().split():
+            if _is_aside(token):
+                return label, 2 if _REPLIES.isdisjoint(_PARTS.findall(token)) else 3
+            if not inside and _HEADER_NAME.fullmatch(token):
+                return label, 2
+    return label, 2 if attrs and _is_hidden(attrs) else 0
 
 
 def blocks(page: str) -> list[tuple[str, int, tuple[_Node, ...]]]:
     """(text, characters within links, open containers) of each text block, in page order.
 
+    An element that is furniture by its name, a form or hidden, and yet holds most of the page's prose, is no furniture, but
+    for replies to other prose.
+    """
+    counted: frozenset[int] = frozenset()
+    while True:
+        found, shown, skipped = _parse(page, counted)
+        total = shown + sum(size for _, size in skipped.values())
+        most = [at for at, (why, size) in skipped.items()
+                if (why == 2 or why == 3 and not shown) and 1000 * size >= CANDIDATE_SHARE * total > 0]
+        if not most:
+            return found
+        counted |= {*most}
+
+
+def _parse(
+    page: str, counted: frozenset[int]
+) -> tuple[list[tuple[str, int, tuple[_Node, ...]]], int, dict[int, list[int]]]:
+    """The blocks of a page, their prose, and by place the elements left out, why, and their prose; but ``counted`` count.
+
     Unclosed and crossing tags are taken as browsers take them: a block ends a paragraph,
     a list item the item before it, an end tag what was opened since.
     """
     found: list[tuple[str, int, tuple[_Node, ...]]] = []
     stack: list[_Node] = []
     words: list[str] = []
-    linked = 0
+    linked = shown = 0
+    skipped: dict[int, list[int]] = {}
 
     def flush() -> None:
         nonlocal linked
@@ -118,12 +180,17 @@ def blocks(page: str) -> list[tuple[str, int, tuple[_Node, ...]]]:
         del stack[depth:]
 
     def add(text: str) -> None:
-        nonlocal linked
-        if text and not (stack and stack[-1].skip):
+        nonlocal linked, shown
+        if text and stack and stack[-1].skip:
+            if not stack[-1].link:
+                skipped[stack[-1].skip][1] += len(text.strip())
+        elif text:
             text = entities.unescape(text) if "&" in text else text
             words.append(text)
             if stack and stack[-1].link:
                 linked += len(text)
+            else:
+                shown += len(text.strip())
 
     at = 0
     for token in _TOKEN.finditer(page):
@@ -165,7 +232,11 @@ def blocks(page: str) -> list[tuple[str, int, tuple[_Node, ...]]]:
         if tag in _VOID or attrs.endswith("/") and tag not in _BLOCK and tag != "a":
             continue
         parent = stack[-1] if stack else None
-        label, skip = _label_and_skip(tag, attrs, parent)
+        label, why = _label_and_skip(tag, attrs, parent)
+        skip = parent.skip if parent is not None else 0
+        if why and at not in counted:
+            skip = at
+            skipped[at] = [why, 0]
         stack.append(
             _Node(
                 tag, label, parent, skip, tag in _CONTAINER and not skip,
@@ -175,7 +246,7 @@ def blocks(page: str) -> list[tuple[str, int, tuple[_Node, ...]]]:
         )
     add(page[at:])
     flush()
-    return found
+    return found, shown, skipped
 
 
 def _path(node: _Node) -> str:

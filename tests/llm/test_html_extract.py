@@ -88,3 +88,21 @@ def test_title_lead_and_captions_beside_a_content_element(spark):
     ]
     rows = run(spark, [(10 * k + j, f"http://h{k}/", page) for k, page in enumerate(pages) for j in range(3)])
     assert {row.page_id: row.text for row in rows} == {10 * k + j: whole for k in range(len(pages)) for j in range(3)}
+
+
+def test_names_that_only_sound_like_furniture(spark):
+    body = "".join(f"<p>Paragraph {k} of the article, long enough to be most of it.</p>" for k in range(9))
+    whole = "\n".join(f"Paragraph {k} of the article, long enough to be most of it." for k in range(9))
+    kept = [
+        f"<body class=overflow-hidden><article>{body}</article>", f"<body><article style='overflow:hidden'>{body}</article>",
+        f"<body><article><div title='the hidden city'>{body}</div></article>", f"<body style='display: none'><article>{body}</article>",
+        f"<body><div class='content has-sidebar'>{body}</div>", f"<body><form id=all><div class=sidebar>{body}</div></form>",
+        f"<body><div class=content-sidebar-wrap><div>{body}</div><div class=sidebar>Elsewhere in words</div></div>",
+        f"<body><article>{body}<div hidden>Unseen</div><div aria-hidden=true>Unseen</div><p style='color:red;display:none'>Unseen</p></article>",
+        f"<body><article>{body}<div class=share-buttons>Share it</div><div class='box nav'>Next</div></article>",
+    ]
+    named = f"<body><article>{body}<h2 id=related-work>Related work</h2><section id=search-results-explained><p>How to read them.</p></section><h2 id=comments>Comments on it</h2></article>"
+    short = "<body><article><p>A short note.</p></article><section id=comments>" + "<p>A reply of some length, as long as the note or so.</p>" * 9 + "</section>"
+    found = {r.page_id: r.text for r in run(spark, [(k, f"http://h{k}/", p) for k, p in enumerate([*kept, named, short])])}
+    assert [found[k] for k in range(len(kept))] == [whole] * len(kept)
+    assert found[len(kept)] == whole + "\nRelated work\nHow to read them.\nComments on it" and found[len(kept) + 1] == "A short note."
