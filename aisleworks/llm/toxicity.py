@@ -32,7 +32,7 @@ FEATURES, LEAST_G = 20_000, 40.0
 PREFIXES = (4, 5, 6, 7)
 #: A beginning counts if it is in this many times as many toxic documents as the commonest word with it.
 MANY_WORDS = 1.5
-#: Longest span that counts as a disguised word.
+#: Longest span whose reading is remembered; longer ones are decoded each time.
 SPAN = 40
 
 # Letters of the language model, and what signs may stand for in leetspeak.
@@ -62,7 +62,11 @@ _TOKEN = re.compile(r"\S+")
 _THRICE = re.compile(r"([^\W\d_])\1\1")
 _TAIL = re.compile(r"([^\w\s])\1\1+$")
 _STANDING_APART = re.compile(r"[^\W_](?:[.\-_*~][^\W_]){3,}")
+_HEAD = re.compile(r"^([^\w\s])\1\1+")
+_LONG_RUN = re.compile(r"(.)\1{6,}", re.S)
 _AROUND = ".,;:!?\"'()[]{}<>\u00ab\u00bb\u2026-_*#/\\|~`"
+# Signs around a word that stand for no letter.
+_OUTSIDE = "".join(sign for sign in _AROUND if sign not in LEET and sign not in _MASKS)
 
 
 def letter_triples(text: str) -> np.ndarray:
@@ -104,7 +108,7 @@ def _lattice(span: str, apart: bool) -> list[list[tuple[str, float]]]:
                 places.append([(char * 2, 0.0), (char, _PAIR_TO_ONE)])
             else:
                 places.append([(char, _RUN_TO_ONE), (char * 2, _RUN_TO_TWO)])
-        elif apart and (char == " " or char in _JOINTS or char in _MASKS):
+        elif apart and (char == " " or char in _JOINTS or char in _MASKS and " " not in span):
             places.append([("", _APART_DROP), (" ", _APART_GAP)])
         elif char in _JOINTS:
             places.append([("", _JOINT_DROP), (" ", _JOINT_GAP)])
@@ -117,12 +121,12 @@ def _lattice(span: str, apart: bool) -> list[list[tuple[str, float]]]:
 
 
 def decode(span: str, costs: np.ndarray, apart: bool = False) -> str:
-    """The likeliest reading of a span by Viterbi decoding over (last two letters)."""
-    # A state is the last two codes, 0 standing for a word's edge; it holds its cost and reading.
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    """The likeliest reading of a span, of any length, by Viterbi decoding over (last two letters)."""
+    # A state is the last two codes, 0 standing for a word's edge; it holds its cost and reading, as a chain from the end.
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for readings in [*_lattice(span, apart), [(" ", 0.0)]]:
-        following: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, text) in states.items():
+        following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (cost, chain) in states.items():
             for letters, extra in readings:
                 x, y, total = a, b, cost + extra
                 for letter in letters:
@@ -133,9 +137,13 @@ def decode(span: str, costs: np.ndarray, apart: bool = False) -> str:
                     x, y = (0, 0) if code == 0 else (y, code)
                 known = following.get((x, y))
                 if known is None or total < known[0]:
-                    following[(x, y)] = (total, text + letters)
+                    following[(x, y)] = (total, (chain, letters) if letters else chain)
         states = following
-    return " ".join(min(states.values(), key=lambda s: s)[1].split())
+    (_, chain), read = states[(0, 0)], []  # the last edge leaves no other state
+    while chain is not None:
+        chain, letters = chain
+        read.append(letters)
+    return " ".join("".join(reversed(read)).split())
 
 
 class Restorer:
@@ -148,6 +156,9 @@ class Restorer:
         self.read: dict[str, str | None] = {}
 
     def _decoded(self, core: str, apart: bool) -> str:
+        core = _LONG_RUN.sub(r"\1\1\1\1\1\1", core)  # more of a run reads alike
+        if len(core) > SPAN:
+            return decode(core, self.costs, apart)
         key = f"{core} {apart}"
         if key not in self.read:
             if len(self.read) >= self.MEMORY:
@@ -158,20 +169,37 @@ class Restorer:
     def token(self, token: str) -> str | None:
         """The reading of a lower-case token that looks disguised, else None."""
         if token.isalpha():
-            return self._decoded(token, False) if len(token) <= SPAN and _THRICE.search(token) else None
+            return self._decoded(token, False) if _THRICE.search(token) else None
         core = _TAIL.sub("", token).strip(_AROUND)
-        if not 3 <= len(core) <= SPAN or core.isdigit() or not _WORD.search(core):
+        if len(core) < 3 or core.isdigit() or not _WORD.search(core):
             return None
         if core.isalpha():
             return self._decoded(core, False) if _THRICE.search(core) else None
         return self._decoded(core, _STANDING_APART.fullmatch(core) is not None)
 
+    def whole(self, token: str) -> str | None:
+        """The reading of a lower-case token with the signs at its edges, or of one without letters, where they may be letters.
+
+        ``token`` leaves such tokens as they stand, because most are dates, amounts and exclamations.  Digits alone are a number,
+        and three or more of a sign at an edge are ornament.
+        """
+        if token.isalnum() and _WORD.search(token):
+            return None
+        core = _HEAD.sub("", _TAIL.sub("", token)).strip(_OUTSIDE)
+        if len(core) < 3 or core.isdigit() or core == token.strip(_AROUND) and _WORD.search(core):
+            return None
+        if not any(sign.isalnum() for sign in core) and not any(sign in LEET for sign in core):
+            return None
+        return self._decoded(core, False)
+
     def apart(self, tokens: list[str]) -> Iterator[tuple[int, int, str]]:
-        """(begin, end, reading) of each run of four or more single letters or digits, in parts of at most ``SPAN`` / 2."""
+        """(begin, end, reading) of each run of four or more single letters, digits or signs that may stand for letters."""
         begin = 0
         while begin < len(tokens):
             end = begin
-            while end < len(tokens) and end - begin < SPAN // 2 and len(tokens[end]) == 1 and tokens[end].isalnum():
+            while end < len(tokens) and len(tokens[end]) == 1 and (
+                tokens[end].isalnum() or tokens[end] in LEET or tokens[end] in _MASKS
+            ):
                 end += 1
             if end - begin >= 4 and len(set(tokens[begin:end])) > 1:
                 yield begin, end, self._decoded(" ".join(tokens[begin:end]), True)
@@ -215,6 +243,9 @@ def document_words(text: str | None, restore: Restorer) -> set[str]:
             if not thrice:
                 continue
         else:
+            reading = restore.whole(token)
+            if reading is not None:
+                words.update(_WORD.findall(reading))
             core = token.strip(_AROUND)
             if core.isalpha():
                 words.add(core)

@@ -97,3 +97,18 @@ def test_empty_tables(spark, documents):
 def test_restored_column(spark, documents):
     rows = toxicity.restored(documents((1, FAIR * 20 + "you 1d10t"), (2, None))).collect()
     assert rows[0].restored.endswith("you idiot") and rows[1].restored is None
+
+
+@pytest.mark.parametrize(
+    "written",
+    ["idi" + "i" * 41 + "ot", "i" * 60 + "diot", "1" + "d" * 50 + "10t", "i d ! o t", "! d i o t", "i d * o t", "!diot", "(!diot)", "1#10+",
+     "1d!0+", "i d i o t s a w a w o r t h l e s s i d i o t", "s a w a t t h e s h o w i d i o t"],
+)
+def test_disguises_past_the_gates(restore, written):
+    assert "idiot" in toxicity.document_words(f"and {written} behind", restore)
+
+
+def test_long_spans_are_decoded_whole(restore):
+    words = "the idiot and the stupid moron".split() * 9
+    assert restore(" ".join("".join(words))).split() == words
+    assert restore("-".join("the1d10t" * 40)).replace(" ", "") == "theidiot" * 40
