@@ -27,8 +27,8 @@ from aisleworks.llm.shared import only, stored
 
 #: Labelled documents of each class that the fit learns from, those with the smallest hashed doc_id.
 PER_CLASS = 10_000
-#: Words and beginnings that the model keeps, at most; and the least G-test statistic of those.
-FEATURES, LEAST_G = 20_000, 40.0
+#: Words and beginnings that the model keeps, at most; and how many of all that chance may be expected to put among them.
+FEATURES, CHANCE = 20_000, 0.2
 PREFIXES = (4, 5, 6, 7)
 #: A beginning counts if it is in this many times as many toxic documents as the commonest word with it.
 MANY_WORDS = 1.5
@@ -319,6 +319,40 @@ def _without_copies(texts: DataFrame) -> DataFrame:
     return texts.join(copies, "doc_id", "left_anti")
 
 
+def upper_tail(held: int, toxic: int, clean: int) -> np.ndarray:
+    """Chance of k or more toxic documents, k from 0, among ``held`` drawn from ``toxic`` and ``clean`` ones.
+
+    >>> upper_tail(2, 2, 2).round(3).tolist()
+    [1.0, 0.833, 0.167]
+    """
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, toxic + clean + 1)))])
+    k = np.arange(max(0, held - clean), min(held, toxic) + 1)
+    of_all = logs[toxic + clean] - logs[held] - logs[toxic + clean - held]
+    ways = logs[toxic] - logs[k] - logs[toxic - k] + logs[clean] - logs[held - k] - logs[clean - held + k]
+    tail = np.minimum(1.0, np.exp(ways - of_all)[::-1].cumsum()[::-1])
+    return np.concatenate([np.ones(k[0]), tail])
+
+
+def chance_level(held: dict[int, int], toxic: int, clean: int, most: float = CHANCE) -> float:
+    """Largest tail probability that at most ``most`` features reach by chance; ``held`` counts features by documents.
+
+    A feature in few documents cannot reach a small probability and takes nothing of the chance that the others have.
+    The number of documents moves the level only through what such features can show.
+
+    >>> round(chance_level({2: 1}, 2, 2), 3), chance_level({2: 2}, 2, 2)
+    (0.167, 0.0)
+    """
+    levels, expected = [np.zeros(0)], [np.zeros(0)]
+    for documents, features in held.items():
+        tail = upper_tail(documents, toxic, clean)
+        use = (tail <= most) & (tail > 1e-30)
+        levels.append(tail[use])
+        expected.append((features * (tail - np.append(tail[1:], 0.0)))[use])
+    level, order = np.concatenate(levels), np.argsort(np.concatenate(levels), kind="stable")
+    within = level[order][np.concatenate(expected)[order].cumsum() <= most]
+    return float(within[-1]) if len(within) else 0.0
+
+
 def fit_words(docs: DataFrame, labels: DataFrame, costs: np.ndarray) -> tuple[dict[str, float], float]:
     """Precision of each telling word or beginning, and the score of a text that has none.
 
@@ -374,18 +408,26 @@ def fit_words(docs: DataFrame, labels: DataFrame, costs: np.ndarray) -> tuple[di
         .select("toxic", F.explode(F.array(*(F.left("feature", F.lit(n)) for n in PREFIXES))).alias("start"))
         .groupBy("start").agg(F.max("toxic").alias("single"))
     )
-    telling = (
+    tested = stored(
         counts.filter("feature <> ''")
         .withColumn("start", start)
         .join(single, "start", "left")
         .filter((F.col("start") == "") | (F.col("toxic") >= MANY_WORDS * F.col("single")))
         .withColumn("g", 2 * (gain(F.col("toxic"), toxic) + gain(F.col("clean"), clean)))
         .withColumn("odds", odds * ((F.col("toxic") + 0.1) / toxic) / ((F.col("clean") + 0.1) / clean))
-        .filter((F.col("g") >= LEAST_G) & (F.col("odds") >= 0.25))
-        .orderBy(F.col("g").desc(), "feature").limit(FEATURES)
-        .select("feature", (F.col("odds") / (1 + F.col("odds"))).alias("precision"))
+        .select("feature", "toxic", held.alias("held"), "g", "odds"),
+        "tested",
     )
-    table = {row["feature"]: row["precision"] for row in telling.collect()}
+    by_held = {row["held"]: row["count"] for row in tested.groupBy("held").count().collect()}
+    level = chance_level(by_held, toxic, clean)
+    tails: dict[int, np.ndarray] = {}
+    table = {}
+    for row in tested.filter("odds >= 0.25").orderBy(F.col("g").desc(), "feature").limit(FEATURES).collect():
+        documents = row["held"]
+        if documents not in tails:
+            tails[documents] = upper_tail(documents, toxic, clean)
+        if tails[documents][row["toxic"]] <= level * (1 + 1e-9):
+            table[row["feature"]] = row["odds"] / (1 + row["odds"])
     return table, 0.02
 
 

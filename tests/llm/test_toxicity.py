@@ -112,3 +112,12 @@ def test_long_spans_are_decoded_whole(restore):
     words = "the idiot and the stupid moron".split() * 9
     assert restore(" ".join("".join(words))).split() == words
     assert restore("-".join("the1d10t" * 40)).replace(" ", "") == "theidiot" * 40
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_held_out_accuracy_of_small_tables(spark, tables, sf):
+    docs, labels = tables("documents", sf), tables("labels", sf)
+    truth = {row.doc_id: row.toxic for row in labels.collect()}
+    rows = [row for row in toxicity.score(docs, labels).collect() if row.held_out and row.doc_id in truth]
+    assert sum(row.predicted == truth[row.doc_id] for row in rows) / len(rows) > 0.97
+    assert {row.predicted for row in rows if truth[row.doc_id] == 1} >= {1}
