@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aisleworks.llm import html_extract, imatch, line_dedup, minhash, mixing, packing, quality, topk, toxicity, warc
+from aisleworks.llm import (
+    fill_middle, html_extract, imatch, line_dedup, minhash, mixing, packing, quality, topk, toxicity, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,10 +61,14 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_html_extraction, op2_warc_normaliser, op3_toxicity, op4_quality, op5_imatch, op6_mixing, op7_packing,
-    op8_exact_topk, op9_line_dedup, op10_minhash,
+    op8_exact_topk, op9_line_dedup, op10_minhash, op13_fill_middle,
 )}
 
 #: DuckDB SQL where SQL can express the operator.
-ORACLE: dict[str, str] = {"op9_line_dedup": line_dedup.ORACLE_SQL}
+ORACLE: dict[str, str] = {"op9_line_dedup": line_dedup.ORACLE_SQL, "op13_fill_middle": fill_middle.ORACLE_SQL}
