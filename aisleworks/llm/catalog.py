@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from aisleworks.llm import (
-    fill_middle, html_extract, imatch, line_dedup, minhash, mixing, packing, quality, topk, toxicity, warc,
+    fill_middle, html_extract, imatch, license_scan, line_dedup, minhash, mixing, packing, quality, topk, toxicity, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,13 +61,17 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_digest(_table(spark, sf_dir, "documents"))
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_html_extraction, op2_warc_normaliser, op3_toxicity, op4_quality, op5_imatch, op6_mixing, op7_packing,
-    op8_exact_topk, op9_line_dedup, op10_minhash, op13_fill_middle,
+    op8_exact_topk, op9_line_dedup, op10_minhash, op12_license_scan, op13_fill_middle,
 )}
 
 #: DuckDB SQL where SQL can express the operator.

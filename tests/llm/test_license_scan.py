@@ -1,0 +1,135 @@
+import doctest
+import re
+import time
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from aisleworks.llm import catalog, license_scan
+from aisleworks.llm.license_scan import COPYLEFT, FREE, NOTICE, RESTRICTED, WEAK, evaluate, parse_expression, scan_text
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def plain(text):
+    """(words, starts, labels) of the base phrases, word by word."""
+    words = WORD.findall(lowered(text))
+    places = [
+        (at, label)
+        for phrase, label in PHRASES.items()
+        for at in range(len(words))
+        if words[at : at + len(phrase.split())] == phrase.split()
+    ]
+    return len(words), sorted(at for at, _ in places), sorted({label for _, label in places})
+
+
+def scanned(text):
+    return scan_text(text, *license_scan._automata())
+
+
+def test_examples():
+    assert doctest.testmod(license_scan).failed == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("gnu General PUBLIC license apache cc by mit nc sa é   ſ 1 \x7f - / \n \t".split(" ")), max_size=25))
+def test_places_are_those_of_a_plain_search(parts):
+    text = " ".join(parts)
+    words, notices, _ = scanned(text)
+    n, starts, labels = plain(text)
+    assert words == n
+    assert sorted(word for _, word, _, base in notices if base) == starts
+    assert sorted({label for label, _, _, base in notices if base}) == labels
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.recursive(
+    st.sampled_from(["MIT", "GPL-2.0-only", "MPL-2.0", "CC0-1.0", "CC-BY-NC-4.0", "GPL-3.0+ WITH GCC-exception-3.1"]),
+    lambda inner: st.tuples(inner, st.sampled_from([" AND ", " or ", " And "]), inner).map(lambda t: f"({''.join(t)})"),
+    max_leaves=12,
+))
+def test_expressions_evaluate_as_python_does(text):
+    binds = {"MIT": NOTICE, "GPL-2.0-only": COPYLEFT, "MPL-2.0": WEAK, "CC0-1.0": FREE, "CC-BY-NC-4.0": RESTRICTED,
+             "GPL-3.0+ WITH GCC-exception-3.1": WEAK}
+
+    class Level(int):
+        def __and__(self, other):
+            return Level(max(self, other))
+
+        def __or__(self, other):
+            return Level(min(self, other))
+
+    python = text
+    for name in sorted(binds, key=len, reverse=True):
+        python = python.replace(name, f"Level({binds[name]})")
+    python = re.sub(" and ", " & ", re.sub(" or ", " | ", python, flags=re.I), flags=re.I)
+    postfix, end = parse_expression(text + " unless otherwise noted")
+    assert end == len(text)
+    assert evaluate(postfix)[1] == eval(python, {"Level": Level})
+
+
+@pytest.mark.parametrize("text, labels, binds", [
+    ("MIT OR GPL-2.0 AND Apache-2.0", ["apache", "gpl", "mit"], NOTICE),  # and binds closer
+    ("(MIT OR GPL-2.0) AND CC-BY-SA-4.0", ["cc-by-sa", "gpl", "mit"], COPYLEFT),
+    ("MIT.", ["mit"], NOTICE),
+    ('"MIT", "version": 2', ["mit"], NOTICE),
+    ("((MIT", ["mit"], NOTICE),
+    ("MIT) OR GPL-2.0", ["mit"], NOTICE),
+    ("MIT WITH regards", ["mit"], NOTICE),
+    ("LicenseRef-ours AND MIT", ["mit", "other"], RESTRICTED),
+    ("see the file", [], None), ("AND MIT", [], None), ("()", [], None), ("", [], None), ("\nMIT", [], None),
+])
+def test_where_an_expression_ends(text, labels, binds):
+    assert evaluate(parse_expression(text)[0]) == (labels, binds)
+
+
+def test_tags_and_places():
+    text = "// é SPDX-License-Identifier: MIT OR Apache-2.0\n/* License: see below */ licence: isc"
+    words, notices, expressions = scanned(text)
+    assert words == 14 and notices == []
+    assert [row[0] for row in expressions] == [text.index(" MIT"), text.index(" isc")]
+    assert [row[1:] for row in expressions] == [("MIT OR Apache-2.0", ["apache", "mit"], NOTICE), ("isc", ["isc"], NOTICE)]
+
+
+def test_long_texts_take_linear_time():
+    began = time.time()
+    n = 200_000
+    assert len(scanned("mit license " * n)[1]) == n
+    assert len(scanned("license: " * n)[2]) == 0
+    assert evaluate(parse_expression("(" * n + "MIT" + " AND MIT)" * n)[0]) == (["mit"], NOTICE)
+    assert len(scanned("license: mit " + "license: (" * n)[2]) == 1
+    assert time.time() - began < 20
+
+
+def test_query_equals_the_plain_reading(spark, documents):
+    texts = [None, "", " ", "no licence", "MIT License mit-license, CC BY-NC 4.0", "the gnu general public license\x7f",
+             "Released under the MIT License.\nSPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0", "mit licenseé"]
+    frame = documents(*[(i, text) for i, text in enumerate(texts)], (4, texts[4])).withColumnRenamed("n_chars", "n_words")
+    got = license_scan.license_digest(frame).collect()
+    assert len(got) == len(texts) + 1
+    for row in got:
+        n, starts, labels = plain(texts[row.doc_id])
+        assert (row.n_words, row.n_base, row.base_labels) == (n, len(starts), ",".join(labels))
+        assert (row.first_word, row.last_word) == ((starts[0], starts[-1]) if starts else (None, None))
+        assert set(labels) <= set(row.labels.split(",")) | {""} and (row.score > 0) == (row.labels != "")
+    by_id = {row.doc_id: row for row in got}
+    assert by_id[4].labels == "cc-by,cc-by-nc,mit" and by_id[4].binds == RESTRICTED
+    assert by_id[6].labels == "gpl,mit" and by_id[6].binds == WEAK and by_id[6].score > by_id[5].score > 0
+    assert by_id[0].score == 0 and by_id[0].binds is None
+    assert license_scan.license_digest(frame.limit(0)).collect() == []
+
+
+def test_whole_table_equals_the_plain_reading(spark, tables):
+    texts = {row.doc_id: row.text for row in tables("documents").select("doc_id", "text").collect()}
+    got = catalog.op12_license_scan(spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == len(texts)
+    for row in got:
+        n, starts, labels = plain(texts[row.doc_id])
+        assert (row.n_words, row.n_base, row.base_labels) == (n, len(starts), ",".join(labels))
+    assert any(row.n_base for row in got)
