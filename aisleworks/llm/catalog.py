@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aisleworks.llm import (
-    fill_middle, html_extract, imatch, license_scan, line_dedup, minhash, mixing, packing, quality, topk, toxicity, warc,
+    fill_middle, hard_negatives, html_extract, imatch, license_scan, line_dedup, minhash, mixing, packing, quality, topk,
+    toxicity, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +63,12 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved))
+
+
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_digest(_table(spark, sf_dir, "documents"))
 
@@ -71,8 +79,12 @@ def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_html_extraction, op2_warc_normaliser, op3_toxicity, op4_quality, op5_imatch, op6_mixing, op7_packing,
-    op8_exact_topk, op9_line_dedup, op10_minhash, op12_license_scan, op13_fill_middle,
+    op8_exact_topk, op9_line_dedup, op10_minhash, op11_hard_negatives, op12_license_scan, op13_fill_middle,
 )}
 
 #: DuckDB SQL where SQL can express the operator.
-ORACLE: dict[str, str] = {"op9_line_dedup": line_dedup.ORACLE_SQL, "op13_fill_middle": fill_middle.ORACLE_SQL}
+ORACLE: dict[str, str] = {
+    "op9_line_dedup": line_dedup.ORACLE_SQL,
+    "op11_hard_negatives": hard_negatives.ORACLE_SQL,
+    "op13_fill_middle": fill_middle.ORACLE_SQL,
+}
