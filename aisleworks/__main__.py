@@ -1,4 +1,4 @@
-"""spark-submit entry: load tables, export snapshots, or publish the KPIs of a run date."""
+"""spark-submit entry: load tables, export snapshots, publish the KPIs of a run date, or clean old versions away."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from aisleworks.schemas import TABLES
 from aisleworks.session import build_session
 from aisleworks.sinks import export_snapshot
 from aisleworks.sources import Location, load_table
+from aisleworks.versions import clean
 
 
 def _stored(spark: SparkSession, root: str) -> dict:
@@ -39,6 +40,15 @@ def _publish(spark: SparkSession, given: argparse.Namespace) -> str:
     return f"{rows} rows published"
 
 
+def _clean(spark: SparkSession, given: argparse.Namespace) -> str:
+    return f"{len(clean(spark, given.output, given.before))} versions removed"
+
+
+def _moment(text: str) -> dt.datetime:
+    moment = dt.datetime.fromisoformat(text)
+    return moment if moment.tzinfo else moment.replace(tzinfo=dt.UTC)
+
+
 def main() -> None:
     args = argparse.ArgumentParser(prog="aisleworks", description=__doc__)
     commands = args.add_subparsers(required=True, dest="command")
@@ -47,6 +57,8 @@ def main() -> None:
     load = commands.add_parser("load", parents=[shared], help="load <table>.csv of all five tables")
     export = commands.add_parser("export", parents=[shared], help="export a snapshot of all five tables")
     publish = commands.add_parser("run", parents=[shared], help="publish the KPIs of a run date")
+    cleaning = commands.add_parser("clean", parents=[shared], help="remove versions that no reader needs any more")
+    cleaning.add_argument("--before", type=_moment, required=True, help="ISO time, UTC unless it names a zone: readers may be as old")
     for command in (export, publish):
         command.add_argument("run_date", type=dt.date.fromisoformat, help="yyyy-MM-dd")
     for command in (load, export):
@@ -55,10 +67,11 @@ def main() -> None:
     source = publish.add_mutually_exclusive_group(required=True)
     source.add_argument("--landing", help="folder holding <table>_<date>.csv and manifests")
     source.add_argument("--tables", help="folder of typed tables that load has made")
-    publish.add_argument("--output", required=True, help="root of the date= partitions")
+    for command in (publish, cleaning):
+        command.add_argument("--output", required=True, help="root of the date= partitions")
     given = args.parse_args()
     spark = build_session("aisleworks")
-    print({"load": _load, "export": _export, "run": _publish}[given.command](spark, given))
+    print({"load": _load, "export": _export, "run": _publish, "clean": _clean}[given.command](spark, given))
     spark.stop()
 
 

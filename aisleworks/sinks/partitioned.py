@@ -1,4 +1,4 @@
-"""Publishing results under one ``date=`` partition per run."""
+"""Publishing results under one ``date=`` slot per run."""
 
 from __future__ import annotations
 
@@ -7,36 +7,32 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from aisleworks.versions import date_slot, new_version, point_to
+
 
 def write_partition(
     df: DataFrame,
     root: str,
     run_date: dt.date,
-    cluster_by: str = "trans_dt",
+    cluster_by: str | None = "trans_dt",
     compression: str = "gzip",
 ) -> int:
-    """Replace the partition of ``run_date`` and no other; return rows written.
+    """Replace what is published for ``run_date`` and nothing else; return rows written.
 
     Rows are gathered by ``cluster_by`` with a rebalance: adaptive execution cuts
     a hot date into several files and merges quiet ones, so no task has to hold a
-    whole date.  The old partition is swapped at commit, so a failed run keeps it;
-    only a rerun without rows overwrites its folder directly.
+    whole date; None leaves them as they come.  The rows form a new version that ``read_published`` sees once it
+    is whole, also if there are none; until then, and if the run fails, it sees the old one.  One run at
+    a time should publish a date; of two at once either stays, whole.
     """
     seen = Observation("published")
+    version = new_version(root, date_slot(run_date))
+    gathered = df.hint("rebalance", cluster_by) if cluster_by else df
     (
-        df.hint("rebalance", cluster_by)
-        .observe(seen, F.count(F.lit(1)).alias("rows"))
-        .withColumn("date", F.lit(run_date))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", compression)
-        .partitionBy("date")
-        .parquet(root)
+        gathered.observe(seen, F.count(F.lit(1)).alias("rows"))
+        .write.option("compression", compression)
+        .parquet(version.path)
     )
     rows = seen.get["rows"]
-    if rows == 0:
-        # A dynamic overwrite with no rows names no partition and would leave the
-        # previous run's rows in place.
-        path = f"{root.rstrip('/')}/date={run_date.isoformat()}"
-        df.limit(0).write.mode("overwrite").option("compression", compression).parquet(path)
+    point_to(df.sparkSession, version, rows)
     return rows

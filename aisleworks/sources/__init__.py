@@ -1,15 +1,19 @@
 from aisleworks.sources.csv_files import read_by_header, read_positional, read_with_rejects, split_rejects
 from aisleworks.sources.listing import list_files
 from aisleworks.sources.location import Location
+from aisleworks.sources.published import NothingPublishedError, published_paths, read_published
 from aisleworks.sources.tables import load_table, load_with_rejects, register_views, replace_table
 
 __all__ = [
     "Location",
+    "NothingPublishedError",
     "list_files",
     "load_table",
     "load_with_rejects",
+    "published_paths",
     "read_by_header",
     "read_positional",
+    "read_published",
     "read_with_rejects",
     "register_views",
     "replace_table",

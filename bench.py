@@ -56,7 +56,7 @@ def headline(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, Cal
         for day in (MID_DATE, LAST_DATE, MID_DATE):
             known = {name: sinks.snapshot(df, name, day) for name, df in facts.items()}
             sinks.write_partition(daily.kpi_daily(**known), root, day)
-        return spark.read.parquet(root)
+        return sources.read_published(spark, root)
 
     def audit() -> DataFrame:
         location = sources.Location(scratch_path(spark, "bench-export"))
@@ -67,7 +67,7 @@ def headline(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, Cal
         root = scratch_path(spark, "bench-output")
         sinks.export_snapshot(typed, landing, LAST_DATE)
         batch.run(spark, landing, root, LAST_DATE)
-        return spark.read.parquet(root)
+        return sources.read_published(spark, root)
 
     return {
         "kpi_daily": lambda: daily.kpi_daily(**facts),

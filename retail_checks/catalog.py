@@ -156,7 +156,7 @@ def sink_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     for day in (MID_DATE, LAST_DATE, MID_DATE):
         known = {name: sinks.snapshot(df, name, day) for name, df in tables.items()}
         sinks.write_partition(daily.kpi_daily(**known), root, day)
-    return spark.read.parquet(root)
+    return sources.read_published(spark, root)
 
 
 # Rows
@@ -337,7 +337,7 @@ def batch_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, root = _location(spark, "landing"), scratch_path(spark, "output")
     sinks.export_snapshot(derived.all_tables(spark, sf_dir), landing, LAST_DATE)
     batch.run(spark, landing, root, LAST_DATE)
-    return spark.read.parquet(root)
+    return sources.read_published(spark, root)
 
 
 QUERIES: dict[str, Query] = {

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ def test_rerun_replaces_one_date_only(spark, tmp_path):
     kept = files(tmp_path / f"date={a}")
     assert sinks.write_partition(kpis.where("id < 7"), str(tmp_path), b) == 7
     assert files(tmp_path / f"date={a}") == kept
-    back = spark.read.parquet(str(tmp_path))
+    back = sources.read_published(spark, str(tmp_path))
     assert dict(back.dtypes)["date"] == "date"
     assert {(r.date, r["count"]) for r in back.groupBy("date").count().collect()} == {
         (a, 100), (b, 7),
@@ -42,7 +43,7 @@ def test_rerun_without_rows_empties_its_partition(spark, tmp_path):
     for day in (a, b):
         sinks.write_partition(kpis, str(tmp_path), day)
     assert sinks.write_partition(kpis.where("id < 0"), str(tmp_path), b) == 0
-    back = spark.read.parquet(str(tmp_path))
+    back = sources.read_published(spark, str(tmp_path))
     assert [r.date for r in back.select("date").distinct().collect()] == [a]
 
 
@@ -56,8 +57,8 @@ def test_no_sale_on_a_calendar_day_publishes_an_empty_date(spark, shop, tmp_path
         df.write.parquet(str(tmp_path / name))
         stored[name] = spark.read.parquet(str(tmp_path / name))
     assert sinks.write_partition(kpi_daily(**stored), root, a) == 0
-    assert spark.read.parquet(root).columns == [*KPI_COLUMNS, "date"]
-    assert spark.read.parquet(root).count() == 0
+    assert sources.read_published(spark, root).columns == [*KPI_COLUMNS, "date"]
+    assert sources.read_published(spark, root).count() == 0
 
 
 def test_output_is_gzip_by_default(spark, tmp_path):
@@ -66,7 +67,8 @@ def test_output_is_gzip_by_default(spark, tmp_path):
     sinks.write_partition(
         spark.range(1).select(F.lit(DAY).alias("trans_dt")), str(tmp_path), DAY, compression="zstd"
     )
-    assert all(".zstd." in p.name for p in files(tmp_path))
+    (now,) = sources.published_paths(spark, str(tmp_path))  # the old version's files stay until cleaned
+    assert all(".zstd." in p.name for p in files(Path(now)))
 
 
 def test_snapshot_keeps_dimensions_whole(spark):
@@ -94,13 +96,13 @@ def landing(spark, tmp_path):
 def test_batch_publishes_the_daily_kpis(spark, landing, tmp_path):
     root = str(tmp_path / "out")
     rows = batch.run(spark, landing, root, LAST_DATE)
-    published = spark.read.parquet(root)
+    published = sources.read_published(spark, root)
     assert rows == published.count()
     want = kpi_daily(**derived.kpi_tables(spark, SF))
     got = published.where(F.col("date") == F.lit(LAST_DATE)).select(*KPI_COLUMNS)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert batch.run(spark, landing, root, LAST_DATE) == rows
-    assert spark.read.parquet(root).count() == rows
+    assert sources.read_published(spark, root).count() == rows
 
 
 def test_batch_stops_while_files_are_missing(spark, landing, tmp_path):
@@ -129,8 +131,6 @@ def test_batch_checks_keys_before_publishing(spark, shop, tmp_path):
 
 def half_written(landing, table="sales", keep=1):
     """Leave only some of an export's parts."""
-    from pathlib import Path
-
     parts = sorted(Path(landing.path(table, LAST_DATE)).glob("part-*"))
     for part in parts[keep:]:
         part.unlink()
@@ -156,8 +156,6 @@ def test_batch_refuses_an_export_that_lacks_a_part(spark, landing, tmp_path):
 
 def test_batch_compares_rows_with_the_manifest(spark, landing, tmp_path):
     """A file from elsewhere that lost its last lines, with a manifest that names no parts."""
-    from pathlib import Path
-
     for part in Path(landing.path("sales", LAST_DATE)).glob("part-*"):
         lines = part.read_text().splitlines(keepends=True)
         part.with_name(f".{part.name}.crc").unlink(missing_ok=True)
@@ -217,6 +215,8 @@ def test_commands_load_export_and_run(spark, landing, tmp_path, monkeypatch, cap
     again = call("run", LAST_DATE, "--landing", tmp_path / "out", "--output", tmp_path / "b")
     typed = call("run", LAST_DATE, "--tables", tmp_path / "tables", "--output", tmp_path / "c")
     assert first == again == typed and "rows published" in first
+    call("run", LAST_DATE, "--tables", tmp_path / "tables", "--output", tmp_path / "c")
+    assert "1 versions removed" in call("clean", "--output", tmp_path / "c", "--before", "2100-01-01")
 
 
 def test_loading_a_repeated_key_fails_and_keeps_the_old_table(spark, shop, tmp_path):

@@ -151,4 +151,4 @@ def test_hot_output_date_is_cut_into_several_files(spark, conf, tmp_path):
         F.lit(DAY).alias("trans_dt"), F.xxhash64("id").alias("noise")
     ).repartition(8)
     assert write_partition(kpis, str(tmp_path), DAY) == 200_000
-    assert len(list((tmp_path / f"date={DAY}").glob("*.parquet"))) > 3
+    assert len(list((tmp_path / f"date={DAY}").rglob("*.parquet"))) > 3
