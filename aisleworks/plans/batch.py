@@ -16,7 +16,7 @@ from aisleworks.scratch import scratch_path
 from aisleworks.session import require_ansi
 from aisleworks.sinks import write_partition
 from aisleworks.sources import Location, list_files, read_by_header
-from aisleworks.sources.manifests import IncompleteExportError, check_parts, counted
+from aisleworks.sources.manifests import check_listed, check_read, digested, read_manifest
 
 INPUTS = ("sales", "calendar", "inventory")
 
@@ -44,20 +44,19 @@ def check_ready(spark: SparkSession, landing: Location, run_date: dt.date) -> No
 def read_inputs(spark: SparkSession, landing: Location, run_date: dt.date) -> dict[str, DataFrame]:
     """The three tables the KPIs need, typed, and proven whole.
 
-    Each file is read once, into a scratch table; its parts are those of its manifest
-    and so is the number of rows that the read has seen.
+    Each file is read once, into a scratch table; the rows that the read has seen are those that
+    its manifest stands for, by number and digest.
     """
     root = scratch_path(spark, "inputs")
 
     def read_whole(table: str) -> DataFrame:
-        rows = check_parts(spark, landing, table, run_date)
+        manifest = read_manifest(spark, landing, table, run_date)
+        if manifest.listed:
+            check_listed(spark, landing, table, run_date)
         read = read_by_header(spark, landing, table, schemas.TABLES[table], run_date)
-        observed, seen = counted(read)
+        observed, seen = digested(read, table)
         observed.write.parquet(f"{root}/{table}")
-        if seen.get["rows"] != rows:
-            raise IncompleteExportError(
-                f"{table} for {run_date}: {seen.get['rows']} rows read, its manifest has {rows}"
-            )
+        check_read(spark, landing, table, run_date, manifest, seen.get)
         return spark.read.schema(read.schema).parquet(f"{root}/{table}")
 
     # Independent jobs, submitted together.

@@ -36,11 +36,13 @@ def read_by_header(
     table: str,
     schema: T.StructType,
     day: dt.date | None = None,
+    part: str | None = None,
 ) -> DataFrame:
     """Match columns by header name, in any order and case, then type them.
 
     Only the columns a query uses are parsed.  All part files of one export must
     share a header; one that differs fails the read instead of mixing columns.
+    ``part`` names a column for the name of each row's file.
     """
     require_ansi(spark)
     raw = (
@@ -53,7 +55,8 @@ def read_by_header(
     absent = [f.name for f in schema.fields if f.name.lower() not in found]
     if absent:
         raise ValueError(f"{location.path(table, day)} lacks columns {absent}")
-    return raw.select([_typed(raw[f"`{found[f.name.lower()]}`"], f) for f in schema.fields])
+    named = [raw["_metadata.file_name"].alias(part)] if part else []
+    return raw.select([*(_typed(raw[f"`{found[f.name.lower()]}`"], f) for f in schema.fields), *named])
 
 
 def _text_by_position(

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aisleworks import schemas, sinks, sources, streaming
@@ -19,6 +20,7 @@ from aisleworks.operators.aggregates import DAY_KEY
 from aisleworks.operators.windows import with_last_sales
 from aisleworks.plans import batch, daily, kpi_by_market_category, kpi_weekly
 from aisleworks.scratch import scratch_path
+from aisleworks.sources.manifests import manifest_lines
 from retail_checks import derived
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,6 +151,23 @@ def export_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.audit_frame(spark, rows)
 
 
+def export_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each export by the lines of its parts, and whether their digests add up to the whole export's."""
+    location = _location(spark, "manifests")
+    tables = derived.all_tables(spark, sf_dir)
+    sinks.export_snapshot(tables, location, MID_DATE)
+    lines = reduce(DataFrame.unionByName, (manifest_lines(spark, location, name, MID_DATE) for name in tables))
+
+    def adds_up(name: str) -> Column:
+        parts = F.coalesce(F.sum(F.when(F.col("part").isNotNull(), F.col(name))), F.lit(0))
+        return parts == F.max(F.when(F.col("part").isNull(), F.col(name)))
+
+    return lines.groupBy("table_name").agg(
+        F.coalesce(F.sum(F.when(F.col("part").isNotNull(), F.col("rows"))), F.lit(0)).alias("rows"),
+        (adds_up("rows") & adds_up("high") & adds_up("low")).alias("adds_up"),
+    )
+
+
 def sink_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two run dates published, the first one published again."""
     root = scratch_path(spark, "publish")
@@ -357,6 +376,7 @@ QUERIES: dict[str, Query] = {
     "export_snapshot_store": _export_readback("store"),
     "export_snapshot_product": _export_readback("product"),
     "export_audit": export_audit,
+    "export_manifests": export_manifests,
     "sink_partition_overwrite": sink_partition_overwrite,
     "kpi_base": kpi_base,
     "join_calendar": join_calendar,

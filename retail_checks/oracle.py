@@ -239,6 +239,14 @@ ORACLE: dict[str, str] = {
             UNION ALL SELECT 'sales', COUNT(*) FROM sales WHERE trans_dt <= DATE '{MID_DATE}'
             UNION ALL SELECT 'store', COUNT(*) FROM store""",
     ),
+    "export_manifests": _with(
+        _tables("sales", "stock_feed", "inventory", "calendar", "store", "product"),
+        f"""SELECT 'calendar' AS table_name, COUNT(*) AS rows, TRUE AS adds_up FROM calendar
+            UNION ALL SELECT 'inventory', COUNT(*), TRUE FROM inventory WHERE cal_dt <= DATE '{MID_DATE}'
+            UNION ALL SELECT 'product', COUNT(*), TRUE FROM product
+            UNION ALL SELECT 'sales', COUNT(*), TRUE FROM sales WHERE trans_dt <= DATE '{MID_DATE}'
+            UNION ALL SELECT 'store', COUNT(*), TRUE FROM store""",
+    ),
     "sink_partition_overwrite": (
         f"SELECT * FROM ({_published(MID_DATE)}) "
         f"UNION ALL SELECT * FROM ({_published(LAST_DATE)})"

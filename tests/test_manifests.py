@@ -1,0 +1,143 @@
+"""Manifests know the content of an export, part by part."""
+
+from __future__ import annotations
+
+import json
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from aisleworks import schemas, sinks, sources
+from aisleworks.plans import batch
+from aisleworks.sources import manifests
+from aisleworks.sources.manifests import IncompleteExportError
+from retail_checks import derived
+from retail_checks.catalog import LAST_DATE
+from tests.conftest import DAY
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def landing(spark, tmp_path):
+    place = sources.Location(str(tmp_path / "landing"))
+    tables = derived.all_tables(spark, SF)
+    tables["sales"] = tables["sales"].repartition(4)
+    sinks.export_snapshot(tables, place, LAST_DATE)
+    return place
+
+
+def parts(landing, table="sales"):
+    return sorted(Path(landing.path(table, LAST_DATE)).glob("part-*"))
+
+
+def rewrite(part, text):
+    part.with_name(f".{part.name}.crc").unlink(missing_ok=True)
+    part.write_text(text)
+
+
+def run(spark, landing, tmp_path):
+    return batch.run(spark, landing, str(tmp_path / "out"), LAST_DATE)
+
+
+def test_one_altered_value_in_one_part_stops_the_batch(spark, landing, tmp_path):
+    part = parts(landing)[2]
+    lines = part.read_text().splitlines(keepends=True)
+    values = lines[5].split(",")
+    values[5] = f"{float(values[5]) + 1:.2f}"  # same rows, same columns, another quantity
+    rewrite(part, "".join([*lines[:5], ",".join(values), *lines[6:]]))
+    with pytest.raises(IncompleteExportError, match=rf"altered parts \['{part.name}'\]"):
+        run(spark, landing, tmp_path)
+    assert not (tmp_path / "out").exists()
+
+
+def test_a_row_moved_to_another_part_is_no_loss(spark, landing, tmp_path):
+    """The rows are all there, so nothing is wrong with the export."""
+    first, second = parts(landing)[:2]
+    lines = first.read_text().splitlines(keepends=True)
+    rewrite(first, "".join(lines[:-1]))
+    rewrite(second, second.read_text() + lines[-1])
+    assert run(spark, landing, tmp_path) > 0
+
+
+def test_swapped_rows_and_a_part_too_many(spark, landing, tmp_path):
+    part = parts(landing)[0]
+    lines = part.read_text().splitlines(keepends=True)
+    rewrite(part, "".join([lines[0], lines[1], *lines[1:2], *lines[3:]]))  # one row twice, another lost
+    with pytest.raises(IncompleteExportError, match="altered parts"):
+        run(spark, landing, tmp_path)
+    rewrite(part, "".join(lines))
+    rewrite(part.with_name("part-extra.csv"), "".join(lines[:3]))
+    with pytest.raises(IncompleteExportError, match=r"unknown parts \['part-extra.csv'\]"):
+        run(spark, landing, tmp_path)
+
+
+def test_manifest_has_a_line_for_each_part_and_one_for_all(spark, landing):
+    lines = manifests.manifest_lines(spark, landing, "sales", LAST_DATE).collect()
+    whole = [row for row in lines if row.part is None]
+    named = [row for row in lines if row.part is not None]
+    assert len(whole) == 1 and whole[0].rows == 6000
+    assert sorted(row.part for row in named) == [part.name for part in parts(landing)]
+    for name in ("rows", "high", "low"):
+        assert sum(row[name] for row in named) == whole[0][name]
+    folder = Path(landing.manifest_path("sales", LAST_DATE))
+    assert len(list(folder.glob("part-*"))) == 1
+
+
+def test_an_export_that_does_not_read_back_gets_no_manifest(spark, tmp_path):
+    """Text that spells the NULL mark, and line breaks in a location whose files are split at lines."""
+    place = sources.Location(str(tmp_path))
+    store = derived.store(spark, SF)
+    for text in ("\\N", "two\nlines"):
+        bad = store.withColumn("city", F.when(F.col("store_key") == 3, F.lit(text)).otherwise(F.col("city")))
+        with pytest.raises(Exception, match="read as|MALFORMED"):
+            sinks.export_snapshot({"store": bad}, place, DAY)
+        with pytest.raises(IncompleteExportError, match="no manifest"):
+            manifests.read_manifest(spark, place, "store", DAY)
+    whole = sources.Location(str(tmp_path), multi_line=True)
+    assert sinks.export_snapshot({"store": bad}, whole, DAY) == {"store": 5}
+
+
+def test_without_verification_the_whole_digest_is_still_compared(spark, tmp_path):
+    place = sources.Location(str(tmp_path / "landing"))
+    sinks.export_snapshot(derived.all_tables(spark, SF), place, LAST_DATE, verify=False)
+    assert run(spark, place, tmp_path) > 0
+    part = parts(place, "inventory")[0]
+    rewrite(part, part.read_text().replace(",false,", ",true,", 1))
+    with pytest.raises(IncompleteExportError, match="not the same ones"):
+        run(spark, place, tmp_path)
+
+
+def test_manifests_from_elsewhere(spark, landing, tmp_path):
+    """Rows alone, rows and names, and a digest that is wrong."""
+    whole = manifests.read_manifest(spark, landing, "sales", LAST_DATE)
+    path = Path(landing.manifest_path("sales", LAST_DATE))
+    for old in list(path.iterdir()):
+        old.unlink()
+    line = {"table_name": "sales", "business_date": str(LAST_DATE), "rows": whole.rows}
+
+    def deliver(**more):
+        (path / "sales.json").write_text(json.dumps(line | more))
+        return run(spark, landing, tmp_path)
+
+    names = [part.name for part in parts(landing)]
+    assert deliver() == deliver(parts=names) == deliver(high=whole.high, low=whole.low)
+    with pytest.raises(IncompleteExportError, match="missing parts"):
+        deliver(parts=[*names, "part-more.csv"])
+    with pytest.raises(IncompleteExportError, match="unknown parts"):
+        deliver(parts=names[1:])
+    with pytest.raises(IncompleteExportError, match="not the same ones"):
+        deliver(high=whole.high + 1, low=whole.low)
+    with pytest.raises(IncompleteExportError, match="rows read"):
+        deliver(rows=whole.rows + 1)
+
+
+def test_an_empty_table_has_a_manifest(spark, tmp_path, shop):
+    place = sources.Location(str(tmp_path))
+    sinks.export_snapshot({"sales": shop.sales()}, place, DAY)
+    found = manifests.read_manifest(spark, place, "sales", DAY)
+    assert (found.rows, found.high, found.low) == (0, 0, 0)
+    seen = dict(rows=0, high=0, low=0)
+    manifests.check_read(spark, place, "sales", DAY, found, seen)
+    assert sources.read_by_header(spark, place, "sales", schemas.SALES, DAY, part="part").columns[-1] == "part"
