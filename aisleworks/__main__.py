@@ -7,7 +7,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from aisleworks.plans.batch import run, run_tables
+from aisleworks.plans.batch import rerun, run, run_tables
 from aisleworks.schemas import TABLES
 from aisleworks.session import build_session
 from aisleworks.sinks import export_snapshot
@@ -36,7 +36,11 @@ def _publish(spark: SparkSession, given: argparse.Namespace) -> str:
     if given.tables:
         rows = run_tables(spark, _stored(spark, given.tables), given.output, given.run_date, check_keys=False)
     else:
-        rows = run(spark, Location(given.landing, null_value=given.null_value), given.output, given.run_date)
+        landing = Location(given.landing, null_value=given.null_value)
+        if given.since:
+            rows = rerun(spark, landing, given.output, given.since, given.run_date)
+        else:
+            rows = run(spark, landing, given.output, given.run_date)
     return f"{rows} rows published"
 
 
@@ -57,6 +61,9 @@ def main() -> None:
     load = commands.add_parser("load", parents=[shared], help="load <table>.csv of all five tables")
     export = commands.add_parser("export", parents=[shared], help="export a snapshot of all five tables")
     publish = commands.add_parser("run", parents=[shared], help="publish the KPIs of a run date")
+    publish.add_argument(
+        "--since", type=dt.date.fromisoformat, help="a published date: compute only what its files and the run date's differ in"
+    )
     cleaning = commands.add_parser("clean", parents=[shared], help="remove versions that no reader needs any more")
     cleaning.add_argument("--before", type=_moment, required=True, help="ISO time, UTC unless it names a zone: readers may be as old")
     for command in (export, publish):
@@ -70,6 +77,8 @@ def main() -> None:
     for command in (publish, cleaning):
         command.add_argument("--output", required=True, help="root of the date= partitions")
     given = args.parse_args()
+    if getattr(given, "since", None) and not given.landing:
+        args.error("--since compares files: give --landing")
     spark = build_session("aisleworks")
     print({"load": _load, "export": _export, "run": _publish, "clean": _clean}[given.command](spark, given))
     spark.stop()

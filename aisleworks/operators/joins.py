@@ -7,6 +7,9 @@ is) and shuffles both sides beyond that.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +35,10 @@ def join_inventory(sales: DataFrame, inventory: DataFrame) -> DataFrame:
         "out_of_stock_flg",
     )
     return sales.join(stock, ["trans_dt", "store_key", "prod_key"], "left")
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "inner") -> DataFrame:
+    """``left`` with the other columns of ``right`` where ``columns`` are equal, NULL to NULL."""
+    other = right.withColumnsRenamed({c: f"_{c}" for c in columns})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
+    return left.join(other, same, how).drop(*[f"_{c}" for c in columns])

@@ -2,6 +2,7 @@ from aisleworks.plans.daily import (
     kpi_agg, kpi_base, kpi_daily, week_out_of_stock_running, with_ratios,
 )
 from aisleworks.plans.market import kpi_by_market_category
+from aisleworks.plans.restate import restate
 from aisleworks.plans.weekly import kpi_weekly
 
 __all__ = [
@@ -10,6 +11,7 @@ __all__ = [
     "kpi_by_market_category",
     "kpi_daily",
     "kpi_weekly",
+    "restate",
     "week_out_of_stock_running",
     "with_ratios",
 ]

@@ -12,10 +12,11 @@ from aisleworks import schemas
 from aisleworks.operators.checks import require_unique
 from aisleworks.operators.readiness import missing_files, required_files
 from aisleworks.plans.daily import kpi_daily
+from aisleworks.plans.restate import restate
 from aisleworks.scratch import scratch_path
 from aisleworks.session import require_ansi
 from aisleworks.sinks import write_partition
-from aisleworks.sources import Location, list_files, read_by_header
+from aisleworks.sources import Location, list_files, read_by_header, read_published
 from aisleworks.sources.manifests import check_listed, check_read, digested, read_manifest
 
 INPUTS = ("sales", "calendar", "inventory")
@@ -85,6 +86,45 @@ def run_tables(
     return write_partition(kpi_daily(**inputs), output_root, run_date)
 
 
+def restate_tables(
+    spark: SparkSession,
+    before: Mapping[str, DataFrame],
+    after: Mapping[str, DataFrame],
+    output_root: str,
+    previous: dt.date,
+    run_date: dt.date,
+    check_keys: bool = True,
+) -> int:
+    """``run_tables`` over ``after``, from what ``previous`` has published and how ``before`` differs.
+
+    ``before`` holds the tables that the published rows of ``previous`` were made of.  Rows are written as they come,
+    so those of unchanged dates are copied without a shuffle.
+    """
+    require_ansi(spark)
+    sides = [{table: side[table] for table in INPUTS} for side in (before, after)]
+    if check_keys:
+        for table in ("calendar", "inventory"):
+            require_unique(sides[1][table], schemas.UNIQUE_KEYS[table], table)
+    published = read_published(spark, output_root, [previous])
+    return write_partition(restate(published, *sides), output_root, run_date, cluster_by=None)
+
+
+def rerun(
+    spark: SparkSession,
+    landing: Location,
+    output_root: str,
+    previous: dt.date,
+    run_date: dt.date,
+    check_keys: bool = True,
+) -> int:
+    """``run``, from what ``previous`` has published and how its files differ from those of ``run_date``."""
+    require_ansi(spark)
+    for day in (previous, run_date):
+        check_ready(spark, landing, day)
+    before, after = (read_inputs(spark, landing, day) for day in (previous, run_date))
+    return restate_tables(spark, before, after, output_root, previous, run_date, check_keys)
+
+
 def run(
     spark: SparkSession,
     landing: Location,

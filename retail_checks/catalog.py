@@ -28,6 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # A date inside the data, so a snapshot drops some rows, and one after all of it.
 MID_DATE = dt.date(1998, 9, 2)
 LAST_DATE = dt.date(2001, 12, 31)
+EARLY_DATE = dt.date(2001, 10, 15)
 
 STOCK_KEY = (*DAY_KEY, "week_end_stock_on_hand", "week_end_ordered_stock")
 LANDING = "s3://landing/raw"
@@ -37,6 +38,14 @@ def _location(spark: SparkSession, label: str) -> sources.Location:
     return sources.Location(scratch_path(spark, label))
 
 
+def _stored_tables(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables written once, for queries that read them more than once."""
+    root = scratch_path(spark, "tables")
+    for name, df in tables.items():
+        df.write.parquet(f"{root}/{name}")
+    return {name: spark.read.schema(df.schema).parquet(f"{root}/{name}") for name, df in tables.items()}
+
+
 def _exported(spark: SparkSession, df: DataFrame, table: str, day: dt.date, label: str):
     location = _location(spark, label)
     sinks.export_snapshot({table: df}, location, day)
@@ -359,6 +368,26 @@ def batch_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_published(spark, root)
 
 
+def kpi_restated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published once before two weeks were corrected and the last weeks came in, then restated by difference."""
+    after = _stored_tables(spark, derived.kpi_tables(spark, sf_dir))
+    order, sales, stocks = F.col("trans_id"), after["sales"], after["inventory"]
+    corrected = F.col("trans_dt").between(F.date_sub(F.lit(MID_DATE), 14), F.lit(MID_DATE))
+    known = sales.where(F.col("trans_dt") <= F.lit(EARLY_DATE)).where(~(corrected & (order % 7 == 0)))
+    wrong = known.withColumn("sales_amt", F.when(corrected & (order % 3 == 0), F.col("sales_amt") + 5)
+                             .otherwise(F.col("sales_amt")).cast("decimal(18,2)"))
+    sold = wrong.unionByName(known.where(corrected & (order % 5 == 0)))
+    moved = F.col("cal_dt").between(F.date_sub(F.lit(MID_DATE), 14), F.lit(MID_DATE)) & (F.col("store_key") == 2)
+    counted = stocks.where(F.col("cal_dt") <= F.lit(EARLY_DATE)).withColumn(
+        "inventory_on_hand_qty", (F.col("inventory_on_hand_qty") + moved.cast("int")).cast("decimal(18,2)")
+    )
+    before = {**after, **_stored_tables(spark, {"sales": sold, "inventory": counted})}
+    root = scratch_path(spark, "restated")
+    batch.run_tables(spark, before, root, EARLY_DATE)
+    batch.restate_tables(spark, before, after, root, EARLY_DATE, LAST_DATE)
+    return sources.read_published(spark, root, [LAST_DATE])
+
+
 QUERIES: dict[str, Query] = {
     "scan_csv_header": scan_csv_header,
     "load_typed_csv": _load("sales"),
@@ -403,4 +432,5 @@ QUERIES: dict[str, Query] = {
     "ready_manifest_json": ready_manifest_json,
     "readiness_stream": readiness_stream,
     "batch_end_to_end": batch_end_to_end,
+    "kpi_restated": kpi_restated,
 }

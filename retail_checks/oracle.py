@@ -349,4 +349,5 @@ ORACLE: dict[str, str] = {
                   FROM status WHERE ready)""",
     ),
     "batch_end_to_end": _published(LAST_DATE),
+    "kpi_restated": _published(LAST_DATE),
 }
