@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aisleworks.operators.aggregates import DAY_KEY, WEEK_KEY
-from aisleworks.operators.joins import join_inventory
+from aisleworks.operators.joins import join_inventory, join_null_safe
+from aisleworks.operators.prefix import plus, running_sum
 
 
 def with_last_sales(kpis: DataFrame) -> DataFrame:
@@ -33,9 +33,7 @@ def stock_days(dated_sales: DataFrame, inventory: DataFrame) -> DataFrame:
     one: those out of stock, and those whose repeated stock rows disagree.  Sales are
     counted per day before they meet stock, so a window holds a week's days only.
     """
-    traded = dated_sales.groupBy(*DAY_KEY).agg(
-        F.count(F.lit(1)).alias("sold"), F.min("trans_id").alias("low"), F.max("trans_id").alias("high")
-    )
+    traded = dated_sales.groupBy(*DAY_KEY).agg(F.count(F.lit(1)).alias("sold"))
     flag = F.col("out_of_stock_flg")
     day = Window.partitionBy(*DAY_KEY)
     upto = Window.partitionBy(*WEEK_KEY).orderBy("trans_dt")  # with the day itself
@@ -54,9 +52,6 @@ def stock_days(dated_sales: DataFrame, inventory: DataFrame) -> DataFrame:
     return stocked.select(
         *DAY_KEY,
         flag,
-        "low",
-        "high",
-        F.sqrt(F.col("sold") * F.col("copies")).alias("parts"),
         F.when(
             F.col("all_flags") > F.col("own_flags"), F.col("all") - F.coalesce("own", F.lit(0))
         ).alias("carry"),
@@ -64,49 +59,21 @@ def stock_days(dated_sales: DataFrame, inventory: DataFrame) -> DataFrame:
     )
 
 
-def _joined(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``left`` with the other columns of ``right`` where ``columns`` are equal, NULL to NULL."""
-    other = right.withColumnsRenamed({c: f"_{c}" for c in columns})
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
-    return left.join(other, same).drop(*[f"_{c}" for c in columns])
-
-
-def _plus(*terms: Column) -> Column:
-    """Sum of the terms that are not NULL; NULL if all are."""
-    total = reduce(lambda a, b: a + b, [F.coalesce(t, F.lit(0)) for t in terms])
-    return F.when(F.coalesce(*terms).isNotNull(), total)
-
-
 def running_out_of_stock(
-    dated_sales: DataFrame, inventory: DataFrame, order: Sequence[str], name: str
+    dated_sales: DataFrame, inventory: DataFrame, order: Sequence[str], name: str, ranges: int | None = None
 ) -> DataFrame:
     """Running sum of the out-of-stock flag over the sales of a week, store and product.
 
-    ``order`` begins with the day and the transaction.  Where a whole day has flag 0 or none,
-    its sales need only the carry.  Other days are cut into about sqrt(n) ranges of
-    transactions; a range is summed by one task and adds what the day's earlier ranges
-    hold, so no task sorts more than a range, however many sales a day has.
+    ``order`` begins with the day.  Where a whole day has flag 0 or none, its sales need only the carry.  Sales of
+    other days are summed up to each within their day by a prefix scan, whose ranges cut through days and
+    transactions alike; they are stored for it when this is called.
     """
     sales = dated_sales.select(*WEEK_KEY, *order)
-    found = _joined(sales, stock_days(dated_sales, inventory), DAY_KEY)
+    found = join_null_safe(sales, stock_days(dated_sales, inventory), DAY_KEY)
     flag = F.col("out_of_stock_flg")
     kept = [*WEEK_KEY, *order]
-
-    plain = found.where(~F.col("numbered")).select(*kept, _plus(F.col("carry"), flag).alias(name))
-
-    width = (F.col("high").cast("double") - F.col("low").cast("double")) / F.col("parts") + 1
-    place = F.floor((F.col("trans_id").cast("double") - F.col("low").cast("double")) / width)
-    ranged = found.where("numbered").withColumn("part", F.coalesce(place, F.lit(-1)))
-    part = [*DAY_KEY, "part"]
-    earlier = Window.partitionBy(*DAY_KEY).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = ranged.groupBy(*part).agg(F.sum(flag).alias("held")).select(
-        *part, F.sum("held").over(earlier).alias("before")
-    )
-    own = F.sum(flag).over(
-        Window.partitionBy(*part).orderBy(*order, "out_of_stock_flg")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    counted = _joined(ranged.withColumn("own", own), before, part).select(
-        *kept, _plus(F.col("carry"), F.col("before"), F.col("own")).alias(name)
-    )
-    return plain.unionByName(counted)
+    plain = found.where(~F.col("numbered")).select(*kept, plus(F.col("carry"), flag).alias(name))
+    numbered = found.where("numbered").select(*kept, "out_of_stock_flg", "carry")
+    within = [c for c in order if c not in DAY_KEY]
+    counted = running_sum(numbered, DAY_KEY, [*within, "out_of_stock_flg"], "out_of_stock_flg", "_day", ranges)
+    return plain.unionByName(counted.select(*kept, plus(F.col("carry"), F.col("_day")).alias(name)))
