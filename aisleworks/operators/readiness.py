@@ -34,13 +34,16 @@ def required_files(days: DataFrame) -> DataFrame:
     )
 
 
+def manifest_of(path: Column) -> tuple[Column, Column]:
+    """Table and business date of a manifest's path; the date is NULL for other files."""
+    return F.regexp_extract(path, _NAME, 1), F.try_to_date(F.regexp_extract(path, _NAME, 2), "yyyy-MM-dd")
+
+
 def arrived_files(listing: DataFrame) -> DataFrame:
     """Table and business date of each listed manifest; other files are ignored."""
+    table, day = manifest_of(F.col("path"))
     return (
-        listing.select(
-            F.regexp_extract("path", _NAME, 1).alias("table_name"),
-            F.try_to_date(F.regexp_extract("path", _NAME, 2), "yyyy-MM-dd").alias("business_date"),
-        )
+        listing.select(table.alias("table_name"), day.alias("business_date"))
         .where((F.col("table_name") != "") & F.col("business_date").isNotNull())
         .withColumn("file_name", file_name(F.col("table_name"), F.col("business_date")))
     )

@@ -11,14 +11,14 @@ from aisleworks.operators.readiness import REQUIRED, arrival_flags, arrived_file
 
 
 def file_arrivals(spark: SparkSession, root: str) -> DataFrame:
-    """New files below a landing folder, as a stream of paths."""
+    """New files below a landing folder, as a stream of paths and when they were written."""
     schema = "path string, modificationTime timestamp, length long, content binary"
     return (
         spark.readStream.format("binaryFile")
         .schema(schema)
         .option("recursiveFileLookup", True)
         .load(root)
-        .select("path")
+        .select("path", "modificationTime")
     )
 
 

@@ -360,6 +360,23 @@ def readiness_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readiness.readiness_status(required, streaming.current_flags(spark, output))
 
 
+def readiness_deadlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each date announced, its files as they were seen, and one event long after: which dates were complete in a day?"""
+    required = readiness.required_files(derived.business_days(spark, sf_dir))
+    feed, output, state = (scratch_path(spark, f"deadlines-{part}") for part in "abc")
+    announced = streaming.announcements(required.select("business_date").distinct())
+    after_all = F.timestamp_seconds(F.max(F.unix_date("business_date")).cast("long") * 86400 + 10 * 86400)
+    later = required.agg(after_all.alias("seen_at")).select(
+        F.lit(None).cast("date").alias("business_date"), F.lit(None).cast("string").alias("table_name"), "seen_at"
+    )
+    announced.unionByName(derived.arrivals(required)).unionByName(later).write.parquet(feed)
+    events = spark.readStream.schema(streaming.EVENTS).parquet(feed)
+    streaming.watch_deadlines(events, output, state, dt.timedelta(days=1)).awaitTermination()
+    return streaming.verdicts(spark, output).select(
+        "business_date", "status", F.unix_seconds("at").alias("at_s"), "files_missing"
+    )
+
+
 def batch_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export all five tables, pass the gate, publish the KPIs, read them back."""
     landing, root = _location(spark, "landing"), scratch_path(spark, "output")
@@ -431,6 +448,7 @@ QUERIES: dict[str, Query] = {
     "readiness_by_date": readiness_by_date,
     "ready_manifest_json": ready_manifest_json,
     "readiness_stream": readiness_stream,
+    "readiness_deadlines": readiness_deadlines,
     "batch_end_to_end": batch_end_to_end,
     "kpi_restated": kpi_restated,
 }

@@ -220,6 +220,17 @@ def listing(required: DataFrame, root: str) -> DataFrame:
     )
 
 
+def arrivals(required: DataFrame) -> DataFrame:
+    """When each required file is seen, up to 29 hours into its date; every thirteenth never is."""
+    index = F.array_position(F.array(*[F.lit(t) for t in REQUIRED]), F.col("table_name")) - 1
+    days = _days(F.col("business_date"))
+    hours = (days * 11 + index * 5) % 30
+    return required.where((days * 7 + index * 3) % 13 != 0).select(
+        "business_date", "table_name",
+        F.timestamp_seconds(F.unix_date("business_date").cast("long") * 86400 + hours * 3600).alias("seen_at"),
+    )
+
+
 # The same tables as DuckDB common table expressions.
 
 _DN = f"date_diff('day', DATE '{EPOCH}', {{day}})"
@@ -318,6 +329,13 @@ SQL_TABLES: dict[str, str] = {
         FROM (SELECT business_date,
                      unnest(['calendar', 'inventory', 'product', 'sales', 'store']) AS table_name
               FROM business_days)""",
+    "seen": f"""
+        SELECT business_date, table_name,
+               ({_DN.format(day="business_date")} * 7 + idx * 3) % 13 = 0 AS gone,
+               ({_DN.format(day="business_date")} * 11 + idx * 5) % 30 AS hours
+        FROM required
+        JOIN (VALUES ('calendar', 0), ('inventory', 1), ('product', 2), ('sales', 3),
+                     ('store', 4)) AS i(name, idx) ON name = table_name""",
     "listed": f"""
         SELECT file_name, business_date, table_name FROM required
         JOIN (VALUES ('calendar', 0), ('inventory', 1), ('product', 2), ('sales', 3),

@@ -348,6 +348,15 @@ ORACLE: dict[str, str] = {
             FROM (SELECT business_date, strftime(business_date, '%Y-%m-%d') AS d
                   FROM status WHERE ready)""",
     ),
+    "readiness_deadlines": _with(
+        _tables("business_days", "required", "seen"),
+        """SELECT business_date,
+                  CASE WHEN bool_and(NOT gone AND hours <= 24) THEN 'complete' ELSE 'overdue' END AS status,
+                  CAST(epoch(business_date) AS BIGINT)
+                    + CASE WHEN bool_and(NOT gone AND hours <= 24) THEN max(hours) * 3600 ELSE 86400 END AS at_s,
+                  coalesce(string_agg(table_name, ',' ORDER BY table_name) FILTER (gone OR hours > 24), '') AS files_missing
+           FROM seen GROUP BY business_date""",
+    ),
     "batch_end_to_end": _published(LAST_DATE),
     "kpi_restated": _published(LAST_DATE),
 }
