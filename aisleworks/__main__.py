@@ -11,12 +11,12 @@ from aisleworks.plans.batch import rerun, run, run_tables
 from aisleworks.schemas import TABLES
 from aisleworks.session import build_session
 from aisleworks.sinks import export_snapshot
-from aisleworks.sources import Location, load_table
+from aisleworks.sources import Location, load_table, read_table
 from aisleworks.versions import clean
 
 
 def _stored(spark: SparkSession, root: str) -> dict:
-    return {name: spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in TABLES.items()}
+    return {name: read_table(spark, f"{root}/{name}", schema) for name, schema in TABLES.items()}
 
 
 def _load(spark: SparkSession, given: argparse.Namespace) -> str:

@@ -2,11 +2,15 @@ from aisleworks.sources.csv_files import read_by_header, read_positional, read_w
 from aisleworks.sources.listing import list_files
 from aisleworks.sources.location import Location
 from aisleworks.sources.published import NothingPublishedError, published_paths, read_published
-from aisleworks.sources.tables import load_table, load_with_rejects, register_views, replace_table
+from aisleworks.sources.tables import (
+    RejectBudget, RejectBudgetError, load_table, load_with_rejects, read_split, read_table, register_views, replace_table,
+)
 
 __all__ = [
     "Location",
     "NothingPublishedError",
+    "RejectBudget",
+    "RejectBudgetError",
     "list_files",
     "load_table",
     "load_with_rejects",
@@ -14,6 +18,8 @@ __all__ = [
     "read_by_header",
     "read_positional",
     "read_published",
+    "read_split",
+    "read_table",
     "read_with_rejects",
     "register_views",
     "replace_table",

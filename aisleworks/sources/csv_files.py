@@ -113,8 +113,8 @@ def read_with_rejects(
     columns, so later column pruning cannot weaken it.  Using both frames reads the
     file twice; ``split_rejects`` keeps one pass.
     """
-    marked = _marked(spark, location, table, schema, day)
-    return _good(marked.where(~F.col("rejected")), schema), _bad(marked.where("rejected"), schema)
+    marked = marked_rows(spark, location, table, schema, day)
+    return good_rows(marked, schema), bad_rows(marked, schema)
 
 
 def split_rejects(
@@ -126,14 +126,14 @@ def split_rejects(
     day: dt.date | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The same two frames from one pass: the file is read once and written, split, to ``target``."""
-    marked = _marked(spark, location, table, schema, day)
+    marked = marked_rows(spark, location, table, schema, day)
     marked.write.mode("overwrite").partitionBy("rejected").parquet(target)
     stored = spark.read.schema(marked.schema).parquet(target)
-    return _good(stored.where(~F.col("rejected")), schema), _bad(stored.where("rejected"), schema)
+    return good_rows(stored, schema), bad_rows(stored, schema)
 
 
-def _marked(
-    spark: SparkSession, location: Location, table: str, schema: T.StructType, day: dt.date | None
+def marked_rows(
+    spark: SparkSession, location: Location, table: str, schema: T.StructType, day: dt.date | None = None
 ) -> DataFrame:
     """Typed values of good lines in ``good``, all values of bad ones in ``bad``, and which it is."""
     raw = _text_by_position(spark, location, table, schema, day, "PERMISSIVE")
@@ -158,11 +158,18 @@ def _marked(
     )
 
 
-def _good(marked: DataFrame, schema: T.StructType) -> DataFrame:
-    return marked.select([F.col("good")[name].alias(name) for name in schema.names])
+def rule_counts(schema: T.StructType) -> dict[str, Column]:
+    """Aggregates over marked rows: how many break each rule, by column, and ``*`` for lines of another length."""
+    named = F.split("bad_columns", ",")
+    tested = [f.name for f in schema.fields if not (isinstance(f.dataType, T.StringType) and f.nullable)]
+    return {rule: F.count_if(F.col("rejected") & F.array_contains(named, rule)) for rule in (*tested, "*")}
 
 
-def _bad(marked: DataFrame, schema: T.StructType) -> DataFrame:
-    return marked.select(
+def good_rows(marked: DataFrame, schema: T.StructType) -> DataFrame:
+    return marked.where(~F.col("rejected")).select([F.col("good")[name].alias(name) for name in schema.names])
+
+
+def bad_rows(marked: DataFrame, schema: T.StructType) -> DataFrame:
+    return marked.where("rejected").select(
         *[F.col("bad")[name].alias(name) for name in schema.names], "bad_columns", "raw_line"
     )

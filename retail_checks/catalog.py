@@ -116,6 +116,17 @@ def load_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, sf_dir)[0]
 
 
+def load_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load tells that has far more rejects than its budget, and so publishes nothing."""
+    target = scratch_path(spark, "table-refused")
+    try:
+        sources.load_with_rejects(spark, _damaged(spark, sf_dir), "sales", target, budget=sources.RejectBudget(rows=0))
+        counts = []
+    except sources.RejectBudgetError as err:
+        counts = [("rows", err.rows), ("rejected", err.rejected), *((rule, n) for rule, n in err.counts.items() if n)]
+    return spark.createDataFrame(counts, "rule string, rows bigint")
+
+
 def inventory_key_dupes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run on the raw stock feed, where keys do repeat."""
     return checks.duplicate_keys(derived.stock_feed(spark, sf_dir), schemas.INVENTORY_KEY)
@@ -414,6 +425,7 @@ QUERIES: dict[str, Query] = {
     "load_typed_product": _load("product"),
     "load_rejects": load_rejects,
     "load_accepted": load_accepted,
+    "load_reject_counts": load_reject_counts,
     "inventory_key_dupes": inventory_key_dupes,
     "list_files": list_files,
     "export_snapshot": _export_readback("sales"),

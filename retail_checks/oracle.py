@@ -215,6 +215,14 @@ ORACLE: dict[str, str] = {
         {**_tables("sales"), "damaged": _DAMAGED},
         "SELECT * EXCLUDE (short, long, swapped) FROM damaged WHERE NOT short AND NOT long AND NOT swapped",
     ),
+    "load_reject_counts": _with(
+        {**_tables("sales"), "damaged": _DAMAGED},
+        """SELECT 'rows' AS rule, COUNT(*) AS rows FROM damaged
+           UNION ALL SELECT 'rejected', COUNT(*) FROM damaged WHERE short OR long OR swapped
+           UNION ALL SELECT '*', COUNT(*) FROM damaged WHERE short OR long
+           UNION ALL SELECT 'trans_dt', COUNT(*) FROM damaged WHERE swapped
+           UNION ALL SELECT 'sales_qty', COUNT(*) FROM damaged WHERE swapped""",
+    ),
     "inventory_key_dupes": _with(
         _tables("stock_feed"),
         """SELECT cal_dt, store_key, prod_key, COUNT(*) AS copies
