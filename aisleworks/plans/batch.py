@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,19 +71,21 @@ def run_tables(
     output_root: str,
     run_date: dt.date,
     check_keys: bool = True,
+    cluster_by: str | Sequence[str] | None = "trans_dt",
 ) -> int:
     """Publish the KPIs of one run date from typed tables and return the rows written.
 
     Rerunning a date replaces its partition and leaves every other date alone.
     ``check_keys`` refuses repeated calendar days and inventory keys, which would
     multiply sales; tables that ``load_table`` made have been checked already.
+    ``cluster_by`` is how ``write_partition`` lays the rows out.
     """
     require_ansi(spark)
     inputs = {table: tables[table] for table in INPUTS}
     if check_keys:
         for table in ("calendar", "inventory"):
             require_unique(inputs[table], schemas.UNIQUE_KEYS[table], table)
-    return write_partition(kpi_daily(**inputs), output_root, run_date)
+    return write_partition(kpi_daily(**inputs), output_root, run_date, cluster_by)
 
 
 def restate_tables(

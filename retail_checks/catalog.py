@@ -198,6 +198,13 @@ def sink_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_published(spark, root)
 
 
+def sink_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published in the order of store and product, and read back."""
+    root = scratch_path(spark, "clustered")
+    batch.run_tables(spark, derived.kpi_tables(spark, sf_dir), root, LAST_DATE, cluster_by=("store_key", "prod_key"))
+    return sources.read_published(spark, root)
+
+
 # Rows
 
 
@@ -436,6 +443,7 @@ QUERIES: dict[str, Query] = {
     "export_audit": export_audit,
     "export_manifests": export_manifests,
     "sink_partition_overwrite": sink_partition_overwrite,
+    "sink_clustered": sink_clustered,
     "kpi_base": kpi_base,
     "join_calendar": join_calendar,
     "join_inventory": join_inventory,

@@ -259,6 +259,7 @@ ORACLE: dict[str, str] = {
         f"SELECT * FROM ({_published(MID_DATE)}) "
         f"UNION ALL SELECT * FROM ({_published(LAST_DATE)})"
     ),
+    "sink_clustered": _published(LAST_DATE),
     "kpi_base": _from(
         "base",
         """yr_wk_num, store_key, prod_key, trans_dt, sales_qty, sales_amt, sales_cost,
