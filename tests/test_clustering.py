@@ -34,7 +34,10 @@ def groups(spark, tmp_path_factory):
         "store_key", (F.col("n") % PRODUCTS).alias("prod_key"),
         F.date_add(F.lit(DAY), (F.col("n") / PRODUCTS).cast("int")).alias("trans_dt"),
         F.xxhash64("store_key", "n").alias("noise"),
-    ).orderBy("noise")
+    )
+    mixed = str(tmp_path_factory.mktemp("mixed") / "rows")
+    rows.orderBy("noise").write.parquet(mixed)
+    rows = spark.read.parquet(mixed)
     found, frames = {}, {}
     for name, by in (("plain", "trans_dt"), ("clustered", ("store_key", "prod_key"))):
         root = str(tmp_path_factory.mktemp(name))
