@@ -5,6 +5,7 @@ from aisleworks.sources.published import NothingPublishedError, published_paths,
 from aisleworks.sources.tables import (
     RejectBudget, RejectBudgetError, load_table, load_with_rejects, read_split, read_table, register_views, replace_table,
 )
+from aisleworks.sources.tree import list_tree
 
 __all__ = [
     "Location",
@@ -12,6 +13,7 @@ __all__ = [
     "RejectBudget",
     "RejectBudgetError",
     "list_files",
+    "list_tree",
     "load_table",
     "load_with_rejects",
     "published_paths",

@@ -133,13 +133,21 @@ def inventory_key_dupes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _listed(spark, sf_dir, sources.list_files)
+
+
+def list_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _listed(spark, sf_dir, sources.list_tree)
+
+
+def _listed(spark: SparkSession, sf_dir: str, lister: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
     """Write sales by month, list the files, and compare their sizes with what was read from them."""
     root = scratch_path(spark, "listing")
     sales = derived.sales(spark, sf_dir).withColumn("month", F.date_trunc("month", "trans_dt"))
     by_month = sales.withColumn("month", F.col("month").cast("date")).hint("rebalance", "month")
     by_month.write.partitionBy("month").option("header", True).csv(root)
     month = F.regexp_extract("path", r"/month=([0-9-]+)/", 1)
-    listed = sources.list_files(spark, root).select(month.alias("month"), "path", "length")
+    listed = lister(spark, root).select(month.alias("month"), "path", "length")
     # Lines of the listed files, without their headers; a line ends with one byte.
     lines = spark.read.text(root).select(
         F.col("_metadata.file_path").alias("path"), F.octet_length("value").alias("bytes")
@@ -435,6 +443,7 @@ QUERIES: dict[str, Query] = {
     "load_reject_counts": load_reject_counts,
     "inventory_key_dupes": inventory_key_dupes,
     "list_files": list_files,
+    "list_tree": list_tree,
     "export_snapshot": _export_readback("sales"),
     "export_snapshot_inventory": _export_readback("inventory"),
     "export_snapshot_calendar": _export_readback("calendar", "sales_calendar"),

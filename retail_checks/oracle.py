@@ -199,6 +199,12 @@ def _snapshot(table: str, dated: str | None = None) -> str:
     return _with(_tables(*needs), f"SELECT * FROM {table}{where}")
 
 
+_FILES_BY_MONTH = """
+    SELECT strftime(CAST(l_shipdate AS DATE), '%Y-%m-01') AS month,
+           COUNT(*) AS rows, true AS whole
+    FROM lineitem GROUP BY 1"""
+
+
 ORACLE: dict[str, str] = {
     "scan_csv_header": _with(_tables("sales"), "SELECT * FROM sales"),
     "load_typed_csv": _with(_tables("sales"), "SELECT * FROM sales"),
@@ -228,10 +234,8 @@ ORACLE: dict[str, str] = {
         """SELECT cal_dt, store_key, prod_key, COUNT(*) AS copies
            FROM stock_feed GROUP BY ALL HAVING COUNT(*) > 1""",
     ),
-    "list_files": """
-        SELECT strftime(CAST(l_shipdate AS DATE), '%Y-%m-01') AS month,
-               COUNT(*) AS rows, true AS whole
-        FROM lineitem GROUP BY 1""",
+    "list_files": _FILES_BY_MONTH,
+    "list_tree": _FILES_BY_MONTH,
     "export_snapshot": _snapshot("sales", "trans_dt"),
     "export_snapshot_inventory": _snapshot("inventory", "cal_dt"),
     "export_snapshot_calendar": _with(
