@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aisleworks.operators.readiness import REQUIRED, arrival_flags, arrived_files
+from aisleworks.versions import clean, current_versions, new_version, point_to
+
+_SLOT = "flags"
+_FLAGS = ", ".join(["business_date date", *[f"has_{t} boolean" for t in REQUIRED]])
 
 
 def file_arrivals(spark: SparkSession, root: str) -> DataFrame:
@@ -22,57 +27,38 @@ def file_arrivals(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def track_arrivals(paths: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
-    """Keep five flags per business date, and a snapshot of them as of the last batch.
+def track_arrivals(
+    paths: DataFrame, output: str, checkpoint: str, keep: dt.timedelta = dt.timedelta(hours=1)
+) -> StreamingQuery:
+    """Keep five flags per business date, published anew with each batch.
 
     ``paths`` is any stream with a ``path`` column: a watched folder, or the
     notification feed of an object store.  A path seen twice changes nothing.
-    Snapshots alternate between two folders, so they never grow in number: batch n reads
-    the latest of an earlier batch and writes the other folder.  A replayed batch finds
-    the same earlier snapshot and writes the same folder again, so restarts are exact.
+    The stream itself has no state.  Each batch adds what has arrived to the flags published before it; as a flag only
+    ever turns from false to true, a replayed batch changes nothing.  Readers see whole versions, while the stream
+    runs too; older ones go ``keep`` after they were superseded.
     Processes all that is available, then stops.
     """
 
-    def publish(changed: DataFrame, batch: int) -> None:
-        spark = changed.sparkSession
-        slots = {slot: _slot(spark, output, slot) for slot in _SLOTS}
-        batches = {
-            slot: found.where(F.col("as_of") < batch).agg(F.max("as_of")).first()[0]
-            for slot, found in slots.items()
-        }
-        last = max(_SLOTS, key=lambda slot: -1 if batches[slot] is None else batches[slot])
-        known = slots[last].where(F.col("as_of") == F.lit(batches[last])).drop("as_of")
-        merged = _merged(known.unionByName(changed))
-        (other,) = set(_SLOTS) - {last}
-        merged.withColumn("as_of", F.lit(batch)).write.mode("overwrite").parquet(f"{output}/slot={other}")
+    def publish(arrived: DataFrame, batch: int) -> None:
+        spark = arrived.sparkSession
+        changed = arrived.groupBy("business_date").agg(*arrival_flags())
+        seen = Observation()
+        merged = _merged(current_flags(spark, output).unionByName(changed)).observe(seen, F.count(F.lit(1)).alias("dates"))
+        version = new_version(output, _SLOT)
+        merged.write.parquet(version.path)
+        point_to(spark, version, seen.get["dates"])
+        clean(spark, output, dt.datetime.now(dt.UTC) - keep)
 
     return (
         arrived_files(paths)
-        .groupBy("business_date")
-        .agg(*arrival_flags())
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        .writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(publish)
         .start()
     )
 
 
-_SLOTS = (0, 1)
-_FLAGS = ", ".join(["business_date date", *[f"has_{t} boolean" for t in REQUIRED]])
-
-
-def _slot(spark: SparkSession, output: str, slot: int) -> DataFrame:
-    """A snapshot with the batch it is as of; empty if it was never written."""
-    schema = f"{_FLAGS}, as_of bigint"
-    try:
-        return spark.read.schema(schema).parquet(f"{output}/slot={slot}")
-    except AnalysisException as err:
-        if "PATH_NOT_FOUND" not in (err.getCondition() or ""):
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def _merged(flags: DataFrame) -> DataFrame:
     """One row per date; a flag only ever turns from false to true."""
     return flags.groupBy("business_date").agg(
@@ -81,9 +67,6 @@ def _merged(flags: DataFrame) -> DataFrame:
 
 
 def current_flags(spark: SparkSession, output: str) -> DataFrame:
-    """The flags as of the last batch; empty before the first.
-
-    Read between runs of the stream, not while one replaces a snapshot.
-    """
-    both = _slot(spark, output, 0).unionByName(_slot(spark, output, 1))
-    return _merged(both.drop("as_of"))
+    """The flags as of the last batch; empty before the first."""
+    version = current_versions(spark, output).get(_SLOT)
+    return spark.read.schema(_FLAGS).parquet(version.path) if version else spark.createDataFrame([], _FLAGS)
