@@ -4,14 +4,17 @@ Pages of one host mostly share a template, so the place of the article is learne
 all of them: every page's containers are scored by the share of the page's prose they
 hold, each container is named by its path of tags and generalised classes, and per host
 the paths are voted on in Spark.  A second pass extracts each page at its host's winning
-path; a page without that path is extracted at its own best container.
+path; a page whose prose is mostly elsewhere is extracted at its own best container.
+Time and memory are linear in a page, however deep it nests.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+import zlib
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,13 +27,17 @@ from aisleworks.llm.shared import only, stored
 CANDIDATE_SHARE = 700
 #: A path wins its host if it has this share of the votes of the host's best path, and is deepest.
 WINNING_SHARE = 0.5
-#: Labels at the end of a path that name it; deeper nesting is not told apart.
-PATH_LABELS = 12
+#: The host's path stands for a page where it holds this share (in thousandths) of the page's prose.
+HOST_SHARE = 500
+#: Labels at the end of a path that are spelt out; a path is known by its depth and a hash of all its labels.
+SPELT_LABELS = 6
+#: Characters outside links from which an element of an article is prose, though its name may be furniture's.
+PROSE_CHARS = 40
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|textarea|title|select|math|object|canvas)\b[^>]*>"
-    r".*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|iframe|textarea|title|xmp|noembed|noframes)(?=[\s/>])[^>]*>"
+    r".*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)",
@@ -52,8 +59,10 @@ _BLOCK = frozenset(
 _CONTAINER = frozenset("article main section div body td center".split())
 _ARTICLE = ("article", "main")
 _NOT_TEXT = frozenset(
-    "nav aside footer form button input label fieldset head menu dialog audio video map".split()
+    "nav aside footer form button input label fieldset head menu dialog audio video map "
+    "canvas noscript object select svg template".split()
 )
+_FORM = frozenset("form button input label fieldset select textarea".split())
 _CLOSES_ITSELF = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)),
                   "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")),
                   "option": ("option", ("select",))}
@@ -64,6 +73,11 @@ _ASIDE_PART = re.compile(
     r"|footer|foot|masthead|comments?|commentlist|disqus|respond|reply|replies|related|recommend\w*|share|sharing|social"
     r"|toolbar|pager|pagination|skip|login|search|copyright|disclaimer|contentinfo|complementary"
 )
+#: Words among them that an article may be about; there more than the name must speak for furniture.
+_TOPICS = re.compile(
+    r"notices?|alert|menu|side|rail|foot|respond|reply|replies|related|recommend\w*|share|sharing|social|skip|login|search"
+    r"|copyright|disclaimer|banner|toolbar"
+)
 #: What a class of furniture may be called besides; any other word in it makes it a name of its own, as in has-sidebar.
 _ASIDE_REST = frozenset(
     "site page post posts entry article articles story stories main primary secondary left right top bottom inner outer global "
@@ -102,95 +116,100 @@ def _is_hidden(attrs: str) -> bool:
 
 
 class _Node:
-    """An open element: what it is called, and whether its text counts; skip is the place of the element that says no."""
+    """An element: what it is called and holds, and whether its text counts.
+
+    ``why`` says what is against it: 0 nothing, 1 its tag, 2 its name or being hidden, 3 replies, 4 a name that is also a topic.
+    ``prose`` and ``linked`` are the characters outside and within links below it; ``up`` is the innermost container that counts
+    around its content, itself included.
+    """
 
-    __slots__ = ("tag", "label", "parent", "skip", "container", "in_article", "link")
+    __slots__ = ("tag", "label", "parent", "why", "skip", "up", "in_article", "link", "prose", "linked", "form", "depth", "key")
 
-    def __init__(self, tag, label, parent, skip, container, in_article, link):
-        self.tag, self.label, self.parent = tag, label, parent
-        self.skip, self.container, self.in_article, self.link = skip, container, in_article, link
+    def __init__(self, tag: str, label: str, parent: _Node | None, why: int):
+        self.tag, self.label, self.parent, self.why = tag, label, parent, why
+        self.in_article = tag in _ARTICLE or bool(parent and parent.in_article)
+        self.link = tag == "a" or bool(parent and parent.link)
+        self.prose = self.linked = 0
+        self.form, self.skip, self.up = tag in _FORM, False, None
+        crc, sum_, self.depth = (*parent.key, parent.depth + 1) if parent else (0, 1, 0)
+        name = f">{label}".encode("utf-8", "surrogatepass")
+        self.key = (zlib.crc32(name, crc), zlib.adler32(name, sum_))
 
 
-def _label_and_skip(tag: str, attrs: str, parent: _Node | None) -> tuple[str, int]:
-    """Label of an element, and why its text does not count: 0 it does, 1 by its tag, 2 by its name or hidden, 3 replies."""
+def _against(tag: str, attrs: str, parent: _Node | None) -> tuple[str, int]:
+    """Label of an element, and what is against its text, as in ``_Node.why``."""
     named = {}
     for key, a, b, c in _NAMES.findall(attrs) if "=" in attrs else ():
         named.setdefault(key.lower(), a or b or c)
     classes = named.get("class", "").split()
     label = f"{tag}.{_DIGITS.sub('#', classes[0]).lower()}" if classes else tag
-    if parent is not None and parent.skip:
-        return label, 0
     inside = parent is not None and parent.in_article
     if tag in _NOT_TEXT or tag == "header" and not inside:
         return label, 2 if tag == "form" else 1
+    if attrs and _is_hidden(attrs):
+        return label, 2
+    topic = False
     if named and tag not in ("html", "body", "main", "article"):
         if tag in _HEADINGS:
             named.pop("id", None)  # made of the heading's words
         for token in " ".join(named.values()).lower().split():
             if _is_aside(token):
-                return label, 2 if _REPLIES.isdisjoint(_PARTS.findall(token)) else 3
-            if not inside and _HEADER_NAME.fullmatch(token):
+                parts = [part for part in _PARTS.findall(token) if _ASIDE_PART.fullmatch(part)]
+                if inside and all(map(_TOPICS.fullmatch, parts)):
+                    topic = True
+                else:
+                    return label, 2 if _REPLIES.isdisjoint(parts) else 3
+            elif not inside and _HEADER_NAME.fullmatch(token):
                 return label, 2
-    return label, 2 if attrs and _is_hidden(attrs) else 0
+    return label, 4 if topic else 0
 
 
-def blocks(page: str) -> list[tuple[str, int, tuple[_Node, ...]]]:
-    """(text, characters within links, open containers) of each text block, in page order.
+#: Text with the element it stands in, or None with the element at the end of a block.
+_Piece = tuple[str | None, _Node | None]
+#: (text, characters within links, the innermost container that counts) of a text block.
+_Block = tuple[str, int, _Node | None]
 
-    An element that is furniture by its name, a form or hidden, and yet holds most of the page's prose, is no furniture, but
-    for replies to other prose.
-    """
-    counted: frozenset[int] = frozenset()
-    while True:
-        found, shown, skipped = _parse(page, counted)
-        total = shown + sum(size for _, size in skipped.values())
-        most = [at for at, (why, size) in skipped.items()
-                if (why == 2 or why == 3 and not shown) and 1000 * size >= CANDIDATE_SHARE * total > 0]
-        if not most:
-            return found
-        counted |= {*most}
-
-
-def _parse(
-    page: str, counted: frozenset[int]
-) -> tuple[list[tuple[str, int, tuple[_Node, ...]]], int, dict[int, list[int]]]:
-    """The blocks of a page, their prose, and by place the elements left out, why, and their prose; but ``counted`` count.
+
+def _parse(page: str) -> tuple[list[_Piece], list[_Node]]:
+    """The pieces of a page in its order, and its elements, parents first.
 
     Unclosed and crossing tags are taken as browsers take them: a block ends a paragraph,
     a list item the item before it, an end tag what was opened since.
     """
-    found: list[tuple[str, int, tuple[_Node, ...]]] = []
+    pieces: list[_Piece] = []
+    nodes: list[_Node] = []
     stack: list[_Node] = []
-    words: list[str] = []
-    linked = shown = 0
-    skipped: dict[int, list[int]] = {}
+    is_open: Counter[str] = Counter()  # so that no tag is looked for in vain
 
     def flush() -> None:
-        nonlocal linked
-        if words:
-            text = " ".join("".join(words).split())
-            if text:
-                found.append((text, linked, tuple(n for n in stack if n.container)))
-            words.clear()
-        linked = 0
+        if pieces and pieces[-1][0] is not None:
+            pieces.append((None, stack[-1] if stack else None))
 
     def close_to(depth: int) -> None:
         if any(n.tag in _BLOCK for n in stack[depth:]):
             flush()
+        is_open.subtract(n.tag for n in stack[depth:])
         del stack[depth:]
 
+    def close_nearest(tags: tuple[str, ...], stops: Callable[[_Node], bool]) -> None:
+        if any(is_open[tag] > 0 for tag in tags):
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth].tag in tags:
+                    return close_to(depth)
+                if stops(stack[depth]):
+                    return None
+        return None
+
     def add(text: str) -> None:
-        nonlocal linked, shown
-        if text and stack and stack[-1].skip:
-            if not stack[-1].link:
-                skipped[stack[-1].skip][1] += len(text.strip())
-        elif text:
-            text = entities.unescape(text) if "&" in text else text
-            words.append(text)
-            if stack and stack[-1].link:
-                linked += len(text)
+        if not text:
+            return
+        node = stack[-1] if stack else None
+        pieces.append((text, node))
+        if node is not None:
+            if node.link:
+                node.linked += len(text.strip())
             else:
-                shown += len(text.strip())
+                node.prose += len(text.strip())
 
     at = 0
     for token in _TOKEN.finditer(page):
@@ -198,90 +217,145 @@ def _parse(
         at = token.end()
         tag = token["tag"] or token["tag2"]
         if not tag:
+            if (token["raw"] or "").lower() == "textarea" and stack:
+                stack[-1].form = True
             continue
         tag = tag.lower()
         if token["end"] or token["end2"]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].tag == tag:
-                    close_to(depth)
-                    break
-            else:
-                if tag in _BLOCK:
-                    flush()
+            if is_open[tag] > 0:
+                close_nearest((tag,), lambda _: False)
+            elif tag in _BLOCK:
+                flush()
             continue
         if tag == "br":
             add(" ")
             continue
         if tag in _BLOCK:
             flush()
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].tag == "p":
-                    close_to(depth)
-                    break
-                if stack[depth].container:
-                    break
+            close_nearest(("p",), lambda node: node.tag in _CONTAINER)
         if tag in _CLOSES_ITSELF:
             ends, stops = _CLOSES_ITSELF[tag]
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].tag in ends.split():
-                    close_to(depth)
-                    break
-                if stack[depth].tag in stops:
-                    break
+            close_nearest(tuple(ends.split()), lambda node: node.tag in stops)
         attrs = token["attrs"] or token["attrs2"] or ""
+        parent = stack[-1] if stack else None
         if tag in _VOID or attrs.endswith("/") and tag not in _BLOCK and tag != "a":
+            if tag in _FORM and parent is not None and "hidden" not in attrs:
+                parent.form = True
             continue
-        parent = stack[-1] if stack else None
-        label, why = _label_and_skip(tag, attrs, parent)
-        skip = parent.skip if parent is not None else 0
-        if why and at not in counted:
-            skip = at
-            skipped[at] = [why, 0]
-        stack.append(
-            _Node(
-                tag, label, parent, skip, tag in _CONTAINER and not skip,
-                tag in ("article", "main") or bool(parent and parent.in_article),
-                tag == "a" or bool(parent and parent.link),
-            )
-        )
+        node = _Node(tag, *_named(tag, attrs, parent))
+        nodes.append(node)
+        stack.append(node)
+        is_open[tag] += 1
     add(page[at:])
     flush()
-    return found, shown, skipped
+    return pieces, nodes
+
+
+def _named(tag: str, attrs: str, parent: _Node | None) -> tuple[str, _Node | None, int]:
+    label, why = _against(tag, attrs, parent)
+    return label, parent, why
+
+
+def _judge(pieces: list[_Piece], nodes: list[_Node]) -> None:
+    """Settle which elements count and the container around each.
+
+    An element that is furniture by its name, a form or hidden, and yet holds most of the page's prose, is no furniture, but
+    for replies to other prose.  Within an article a heading, or prose with few links and no form, is no
+    furniture for a name that is also a topic.
+    """
+    for node in reversed(nodes):
+        if node.parent is not None:
+            node.parent.prose += node.prose
+            node.parent.linked += node.linked
+            node.parent.form |= node.form
+    total = sum(len(text.strip()) for text, node in pieces if text is not None and not (node and node.link))
+    for replies_too in (False, True):
+        for node in nodes:
+            above, why = node.parent, node.why
+            if why == 4:
+                prose = node.prose >= max(PROSE_CHARS, node.linked) and not node.form
+                against = not (prose or node.tag in _HEADINGS)
+            else:
+                against = why == 1 or why > 1 and not (
+                    (why == 2 or replies_too) and 1000 * node.prose >= CANDIDATE_SHARE * total > 0
+                )
+            node.skip = against or above is not None and above.skip
+            node.up = node if node.tag in _CONTAINER and not node.skip else above.up if above is not None else None
+        shown = any(text.strip() for text, node in pieces if text is not None and not (node and (node.skip or node.link)))
+        if shown or not any(node.why == 3 for node in nodes):
+            return
+
+
+def _read(page: str) -> tuple[list[_Block], list[_Node]]:
+    """The text blocks that count, in page order, and the containers that count, outer ones first."""
+    pieces, nodes = _parse(page)
+    _judge(pieces, nodes)
+    found: list[_Block] = []
+    words: list[str] = []
+    linked = 0
+    for text, node in pieces:
+        if text is None:
+            block = " ".join("".join(words).split())
+            if block:
+                found.append((block, linked, node.up if node is not None else None))
+            words.clear()
+            linked = 0
+        elif node is None or not node.skip:
+            text = entities.unescape(text) if "&" in text else text
+            words.append(text)
+            if node is not None and node.link:
+                linked += len(text)
+    return found, [node for node in nodes if node.up is node]
+
+
+def _above(node: _Node) -> _Node | None:
+    """The container around a container."""
+    return node.parent.up if node.parent is not None else None
 
 
 def _path(node: _Node) -> str:
-    labels = []
-    while node is not None and len(labels) < PATH_LABELS:
-        labels.append(node.label)
-        node = node.parent
-    return ">".join(reversed(labels))
+    """The last labels of a container's path, its depth, and a hash of all of its labels."""
+    labels, above = [], node
+    while above is not None and len(labels) < SPELT_LABELS:
+        labels.append(above.label)
+        above = above.parent
+    return f"{'>'.join(reversed(labels))}@{_place(node)}"
+
+
+def _place(node: _Node) -> str:
+    return f"{node.depth}:{node.key[0]:08x}{node.key[1]:08x}"
+
+
+def _weight(block: _Block) -> int:
+    return max(0, len(block[0]) - 2 * block[1])
 
 
-def _containers(parts: list) -> dict[_Node, int]:
-    """Prose characters within each container: text outside links, over the whole subtree."""
-    prose: dict[_Node, int] = {}
-    for text, linked, inside in parts:
-        weight = max(0, len(text) - 2 * linked)
-        for node in inside:
-            prose[node] = prose.get(node, 0) + weight
-    return prose
+def _containers(parts: list[_Block], containers: list[_Node]) -> tuple[dict[_Node, int], int]:
+    """Prose characters within each container, text outside links over its whole subtree, and those of the page."""
+    prose = dict.fromkeys(containers, 0)
+    for block in parts:
+        if block[2] is not None:
+            prose[block[2]] += _weight(block)
+    for node in reversed(containers):
+        if (above := _above(node)) is not None:
+            prose[above] += prose[node]
+    return prose, sum(map(_weight, parts))
 
 
 def candidates(page: str) -> list[tuple[str, int, int]]:
     """(path, depth, share of the page's prose in thousandths) of the containers worth a vote."""
-    parts = blocks(page)
-    total = sum(max(0, len(t) - 2 * linked) for t, linked, _ in parts)
+    prose, total = _containers(*_read(page))
     best: dict[str, tuple[int, int]] = {}
-    for node, weight in _containers(parts).items():
+    for node, weight in prose.items():
         share = 1000 * weight // total if total else 0
         if share >= CANDIDATE_SHARE:
             path = _path(node)
-            best[path] = max(best.get(path, (0, 0)), (share, path.count(">")))
+            best[path] = max(best.get(path, (0, 0)), (share, node.depth))
     return [(path, depth, share) for path, (share, depth) in best.items()]
 
 
 def main_text(page: str | None, path: str | None) -> str:
-    """The page's text blocks around ``path``, or around its own best container.
+    """The page's text blocks around ``path``, if most of its prose is there, or around its own best container.
 
     A deep container may hold the body of an article without its title, lead and captions.  So all of the article, or else
     the main element, around it is taken; prose outside links that stands directly in a container around that; and, where
@@ -290,34 +364,41 @@ def main_text(page: str | None, path: str | None) -> str:
     >>> main_text("<body><nav>x</nav><article><p>A &amp; b<p>c</article></body>", None)
     'A & b\\nc'
     """
-    parts = blocks(page or "")
+    parts, containers = _read(page or "")
     if not parts:
         return ""
-    chosen = {n for _, _, inside in parts for n in inside if path and n.label == path.rpartition(">")[2] and _path(n) == path}
+    prose, total = _containers(parts, containers)
+    place = path.rpartition("@")[2] if path else None
+    chosen = [n for n in containers if place and _place(n) == place]
+    if 1000 * sum(prose[n] for n in chosen) < HOST_SHARE * total or not total:
+        chosen = []
     if not chosen:
-        prose = _containers(parts)
-        total = sum(max(0, len(t) - 2 * linked) for t, linked, _ in parts)
         most = [n for n, w in prose.items() if total and 1000 * w // total >= CANDIDATE_SHARE]
         if most:
-            chosen = {max(most, key=lambda n: _path(n).count(">"))}
+            chosen = [max(most, key=lambda n: n.depth)]
     if not chosen:
         return "\n".join(text for text, _, _ in parts)
     tops = {_top(n) for n in chosen}
     around = {above for top in tops for above in _around(top)}
     beside = {above for top in tops if top.tag not in _ARTICLE for above in _around(top) if above.tag != "body"}
+    within: dict[_Node | None, tuple[bool, bool]] = {None: (False, False)}
+    for node in containers:
+        in_top, in_beside = within[_above(node)]
+        within[node] = (in_top or node in tops, in_beside or node in beside)
     kept = []
-    for text, linked, inside in parts:
-        near = not inside or inside[-1] in around or any(n in beside for n in inside)
-        if any(n in tops for n in inside) or near and len(text) > 2 * linked:
+    for block in parts:
+        text, linked, node = block
+        in_top, in_beside = within[node]
+        near = node is None or node in around or in_beside
+        if in_top or near and len(text) > 2 * linked:
             kept.append(text)
     return "\n".join(kept)
 
 
 def _around(node: _Node) -> Iterator[_Node]:
     """The containers around a node, from the inside."""
-    while (node := node.parent) is not None:
-        if node.container:
-            yield node
+    while (node := _above(node)) is not None:
+        yield node
 
 
 def _top(node: _Node) -> _Node:
