@@ -111,23 +111,39 @@ def split_records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], byt
 
 
 def inflated(stream, size: int = READ_BYTES) -> Iterator[bytes]:
-    """The content of a gzip file, one member or many, in bounded chunks."""
-    inflate = zlib.decompressobj(31)
+    """The content of a gzip file, one member or many, in bounded chunks.
+
+    Zeros around members are padding; a member without its end, its checksum included, fails, and so does anything else.
+    """
+    inflate, begun = zlib.decompressobj(31), False
     data = stream.read(size)
     while data:
         while data:
+            if not begun:
+                data = data.lstrip(b"\0")
+                if not data:
+                    break
+                begun = True
             if out := inflate.decompress(data, 4 * size):
                 yield out
             if inflate.eof:
-                data = inflate.unused_data
-                inflate = zlib.decompressobj(31)
-                if not data:
-                    break
+                data, inflate, begun = inflate.unused_data, zlib.decompressobj(31), False
             else:
                 data = inflate.unconsumed_tail
         data = stream.read(size)
-    if rest := inflate.flush():
-        yield rest
+    if begun:
+        if rest := inflate.flush():
+            yield rest
+        if not inflate.eof:
+            raise ValueError("the gzip stream is cut off")
+
+
+def named(source: str, records: Iterator) -> Iterator:
+    """``records``, whose errors tell where they come from."""
+    try:
+        yield from records
+    except (ValueError, KeyError, zlib.error) as err:
+        raise ValueError(f"archive {source}: {err}") from err
 
 
 def pages_as_records(pages: DataFrame) -> DataFrame:
@@ -197,6 +213,7 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
 
     A row per record: archive, offset, length, record_id, record_type, target_uri, the same as a tab-separated
     line of ``<archive>.idx``.  Each file is inflated once, in bounded chunks; memory is that of the largest record.
+    An archive that is cut off or damaged fails the job and is named; an empty one has no records.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, path = _place(folder)
@@ -208,7 +225,7 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                 at = 0
                 with system.open_input_stream(source, compression=None) as stream, \
                         system.open_output_stream(name, compression=None) as out:
-                    for fields, data in split_records(inflated(stream)):
+                    for fields, data in named(source, split_records(inflated(stream))):
                         deflate = zlib.compressobj(6, wbits=31)
                         member = deflate.compress(data) + deflate.flush()
                         out.write(member)

@@ -76,3 +76,42 @@ def test_a_cut_record_fails():
     assert [data for _, data in warc.split_records(iter([whole[:30], whole[30:], whole]))] == [whole, whole]
     with pytest.raises(ValueError):
         list(warc.split_records(iter([whole, whole[:-5]])))
+
+
+def archive(*payloads):
+    return [warc.record(k, "u", p, (warc.digest(p), len(p)), None) for k, p in enumerate(payloads)]
+
+
+def indexed(spark, tmp_path, **files):
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    frame = spark.createDataFrame([(str(tmp_path / name),) for name in files], "archive string")
+    return warc.normalise(frame, str(tmp_path / "split")).collect()
+
+
+def test_archives_that_are_cut_fail_and_are_named(spark, tmp_path):
+    import zlib
+
+    records = archive(b"one", b"two", b"three" * 9000)
+    deflate = zlib.compressobj(6, wbits=31)
+    flushed = b"".join(deflate.compress(r) + deflate.flush(zlib.Z_FULL_FLUSH) for r in records[:2])
+    whole = gzip.compress(b"".join(records))
+    members = b"".join(map(gzip.compress, records))
+    broken = {"flush_point": flushed, "no_trailer": whole[:-8], "half_trailer": whole[:-3], "middle": whole[: len(whole) // 2],
+              "last_member": members[:-1], "header": members + b"\x1f\x8b", "garbage": members + b"rest"}
+    for name, data in broken.items():
+        with pytest.raises(Exception, match=f"archive .*{name}"):
+            indexed(spark, tmp_path, **{name: data})
+        for size in (1, 7, 64, 1 << 20):
+            with pytest.raises((ValueError, zlib.error)):
+                list(warc.inflated(io.BytesIO(data), size))
+
+
+def test_padding_and_empty_files(spark, tmp_path):
+    records = archive(b"one", b"two")
+    members = list(map(gzip.compress, records))
+    padded = members[0] + bytes(700) + members[1] + bytes(2000)
+    assert len(indexed(spark, tmp_path, padded=padded, empty=b"", zeros=bytes(512), plain=gzip.compress(b"".join(records)))) == 4
+    for size in (1, 64, 1 << 20):
+        assert b"".join(warc.inflated(io.BytesIO(padded), size)) == b"".join(records)
+        assert list(warc.inflated(io.BytesIO(b""), size)) == []
