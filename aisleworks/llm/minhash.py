@@ -255,8 +255,16 @@ def _links(rows: DataFrame, classes: DataFrame, members: DataFrame, words: int,
 def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group: the row whose doc_id is the smallest of its group.
 
-    Of fully repeated kept rows one stays; rows without doc_id stay.
+    Of the rows that share a kept doc_id the one with the smallest text stays (NULL last, then the one whose values hash to the
+    least), so that a rerun keeps the same; rows without doc_id stay.
     """
     kept = near_duplicates(docs, words, percent).filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.join(kept, "doc_id", "left_semi").unionByName(docs.filter("doc_id is null")).select(docs.columns)
+    whole = F.struct(*(docs[f"`{c}`"] for c in docs.columns))
+    others = F.to_json(F.struct(*(docs[f"`{c}`"] for c in docs.columns if c != "text")))
+    order = F.struct(docs["text"].isNull(), docs["text"], F.xxhash64(others)).alias("order")
+    named = (
+        docs.filter("doc_id is not null").select("doc_id", whole.alias("row"), order)
+        .groupBy("doc_id").agg(F.min_by("row", "order").alias("row"))
+    )
+    one = named.join(kept, "doc_id", "left_semi").select("row.*")
+    return one.unionByName(docs.filter("doc_id is null")).select(docs.columns)

@@ -115,3 +115,11 @@ def test_components_of_long_paths_and_hubs(spark):
     assert len(found) == len(label)
     assert label == {k: 0 for k in range(61)} | {k: 100 for k in range(100, 160)} | {k: 198 for k in (198, 199, 200)}
     assert components.components(spark.createDataFrame([], "low long, high long")).collect() == []
+
+
+def test_one_of_several_texts_of_a_doc_id_stays_the_same(spark, documents):
+    texts = [f"text {k} of one id, long enough to be like no other: {'abc' * k}" for k in range(6)]
+    rows = [(7, text, f"s{k}") for k, text in enumerate(texts)] + [(7, texts[0], "s9"), (7, None), (8, "alone")]
+    for turned in (rows, rows[::-1]):
+        left = {r.doc_id: r for r in minhash.without_near_duplicates(documents(*turned).repartition(5), 2).collect()}
+        assert set(left) == {7, 8} and left[7].text == texts[0]

@@ -102,7 +102,8 @@ def test_restored_column(spark, documents):
 @pytest.mark.parametrize(
     "written",
     ["idi" + "i" * 41 + "ot", "i" * 60 + "diot", "1" + "d" * 50 + "10t", "i d ! o t", "! d i o t", "i d * o t", "!diot", "(!diot)", "1#10+",
-     "1d!0+", "i d i o t s a w a w o r t h l e s s i d i o t", "s a w a t t h e s h o w i d i o t"],
+     "1d!0+", "i d i o t s a w a w o r t h l e s s i d i o t", "s a w a t t h e s h o w i d i o t",
+     "idiiot", "iddiot", "idiott", "ｉｄｉｏｔ", "idi\u043et", "\u0456d\u0456ot", "ｉ ｄ ｉ ｏ ｔ", "ｉｄ１ｏｔ"],
 )
 def test_disguises_past_the_gates(restore, written):
     assert "idiot" in toxicity.document_words(f"and {written} behind", restore)
@@ -121,3 +122,21 @@ def test_held_out_accuracy_of_small_tables(spark, tables, sf):
     rows = [row for row in toxicity.score(docs, labels).collect() if row.held_out and row.doc_id in truth]
     assert sum(row.predicted == truth[row.doc_id] for row in rows) / len(rows) > 0.97
     assert {row.predicted for row in rows if truth[row.doc_id] == 1} >= {1}
+
+
+@pytest.mark.parametrize("sf, precision, recall", [("sf0.1", 0.95, 0.9), ("sf0.01", 0.95, 0.6), ("sf0.001", 0.95, 0.95)])
+def test_held_out_precision_and_recall(spark, tables, sf, precision, recall):
+    docs, labels = tables("documents", sf), tables("labels", sf)
+    truth = {row.doc_id: row.toxic for row in labels.collect()}
+    rows = [row for row in toxicity.score(docs, labels).collect() if row.held_out and row.doc_id in truth]
+    hits = sum(row.predicted and truth[row.doc_id] for row in rows)
+    assert hits >= precision * sum(row.predicted for row in rows) and hits >= recall * sum(truth[row.doc_id] for row in rows)
+
+
+def test_three_letters_apart_are_read_and_amounts_are_not(restore):
+    assert [reading for *_, reading in restore.apart("he saw a t t then".split())] == [restore._decoded("a t t", True)]
+    assert list(restore.apart("at 1 0 5 or a b".split())) == []
+
+
+def test_look_alike_letters_leave_other_alphabets_alone():
+    assert toxicity.latin("\u043e\u043d\u0430") == "\u043e\u043d\u0430" and toxicity.latin("\u03b1a") == "aa"
