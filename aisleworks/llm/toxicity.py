@@ -161,6 +161,7 @@ class Restorer:
 
     def __init__(self, costs: np.ndarray):
         self.costs = costs
+        self.flat = costs.ravel().tolist()
         self.read: dict[str, str | None] = {}
 
     def _decoded(self, core: str, apart: bool) -> str:
@@ -174,15 +175,32 @@ class Restorer:
             self.read[key] = decode(core, self.costs, apart)
         return self.read[key]
 
+    def repeats(self, word: str) -> bool:
+        """Whether decoding a word of letters alone can read a repeated letter as fewer.
+
+        A pair is read as one letter if that is likelier with what stands around it; the other letters cost the same
+        either way, so three costs decide it without the lattice.  Longer runs are left to the lattice.
+        """
+        for pair in _TWICE.finditer(word):
+            begin, end = pair.span()
+            if word[end : end + 1] == word[begin]:
+                return True
+            before = _CODE.get(word[begin - 1], 0) if begin else 0
+            own, after = _CODE.get(word[begin], 0), _CODE.get(word[end], 0) if end < len(word) else 0
+            kept = self.flat[(before * SIZE + own) * SIZE + own] + self.flat[(own * SIZE + own) * SIZE + after]
+            if own and kept > self.flat[(before * SIZE + own) * SIZE + after] + _PAIR_TO_ONE:
+                return True
+        return False
+
     def token(self, token: str) -> str | None:
         """The reading of a lower-case token that looks disguised, else None."""
         if token.isalpha():
-            return self._decoded(token, False) if _TWICE.search(token) else None
+            return self._decoded(token, False) if self.repeats(token) else None
         core = _TAIL.sub("", token).strip(_AROUND)
         if len(core) < 3 or core.isdigit() or not _WORD.search(core):
             return None
         if core.isalpha():
-            return self._decoded(core, False) if _TWICE.search(core) else None
+            return self._decoded(core, False) if self.repeats(core) else None
         return self._decoded(core, _STANDING_APART.fullmatch(core) is not None)
 
     def whole(self, token: str) -> str | None:

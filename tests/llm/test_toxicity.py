@@ -140,3 +140,17 @@ def test_three_letters_apart_are_read_and_amounts_are_not(restore):
 
 def test_look_alike_letters_leave_other_alphabets_alone():
     assert toxicity.latin("\u043e\u043d\u0430") == "\u043e\u043d\u0430" and toxicity.latin("\u03b1a") == "aa"
+
+
+def test_three_costs_decide_on_a_pair_as_the_lattice_does(restore):
+    import random
+
+    rand = random.Random(3)
+    words = FAIR.split()
+    for _ in range(500):
+        word = rand.choice(words)
+        for _ in range(rand.randint(1, 3)):
+            at = rand.randrange(len(word))
+            word = word[:at] + word[at] + word[at:] if rand.random() < 0.7 else word[:at] + rand.choice("abdeilmnost") + word[at:]
+        if not any(a == b == c for a, b, c in zip(word, word[1:], word[2:])):
+            assert restore.repeats(word) == (toxicity.decode(word, restore.costs) != word)
