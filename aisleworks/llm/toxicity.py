@@ -68,6 +68,8 @@ _TOKEN = re.compile(r"\S+")
 _TWICE = re.compile(r"([^\W\d_])\1")
 _LATIN = re.compile(r"[a-z]")
 _ALIKE = str.maketrans(ALIKE)
+# Anything that ``latin`` could change: neither ASCII nor a letter or sign that it always leaves as it is.
+_ODD = re.compile(f"[^\\x00-\\x7f{LETTERS[26:]}\u00a1\u00bf\u00ab\u00bb\u2013\u2014\u2018\u2019\u201c\u201d\u201e]")
 _TAIL = re.compile(r"([^\w\s])\1\1+$")
 _STANDING_APART = re.compile(r"[^\W_](?:[.\-_*~][^\W_]){3,}")
 _HEAD = re.compile(r"^([^\w\s])\1\1+")
@@ -276,7 +278,7 @@ def document_words(text: str | None, restore: Restorer) -> set[str]:
     lower = (text or "").lower()
     tokens = lower.split()
     words: set[str] = set()
-    if not lower.isascii():
+    if not lower.isascii() and _ODD.search(lower):
         words.update(word for token in set(tokens) if not token.isascii() for word in _WORD.findall(token))
         tokens = " ".join(token if token.isascii() else latin(token) for token in tokens).split()
         lower = " ".join(tokens)

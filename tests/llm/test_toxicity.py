@@ -154,3 +154,8 @@ def test_three_costs_decide_on_a_pair_as_the_lattice_does(restore):
             word = word[:at] + word[at] + word[at:] if rand.random() < 0.7 else word[:at] + rand.choice("abdeilmnost") + word[at:]
         if not any(a == b == c for a, b, c in zip(word, word[1:], word[2:])):
             assert restore.repeats(word) == (toxicity.decode(word, restore.costs) != word)
+
+
+def test_letters_and_signs_passed_over_are_those_that_never_change():
+    kept = [chr(k) for k in range(0x3000) if not toxicity._ODD.search(chr(k))]
+    assert len(kept) > 128 + 30 and all(toxicity.latin(f"a{sign}b") == f"a{sign}b" for sign in kept)
