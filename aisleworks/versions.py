@@ -76,11 +76,14 @@ def current(spark: SparkSession, root: str, slot: str | None = None) -> DataFram
 
 def point_to(spark: SparkSession, version: Version, rows: int) -> None:
     """Make a whole version the one that readers see."""
-    last = current(spark, version.root, version.slot).first()
-    seq = last.seq + 1 if last else 0
-    pointer = spark.createDataFrame([(version.slot, seq, version.id, rows)], "slot string, seq bigint, version string, rows bigint")
+    # As many rows as the slot has versions since the last clean-up.
+    seq = 1 + max((row.seq for row in pointers(spark, version.root, version.slot).select("seq").collect()), default=-1)
+    pointer = spark.range(0, 1, 1, 1).select(
+        F.lit(version.slot).alias("slot"), F.lit(seq).cast("bigint").alias("seq"),
+        F.lit(version.id).alias("version"), F.lit(rows).cast("bigint").alias("rows"),
+    )
     path = f"{version.root.rstrip('/')}/_pointers/{version.slot}/{seq:012d}-{version.id}"
-    pointer.withColumn("check", row_hash(*_NAMED)).coalesce(1).write.json(path)
+    pointer.withColumn("check", row_hash(*_NAMED)).write.json(path)
 
 
 def current_versions(spark: SparkSession, root: str) -> dict[str, Version]:
